@@ -198,18 +198,26 @@ def build_preprocessor(
     """Size each column's category list and choose how it will be looked up."""
     if not cat_cols:
         return Preprocessor(list(num_cols), [], scaler, codes)
-    sizes = (
+    # Per column its size and at most ``inline_limit`` values.
+    first = F.when(F.col("code") < inline_limit, F.struct("code", "value"))
+    lists = (
         codes.groupBy("column")
-        .agg(F.count("*").alias("n"), F.sum(F.length("value") + 16).alias("chars"))
+        .agg(
+            F.count("*").alias("n"),
+            F.sum(F.length("value") + 16).alias("chars"),
+            F.collect_list(first).alias("head"),
+        )
         .collect()
     )
-    small = [r["column"] for r in sizes if r["n"] <= inline_limit]
-    medium = {r["column"] for r in sizes if r["n"] > inline_limit and r["chars"] <= broadcast_chars}
-    inline: dict[str, list[str]] = {c: [] for c in cat_cols if c not in {r["column"] for r in sizes}}
-    if small:
-        # At most ``inline_limit`` rows per column.
-        for r in codes.filter(F.col("column").isin(small)).orderBy("column", "code").collect():
-            inline.setdefault(r["column"], []).append(r["value"])
+    inline: dict[str, list[str]] = {c: [] for c in cat_cols}
+    medium = set()
+    for r in lists:
+        if r["n"] <= inline_limit:
+            inline[r["column"]] = [entry["value"] for entry in sorted(r["head"])]
+        else:
+            del inline[r["column"]]
+            if r["chars"] <= broadcast_chars:
+                medium.add(r["column"])
     return Preprocessor(
         list(num_cols), list(cat_cols), scaler, codes, inline, medium, missing_as_unknown
     )

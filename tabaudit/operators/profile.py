@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabaudit.functions.values import present, row_digest
 from tabaudit.operators.cleaning import numeric_columns, quoted, string_columns
-from tabaudit.operators.quantiles import DIRECT_LIMIT, quantiles, value_column
+from tabaudit.operators.quantiles import quantiles, value_column
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -113,12 +113,12 @@ def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
 
 
 def numeric_summary(
-    df: DataFrame, columns: Sequence[str] | None = None, direct_limit: int = DIRECT_LIMIT
+    df: DataFrame, columns: Sequence[str] | None = None, **limits: int
 ) -> DataFrame:
     """count, mean, sample std, min, quartiles, max per numeric column; nulls skipped.
 
-    One pass takes everything but the quartiles. Its row count decides how those
-    are found, see ``quantiles``.
+    One pass takes everything but the quartiles. Its row counts decide how those
+    are found; ``limits`` go to ``quantiles``.
     """
     names = list(columns if columns is not None else numeric_columns(df))
     spark = df.sparkSession
@@ -145,7 +145,7 @@ def numeric_summary(
         [(c, *(row[f"{k}{i}"] for k in "nmslh")) for i, c in enumerate(names)],
         "column string, count long, mean double, std double, min double, max double",
     )
-    q = quantiles(df, names, QUARTILES, bounds, direct_limit)
+    q = quantiles(df, names, QUARTILES, bounds, **limits)
     wide = q.groupBy("column").agg(
         *[
             F.max(F.when(F.col("prob") == p, F.col("value"))).alias(f"q{round(100 * p)}")
@@ -175,17 +175,26 @@ def top_values(df: DataFrame, k: int = 10, columns: Sequence[str] | None = None)
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(col_a, col_b, r): Pearson r of every ordered pair, in one pass.
+    """(col_a, col_b, r): Pearson r of every ordered pair, all in one aggregation.
 
     Only rows where both values are present count. A constant column has no r.
     """
     names = list(columns or numeric_columns(df))
-    aggs, wanted = [], list(combinations_with_replacement(range(len(names)), 2))
-    for i, j in wanted:
-        a, b = value_column(df, names[i]), value_column(df, names[j])
-        both = a.isNotNull() & b.isNotNull()
-        sd_a, sd_b = F.stddev_pop(F.when(both, a)), F.stddev_pop(F.when(both, b))
-        aggs.append(F.try_divide(F.covar_pop(a, b), sd_a * sd_b).alias(f"r{i}_{j}"))
+    values = [value_column(df, c) for c in names]
+    # Without nulls a column has one deviation, not one per partner.
+    row = df.agg(
+        F.count(F.lit(1)).alias("n"), *[F.count(v).alias(f"n{i}") for i, v in enumerate(values)]
+    ).first()
+    full = [row[f"n{i}"] == row["n"] for i in range(len(names))]
+
+    def deviation(own: int, partner: int) -> Column:
+        v = values[own]
+        return F.stddev_pop(v if full[partner] else F.when(values[partner].isNotNull(), v))
+
+    aggs = []
+    for i, j in combinations_with_replacement(range(len(names)), 2):
+        spread = deviation(i, j) * deviation(j, i)
+        aggs.append(F.try_divide(F.covar_pop(values[i], values[j]), spread).alias(f"r{i}_{j}"))
     row = df.agg(*aggs)
     return inline_rows(
         row,

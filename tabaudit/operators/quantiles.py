@@ -1,11 +1,11 @@
 """Exact, linearly interpolated quantiles without gathering a column in one task.
 
-The built-in exact percentile keeps every distinct value of a column in a single
-aggregation buffer. That is used here only up to a checked row count. Beyond it,
-approximate quantiles bracket each wanted rank, one counting pass checks that the
-rank lies inside its bracket, and brackets are narrowed until few values are left.
-Only those values are shuffled. Every pass is a column-pruned scan whose
-aggregation buffers have a fixed size, so the data itself never moves.
+Up to a checked row count, equal values of a column are counted and the counts
+are summed up in value order. Beyond it, quantiles of a sample bracket each
+wanted rank, one counting pass checks that the rank lies inside its bracket, and
+brackets are narrowed until few values are left; only those are shuffled. Every
+narrowing pass is a column-pruned scan with aggregation buffers of fixed size, so
+the data itself never moves.
 """
 
 from __future__ import annotations
@@ -19,11 +19,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tabaudit.functions.values import present
 from tabaudit.operators.cleaning import quoted
 
-# Rows of a column up to which the built-in exact percentile is used.
+# Rows of a column up to which all of its values may be sorted by one task.
 DIRECT_LIMIT = 1_000_000
 # Values a bracket may hold before it is narrowed again.
 BRACKET_LIMIT = 1_000_000
-# Rank error of the approximate quantiles is 1 / SKETCH_ACCURACY.
+# Rows that are sampled to place brackets; sqrt(n) where that is more.
+SAMPLE_ROWS = 100_000
+# Rank error of the quantiles of a sample is 1 / SKETCH_ACCURACY.
 SKETCH_ACCURACY = 10_000
 
 
@@ -44,6 +46,10 @@ class _Bracket:
     def upper_rank(self) -> int:
         return self.lower_rank + (1 if self.fraction > 0 else 0)
 
+    @property
+    def range(self) -> tuple[str, float, float]:
+        return self.column, self.low, self.high
+
     def covers(self) -> bool:
         return self.below <= self.lower_rank and self.upper_rank < self.below + self.inside
 
@@ -52,6 +58,18 @@ def value_column(df: DataFrame, name: str) -> Column:
     return present(quoted(name), df.schema[name].dataType).cast("double")
 
 
+def column_bounds(df: DataFrame, columns: Sequence[str]):
+    """Non-null count, minimum and maximum per column, in one pass."""
+    if not columns:
+        return {}
+    aggs = []
+    for i, name in enumerate(columns):
+        v = value_column(df, name)
+        aggs += [F.count(v).alias(f"n{i}"), F.min(v).alias(f"l{i}"), F.max(v).alias(f"h{i}")]
+    row = df.agg(*aggs).first()
+    return {name: (row[f"n{i}"], row[f"l{i}"], row[f"h{i}"]) for i, name in enumerate(columns)}
+
+
 def quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -59,142 +77,151 @@ def quantiles(
     bounds: dict[str, tuple[int, float | None, float | None]] | None = None,
     direct_limit: int = DIRECT_LIMIT,
     bracket_limit: int = BRACKET_LIMIT,
-    accuracy: int = SKETCH_ACCURACY,
+    sample_rows: int = SAMPLE_ROWS,
 ) -> DataFrame:
     """(column, prob, value); ``bounds`` may pass in known (count, min, max) per column."""
     if bounds is None:
         bounds = column_bounds(df, columns)
-    if max((n for n, _, _ in bounds.values()), default=0) <= direct_limit:
-        return _direct(df, columns, probs)
-    brackets = []
+    brackets, empty = [], []
     for name in columns:
         n, low, high = bounds[name]
-        for prob in probs if n else []:
+        for prob in probs:
+            if not n:
+                empty.append((name, float(prob), None))
+                continue
             position = prob * (n - 1)
             rank = math.floor(position)
             brackets.append(_Bracket(name, prob, rank, position - rank, low, high, 0, n))
-    empty = [(name, prob) for name in columns if not bounds[name][0] for prob in probs]
-    return _select(df, _narrow(df, brackets, bracket_limit, accuracy), empty)
-
-
-def column_bounds(df: DataFrame, columns: Sequence[str]):
-    """Non-null count, minimum and maximum per column, in one pass."""
-    if not columns:
-        return {}
-    aggs = []
-    for i, name in enumerate(columns):
-        v = value_column(df, name)
-        aggs += [F.count(v).alias(f"n{i}"), F.min(v).alias(f"l{i}"), F.max(v).alias(f"h{i}")]
-    row = df.agg(*aggs).first()
-    return {name: (row[f"n{i}"], row[f"l{i}"], row[f"h{i}"]) for i, name in enumerate(columns)}
+    if any(b.inside > direct_limit for b in brackets):
+        brackets = _narrow(df, brackets, bracket_limit, sample_rows)
+    return _select(df, brackets, empty)
 
 
-def _direct(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    wanted = F.array(*[F.lit(float(p)) for p in probs])
-    row = df.agg(
-        *[F.percentile(value_column(df, c), wanted).alias(f"q{i}") for i, c in enumerate(columns)]
-    )
-    return row.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("column"),
-                        F.lit(float(p)).alias("prob"),
-                        F.get(F.col(f"q{i}"), F.lit(j)).alias("value"),
-                    )
-                    for i, c in enumerate(columns)
-                    for j, p in enumerate(probs)
-                ]
-            )
-        )
-    )
-
-
-def _inside(df: DataFrame, b: _Bracket) -> Column:
-    v = value_column(df, b.column)
-    return F.when((v >= b.low) & (v <= b.high), v)
+def _inside(df: DataFrame, bounds: tuple[str, float, float]) -> Column:
+    name, low, high = bounds
+    v = value_column(df, name)
+    return F.when((v >= low) & (v <= high), v)
 
 
 def _narrow(
-    df: DataFrame, brackets: list[_Bracket], limit: int, accuracy: int
+    df: DataFrame, brackets: list[_Bracket], limit: int, sample_rows: int
 ) -> list[_Bracket]:
-    margin = 2.0 / accuracy
-    wide = [b for b in brackets if b.inside > limit and b.low < b.high]
-    done = [b for b in brackets if not (b.inside > limit and b.low < b.high)]
+    def too_wide(b: _Bracket) -> bool:
+        return b.inside > limit and b.low < b.high
+
+    wide, done = [b for b in brackets if too_wide(b)], [b for b in brackets if not too_wide(b)]
+    slack = 1.0
     while wide:
-        # New bounds: approximate quantiles a little below and above the wanted ranks.
-        aggs = []
-        for i, b in enumerate(wide):
-            last = b.inside - 1
-            lo = max(0.0, (b.lower_rank - b.below) / last - margin)
-            hi = min(1.0, (b.upper_rank - b.below) / last + margin)
-            aggs.append(
-                F.percentile_approx(_inside(df, b), [lo, hi], accuracy).alias(f"e{i}")
-            )
-        edges = df.agg(*aggs).first()
-        tried = [
-            replace(b, low=edges[f"e{i}"][0], high=edges[f"e{i}"][1]) for i, b in enumerate(wide)
-        ]
+        tried = _sampled_bounds(df, wide, sample_rows, slack)
         counts = df.agg(
             *[
                 agg
                 for i, t in enumerate(tried)
                 for agg in (
                     F.count_if(value_column(df, t.column) < t.low).alias(f"b{i}"),
-                    F.count(_inside(df, t)).alias(f"n{i}"),
+                    F.count(_inside(df, t.range)).alias(f"n{i}"),
                 )
             ]
         ).first()
-        still = []
+        still, missed = [], False
         for i, (old, new) in enumerate(zip(wide, tried)):
             new = replace(new, below=counts[f"b{i}"], inside=counts[f"n{i}"])
             if not new.covers():
-                # The sketch missed: keep the old bracket and look wider next time.
+                # The sample missed the rank: keep the old bracket, look wider next time.
                 still.append(old)
-            elif new.inside > limit and new.low < new.high and new.inside < old.inside:
+                missed = True
+            elif too_wide(new) and new.inside < old.inside:
                 still.append(new)
             else:
                 # Small enough, a single value, or a few values that repeat a lot.
                 done.append(new)
-        if any(b in wide for b in still):
-            margin *= 4
+        slack = slack * 4 if missed else slack
         wide = still
     return done
 
 
-def _select(
-    df: DataFrame, brackets: list[_Bracket], empty: list[tuple[str, float]]
-) -> DataFrame:
+def _sampled_bounds(
+    df: DataFrame, wide: list[_Bracket], sample_rows: int, slack: float
+) -> list[_Bracket]:
+    """New bounds a little below and above each wanted rank, from quantiles of a sample.
+
+    The margin is five standard errors of a sampled rank plus the sketch's error.
+    Brackets over the same values share one sketch.
+    """
+    smallest = min(b.inside for b in wide)
+    rows = max(sample_rows, math.isqrt(smallest))
+    fraction = min(1.0, rows / smallest)
+    source = df if fraction == 1.0 else df.sample(fraction, seed=17)
+    probs: dict[tuple, list[float]] = {}
+    spots = []
+    for b in wide:
+        p = (b.lower_rank - b.below) / (b.inside - 1)
+        sampled = max(1.0, b.inside * fraction)
+        margin = slack * (2 / SKETCH_ACCURACY + 5 * math.sqrt(p * (1 - p) / sampled) + 1 / sampled)
+        share = probs.setdefault(b.range, [])
+        spots.append((b.range, len(share)))
+        share += [max(0.0, p - margin), min(1.0, p + margin)]
+    ranges = list(probs)
+    row = source.agg(
+        *[
+            F.percentile_approx(_inside(df, r), probs[r], SKETCH_ACCURACY).alias(f"e{i}")
+            for i, r in enumerate(ranges)
+        ]
+    ).first()
+    out = []
+    for b, (r, at) in zip(wide, spots):
+        edges = row[f"e{ranges.index(r)}"]
+        # At the ends of the scale the sample says nothing, the old bound does.
+        low = b.low if not edges or probs[r][at] == 0.0 else edges[at]
+        high = b.high if not edges or probs[r][at + 1] == 1.0 else edges[at + 1]
+        out.append(replace(b, low=low, high=high))
+    return out
+
+
+def _select(df: DataFrame, brackets: list[_Bracket], empty: list[tuple]) -> DataFrame:
+    """Values at the wanted ranks: counts of equal values, summed up in value order.
+
+    A range is sorted by one task; it holds few distinct values by construction.
+    """
     spark = df.sparkSession
-    schema = "column string, prob double, value double"
-    blank = spark.createDataFrame([(c, float(p), None) for c, p in empty], schema)
+    blank = spark.createDataFrame(empty, "column string, prob double, value double")
     if not brackets:
         return blank
+    ranges = sorted({b.range for b in brackets})
     hits = F.array(
-        *[
-            F.struct(F.lit(i).alias("i"), _inside(df, b).alias("v"))
-            for i, b in enumerate(brackets)
-        ]
+        *[F.struct(F.lit(i).alias("i"), _inside(df, r).alias("v")) for i, r in enumerate(ranges)]
     )
     counted = (
-        df.select(F.inline(F.filter(hits, lambda h: h["v"].isNotNull())))
+        df.select(F.inline(hits))
+        .filter("v IS NOT NULL")
         .groupBy("i", "v")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    seen = F.sum("n").over(Window.partitionBy("i").orderBy("v"))
+    # One row per bracket: columns times probabilities, so it is small by construction.
     facts = spark.createDataFrame(
         [
-            (i, b.column, float(b.prob), b.lower_rank - b.below, b.upper_rank - b.below, b.fraction)
-            for i, b in enumerate(brackets)
+            (
+                ranges.index(b.range),
+                b.column,
+                float(b.prob),
+                b.lower_rank - b.below,
+                b.upper_rank - b.below,
+                b.fraction,
+            )
+            for b in brackets
         ],
         "i int, column string, prob double, lo long, hi long, frac double",
     )
-    # One row per bracket: columns times probabilities, so it is small by construction.
-    placed = counted.withColumn("seen", seen).join(F.broadcast(facts), "i")
-    at_lo = F.min(F.when(F.col("seen") > F.col("lo"), F.col("v")))
-    at_hi = F.min(F.when(F.col("seen") > F.col("hi"), F.col("v")))
-    out = placed.groupBy("column", "prob").agg(
-        (at_lo + F.first("frac") * (at_hi - at_lo)).alias("value")
+    upto = F.sum("n").over(Window.partitionBy("i").orderBy("v"))
+    at_lo, at_hi = (
+        F.max(F.when((F.col(r) < F.col("upto")) & (F.col(r) >= F.col("upto") - F.col("n")), F.col("v")))
+        for r in ("lo", "hi")
+    )
+    out = (
+        counted.withColumn("upto", upto)
+        .join(F.broadcast(facts), "i")
+        .groupBy("column", "prob", "frac")
+        .agg(at_lo.alias("a"), at_hi.alias("b"))
+        .select("column", "prob", (F.col("a") + F.col("frac") * (F.col("b") - F.col("a"))).alias("value"))
     )
     return out.unionByName(blank) if empty else out

@@ -20,8 +20,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tabaudit.operators.cleaning import quoted
 
-# Hex digits of the hash that form a bucket: 65,536 even buckets per class.
-BUCKET_DIGITS = 4
 # Classes up to which thresholds are inlined rather than joined.
 INLINE_CLASSES = 64
 # More distinct labels than this are not classes.
@@ -110,21 +108,23 @@ def fit_split(
 ) -> SplitPlan:
     """Find the hash at every rank where a class changes from one slot to the next.
 
-    One pass counts (class, bucket); a second looks only at the buckets that
-    contain a wanted rank. ``key`` must be unique.
+    Three narrow passes: class sizes, rows per class and hash bucket, and the hashes
+    in those buckets that contain a wanted rank. ``key`` must be unique.
     """
-    hashed = df.select(quoted(label).alias("c"), row_hash(key, seed).alias("h"))
-    hashed = hashed.withColumn("b", F.substring("h", 1, BUCKET_DIGITS))
-    counts = hashed.groupBy("c", "b").agg(F.count(F.lit(1)).alias("n")).persist()
-    try:
-        rows = counts.groupBy("c").agg(F.sum("n").alias("n")).limit(MAX_CLASSES + 1).collect()
-        if len(rows) > MAX_CLASSES:
-            raise ValueError(f"{label} has more than {MAX_CLASSES} distinct values")
-        sizes = {r["c"]: r["n"] for r in rows}
-        ranks = _slot_ranks(sizes, test_size, folds)
-        found = _hashes_at(hashed, counts, ranks, df.schema[label].dataType)
-    finally:
-        counts.unpersist()
+    rows = (
+        df.groupBy(quoted(label).alias("c"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .limit(MAX_CLASSES + 1)
+        .collect()
+    )
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} distinct values")
+    sizes = {r["c"]: r["n"] for r in rows}
+    ranks = _slot_ranks(sizes, test_size, folds)
+    hashed = df.select(quoted(label).alias("c"), row_hash(key, seed).alias("h")).withColumn(
+        "b", F.substring("h", 1, bucket_digits(sum(sizes.values())))
+    )
+    found = _hashes_at(hashed, ranks, df.schema[label].dataType)
     cuts = tuple(
         (c, tuple(found[c, r] if r else "" for r in ranks[c]))
         for c in sorted(sizes, key=_class_order)
@@ -143,7 +143,15 @@ def _slot_ranks(sizes: dict, test_size: float, folds: int) -> dict:
     return ranks
 
 
-def _hashes_at(hashed: DataFrame, counts: DataFrame, ranks: dict, dtype: T.DataType) -> dict:
+def bucket_digits(n: int) -> int:
+    """Leading hex digits of the hash that make about sqrt(n) even buckets.
+
+    Neither the buckets of a class nor the rows of a bucket then outgrow sqrt(n).
+    """
+    return min(8, max(1, round(math.log(max(n, 1), 16) / 2)))
+
+
+def _hashes_at(hashed: DataFrame, ranks: dict, dtype: T.DataType) -> dict:
     """``(class, rank) -> hash`` for the wanted ranks (1-based; 0 is left out)."""
     spark = hashed.sparkSession
     wanted = sorted({(c, r) for c, rs in ranks.items() for r in rs if r}, key=lambda x: x[1])
@@ -152,6 +160,7 @@ def _hashes_at(hashed: DataFrame, counts: DataFrame, ranks: dict, dtype: T.DataT
     class_field = T.StructField("c2", dtype)
     rank_schema = T.StructType([class_field, T.StructField("r", T.LongType())])
     # Wanted ranks and hit buckets: a few rows per class.
+    counts = hashed.groupBy("c", "b").agg(F.count(F.lit(1)).alias("n"))
     upto = F.sum("n").over(Window.partitionBy("c").orderBy("b"))
     hits = (
         counts.withColumn("upto", upto)

@@ -10,7 +10,7 @@ from tabaudit.functions import rates
 from tabaudit.functions.values import age_bin
 from tabaudit.operators.cleaning import quoted
 from tabaudit.operators.metrics import cells, confusion_counts
-from tabaudit.operators.ranking import auc_from_sums, rank_sums
+from tabaudit.operators.ranking import auc_from_sums, rank_sums, score_edges
 
 # Default dimensions, and rows a group needs to be reported.
 DEFAULT_DIMENSIONS = ("sex", "race", "age")
@@ -46,6 +46,7 @@ def subgroup_metrics(
     y_pred: str = "y_pred",
     score: str | None = "y_proba",
     min_rows: int = MIN_GROUP_ROWS,
+    edges: Sequence[float] | None = None,
 ) -> DataFrame:
     """All dimensions at once; groups with fewer than ``min_rows`` rows are left out.
 
@@ -60,7 +61,9 @@ def subgroup_metrics(
     else:
         rows = by_dimension(df, dims, [y_true, y_pred, score])
         hits = rates.cell_indicators(quoted(y_true), quoted(y_pred))
-        counts = rank_sums(rows, keys, y_true, score, hits)
+        if edges is None:
+            edges = score_edges(df, score)
+        counts = rank_sums(rows, keys, y_true, score, hits, edges)
         auc = auc_from_sums()
     tn, fp, fn, tp = cells()
     n = rates.total(tn, fp, fn, tp)

@@ -16,6 +16,7 @@ from tabaudit.operators import (
     models,
     profile,
     quantiles,
+    ranking,
     split,
     subgroups,
 )
@@ -195,7 +196,8 @@ def numeric_summary(spark, sf_dir):
 def numeric_summary_narrowed(spark, sf_dir):
     """The same summary with quartiles found the way large tables need."""
     lines = views.table(spark, sf_dir, "lineitem")
-    return rounded(profile.numeric_summary(lines, direct_limit=0))
+    limits = {"direct_limit": 0, "bracket_limit": 1000, "sample_rows": 10_000}
+    return rounded(profile.numeric_summary(lines, **limits))
 
 
 @query
@@ -208,7 +210,7 @@ def exact_quantiles(spark, sf_dir):
             [0.1, 0.5, 0.9, 0.99],
             direct_limit=0,
             bracket_limit=100,
-            accuracy=200,
+            sample_rows=1000,
         )
     )
 
@@ -428,11 +430,12 @@ def subgroup_metrics(spark, sf_dir):
 
 @query
 def subgroup_auc(spark, sf_dir):
-    return rounded(
-        subgroups.subgroup_metrics(views.scored_orders_by_region(spark, sf_dir)).select(
-            "dimension", "group", "n_samples", "auc"
-        )
+    # Score ranges come from the orders alone; the joined table has the same scores.
+    edges = ranking.score_edges(views.scored_orders(spark, sf_dir), "y_proba")
+    groups = subgroups.subgroup_metrics(
+        views.scored_orders_by_region(spark, sf_dir), edges=edges
     )
+    return rounded(groups.select("dimension", "group", "n_samples", "auc"))
 
 
 @query

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, WindowSpec, functions as F, types as T
 
 from tabaudit.functions.text import MISSING_TOKEN, clean_text, sentinel_to_null
 from tabaudit.functions.values import POSITIVE_LABEL, binary_label
@@ -15,6 +15,12 @@ def quoted(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def running(keys: Sequence[str], order: str) -> WindowSpec:
+    """All rows of the key up to the current one."""
+    rows = Window.partitionBy(*keys).orderBy(order)
+    return rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
 def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
 

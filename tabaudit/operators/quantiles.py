@@ -14,10 +14,10 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tabaudit.functions.values import present
-from tabaudit.operators.cleaning import quoted
+from tabaudit.operators.cleaning import quoted, running
 
 # Rows of a column up to which all of its values may be sorted by one task.
 DIRECT_LIMIT = 1_000_000
@@ -212,16 +212,15 @@ def _select(df: DataFrame, brackets: list[_Bracket], empty: list[tuple]) -> Data
         ],
         "i int, column string, prob double, lo long, hi long, frac double",
     )
-    upto = F.sum("n").over(Window.partitionBy("i").orderBy("v"))
+    counted = counted.withColumn("upto", F.sum("n").over(running(["i"], "v")))
     at_lo, at_hi = (
-        F.max(F.when((F.col(r) < F.col("upto")) & (F.col(r) >= F.col("upto") - F.col("n")), F.col("v")))
-        for r in ("lo", "hi")
+        (F.col(r) < F.col("upto")) & (F.col(r) >= F.col("upto") - F.col("n")) for r in ("lo", "hi")
     )
+    a, b = F.max(F.when(at_lo, F.col("v"))), F.max(F.when(at_hi, F.col("v")))
+    # Only the one or two rows at a wanted rank leave the join.
     out = (
-        counted.withColumn("upto", upto)
-        .join(F.broadcast(facts), "i")
-        .groupBy("column", "prob", "frac")
-        .agg(at_lo.alias("a"), at_hi.alias("b"))
-        .select("column", "prob", (F.col("a") + F.col("frac") * (F.col("b") - F.col("a"))).alias("value"))
+        counted.join(F.broadcast(facts.withColumnRenamed("i", "j")), (F.col("i") == F.col("j")) & (at_lo | at_hi))
+        .groupBy("column", "prob")
+        .agg((a + F.max("frac") * (b - a)).alias("value"))
     )
     return out.unionByName(blank) if empty else out

@@ -12,10 +12,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tabaudit.functions.values import present
-from tabaudit.operators.cleaning import quoted
+from tabaudit.operators.cleaning import quoted, running
 
 MAX_BUCKETS = 4096
 
@@ -77,7 +77,7 @@ def rank_sums(
     group = [*keys] or ["_all"]
     if not keys:
         cells = cells.withColumn("_all", F.lit(0))
-    below = F.sum("neg").over(Window.partitionBy(*group, "_b").orderBy("_s")) - F.col("neg")
+    below = F.sum("neg").over(running([*group, "_b"], "_s")) - F.col("neg")
     pairs = F.col("pos").cast("double") * (F.col("below") + F.col("neg") / 2)
     in_bucket = (
         cells.withColumn("below", below)
@@ -85,7 +85,7 @@ def rank_sums(
         .agg(F.sum(pairs).alias("u"), *[F.sum(c).alias(c) for c in ("pos", "neg", *sums)])
     )
     # From here on there is one row per group and bucket.
-    before = F.sum("neg").over(Window.partitionBy(*group).orderBy("_b")) - F.col("neg")
+    before = F.sum("neg").over(running(group, "_b")) - F.col("neg")
     return (
         in_bucket.withColumn("before", before)
         .groupBy(*group)

@@ -18,7 +18,7 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tabaudit.operators.cleaning import quoted
+from tabaudit.operators.cleaning import quoted, running
 
 # Classes up to which thresholds are inlined rather than joined.
 INLINE_CLASSES = 64
@@ -161,7 +161,7 @@ def _hashes_at(hashed: DataFrame, ranks: dict, dtype: T.DataType) -> dict:
     rank_schema = T.StructType([class_field, T.StructField("r", T.LongType())])
     # Wanted ranks and hit buckets: a few rows per class.
     counts = hashed.groupBy("c", "b").agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.partitionBy("c").orderBy("b"))
+    upto = F.sum("n").over(running(["c"], "b"))
     hits = (
         counts.withColumn("upto", upto)
         .join(

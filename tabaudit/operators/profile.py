@@ -19,14 +19,14 @@ def inline_rows(df: DataFrame, entries: Sequence[Column]) -> DataFrame:
     return df.select(F.inline(F.array(*entries)))
 
 
-def _is_missing(df: DataFrame, name: str) -> Column:
+def is_missing(df: DataFrame, name: str) -> Column:
     return present(quoted(name), df.schema[name].dataType).isNull()
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column, null_count), all columns in one pass; NaN counts as null."""
     names = list(columns or df.columns)
-    row = df.agg(*[F.count_if(_is_missing(df, c)).alias(f"n{i}") for i, c in enumerate(names)])
+    row = df.agg(*[F.count_if(is_missing(df, c)).alias(f"n{i}") for i, c in enumerate(names)])
     return inline_rows(
         row,
         [
@@ -41,7 +41,7 @@ def null_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     names = list(columns or df.columns)
     row = df.agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.count_if(_is_missing(df, c)).alias(f"n{i}") for i, c in enumerate(names)],
+        *[F.count_if(is_missing(df, c)).alias(f"n{i}") for i, c in enumerate(names)],
     )
     rows = inline_rows(
         row,
@@ -81,7 +81,7 @@ def column_dtypes(df: DataFrame) -> DataFrame:
 def table_info(df: DataFrame) -> DataFrame:
     """(position, column, non_null, dtype)."""
     row = df.agg(
-        *[F.count_if(~_is_missing(df, c)).alias(f"n{i}") for i, c in enumerate(df.columns)]
+        *[F.count_if(~is_missing(df, c)).alias(f"n{i}") for i, c in enumerate(df.columns)]
     )
     return inline_rows(
         row,

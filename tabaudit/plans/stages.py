@@ -16,6 +16,7 @@ from tabaudit.functions.values import POSITIVE_LABEL
 from tabaudit.operators import expectations, metrics, models, profile, subgroups
 from tabaudit.operators.cleaning import (
     binarize_label,
+    clean_features,
     clean_target,
     numeric_columns,
     quoted,
@@ -31,6 +32,11 @@ from tabaudit.sources.tables import ROW_ID, ingest, load_data, read_table
 
 log = logging.getLogger(__name__)
 
+GROUP_PREFIX = "group_"
+
+# Groups up to which a report document lists them; a table lists any number.
+MAX_LISTED_GROUPS = 10_000
+
 
 @dataclass(frozen=True)
 class Paths:
@@ -92,7 +98,7 @@ def validation_rows(
     row = data.agg(
         F.count(F.lit(1)).alias("n"),
         *[counts[r].alias(f"r{i}") for i, r in enumerate(names)],
-        *[F.count_if(profile._is_missing(data, c)).alias(f"c{i}") for i, c in enumerate(data.columns)],
+        *[F.count_if(profile.is_missing(data, c)).alias(f"c{i}") for i, c in enumerate(data.columns)],
     )
 
     def entry(section, column, statistic, value):
@@ -245,17 +251,18 @@ def design_table(
     folds: int = models.DEFAULT_FOLDS,
     seed: int = 42,
 ) -> DataFrame:
-    """Encoded features, label, part, fold and the raw group columns, written once.
+    """Encoded features, label, part, fold and cleaned group columns, written once.
 
-    Raw group columns get the prefix ``raw_``: a feature may have the same name.
+    Group columns get the prefix ``group_``: a feature may have the same name. The
+    text chain runs once, as a second run could strip more.
     """
     rows = labelled(features, target, layout)
     placed = fit_split(rows, layout.target, ROW_ID, folds=folds, seed=seed).apply(rows)
+    cleaned = clean_features(placed, preprocessor.cat_cols, preprocessor.missing_as_unknown)
     groups = [c for c in layout.dimensions if c in features.columns]
-    for c in groups:
-        placed = placed.withColumn(f"raw_{c}", quoted(c))
-    keep = [ROW_ID, models.LABEL, "part", "fold", *[f"raw_{c}" for c in groups]]
-    return materialize(preprocessor.transform(placed, keep), "design")
+    cleaned = cleaned.withColumns({GROUP_PREFIX + c: quoted(c) for c in groups})
+    keep = [ROW_ID, models.LABEL, "part", "fold", *[GROUP_PREFIX + c for c in groups]]
+    return materialize(preprocessor.apply(cleaned, keep), "design")
 
 
 def train(
@@ -290,11 +297,11 @@ def train(
 
 
 def scored_table(model, design: DataFrame) -> DataFrame:
-    """Truth, prediction, score, part, fold and raw groups, written once for all metrics."""
-    groups = [c for c in design.columns if c.startswith("raw_")]
+    """Truth, prediction, score, part, fold and groups, written once for all metrics."""
+    groups = [c for c in design.columns if c.startswith(GROUP_PREFIX)]
     scored = models.score(model, design, [ROW_ID, models.LABEL, "part", "fold", *groups])
     renamed = scored.withColumnsRenamed(
-        {models.LABEL: "y_true", **{g: g.removeprefix("raw_") for g in groups}}
+        {models.LABEL: "y_true", **{g: g.removeprefix(GROUP_PREFIX) for g in groups}}
     )
     return materialize(renamed, "scored")
 
@@ -323,11 +330,17 @@ def evaluate(
         groups = materialize(subgroups.subgroup_metrics(test, dims, score=proba), "groups")
         for name in dims:
             document["subgroup_metrics"][name] = {"groups": {}}
-        # Aggregated rows, one per reported group.
-        for row in groups.collect():
-            entry = row.asDict()
-            name, group = entry.pop("dimension"), entry.pop("group")
-            document["subgroup_metrics"][name]["groups"][group] = entry
+        if paths is not None:
+            document["subgroups_path"] = reports.write_rows(
+                groups, f"{paths.artifacts}/subgroup_metrics.json"
+            )
+        if groups.count() <= MAX_LISTED_GROUPS:
+            for row in groups.collect():
+                entry = row.asDict()
+                name, group = entry.pop("dimension"), entry.pop("group")
+                document["subgroup_metrics"][name]["groups"][group] = entry
+        else:
+            log.warning("too many groups to list in the document, see the table of subgroups")
         for row in subgroups.subgroup_disparity(groups).collect():
             entry = row.asDict()
             document["subgroup_metrics"][entry.pop("dimension")]["disparity"] = entry

@@ -8,9 +8,10 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tabaudit.functions.values import present
 from tabaudit.operators.cleaning import quoted, replace_columns
 from tabaudit.operators.profile import class_distribution
-from tabaudit.functions.values import present
+from tabaudit.operators.split import MAX_CLASSES
 from tabaudit.session import materialize
 
 log = logging.getLogger(__name__)
@@ -131,7 +132,10 @@ def ingest(
     feature_table, target_table = split_source(source, features, target, key)
     written = write_table(feature_table, f"{out_dir}/features")
     written += write_table(target_table, f"{out_dir}/targets")
-    classes = target_table.groupBy(quoted(target)).count().collect()
+    counted = target_table.groupBy(quoted(target)).count()
+    classes = counted.limit(MAX_CLASSES + 1).collect()
+    if len(classes) > MAX_CLASSES:
+        raise ValueError(f"{target} has more than {MAX_CLASSES} distinct values")
     return {
         "n_rows": sum(r["count"] for r in classes),
         "n_features": len(features),

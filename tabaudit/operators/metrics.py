@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tabaudit.functions import rates
 from tabaudit.operators.cleaning import quoted
 from tabaudit.operators.profile import inline_rows
-from tabaudit.operators.ranking import auc_from_sums, rank_sums
+from tabaudit.operators.ranking import auc_from_sums, overall_sums
 
 
 def confusion_counts(
@@ -95,7 +95,7 @@ def classification_report(
 
 def roc_auc(df: DataFrame, y_true: str = "y_true", score: str = "y_proba") -> DataFrame:
     """(auc, n_pos, n_neg), exact with ties; null when only one class occurs."""
-    return rank_sums(df, [], y_true, score).select(
+    return overall_sums(df, y_true, score).select(
         auc_from_sums().alias("auc"), F.col("pos").alias("n_pos"), F.col("neg").alias("n_neg")
     )
 
@@ -113,7 +113,7 @@ def evaluation_summary(
         auc = F.lit(None).cast("double")
     else:
         hits = rates.cell_indicators(quoted(y_true), quoted(y_pred))
-        counts = rank_sums(df, [], y_true, score, hits)
+        counts = overall_sums(df, y_true, score, hits)
         auc = auc_from_sums()
     return counts.select(
         *rates.CELLS,

@@ -1,10 +1,11 @@
-"""Rank sums for exact ROC-AUC, overall or per group, without a task per group.
+"""Rank sums for exact ROC-AUC in every group of every dimension at once.
 
 AUC is the share of (positive, negative) pairs ranked rightly, ties counting
-half. Equal scores of a group are first combined map-side. Score ranges then cut
-every group into buckets that are sorted apart. Pairs inside a bucket come from
-its own sort, and pairs across buckets from the buckets' totals, so a group that
-holds all rows is spread as widely as the scores are.
+half. Equal rows are first combined map-side. Score ranges then cut the table
+into buckets of about equal size, whatever the sizes of the groups, and each
+bucket is sorted once per dimension without further shuffles. Pairs inside a
+bucket come from running counts. Pairs across buckets come from the buckets'
+totals, of which there is one row per group and bucket.
 """
 
 from __future__ import annotations
@@ -12,94 +13,136 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabaudit.functions.values import present
 from tabaudit.operators.cleaning import quoted, running
 
-MAX_BUCKETS = 4096
-# Share of the scores that place the bucket edges.
-EDGE_SAMPLE = 0.01
+# Buckets per shuffle partition, which evens out partitions, and their limits.
+BUCKETS_PER_TASK = 8
+MIN_BUCKETS, MAX_BUCKETS = 16, 20_000
+# Sampled scores per bucket that place its edges.
+SAMPLE_PER_BUCKET = 100
+
+
+def score_value(df: DataFrame, score: str) -> Column:
+    return present(quoted(score), df.schema[score].dataType).cast("double")
 
 
 def score_edges(df: DataFrame, score: str, buckets: int | None = None) -> list[float]:
-    """Inner edges of ranges with about equally many scores; one narrow scan.
+    """Inner edges of ranges with about equally many scores.
 
     Any edges give the same AUC, they only decide how evenly the work is spread,
-    so a sample of the scores is enough to place them.
+    so a sample of the scores places them. Its size follows from the number of
+    buckets, not from the table.
     """
     if buckets is None:
         tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        buckets = min(MAX_BUCKETS, max(16, 4 * tasks))
+        buckets = min(MAX_BUCKETS, max(MIN_BUCKETS, BUCKETS_PER_TASK * tasks))
+    scores = df.select(score_value(df, score).alias("v"))
+    fraction = min(1.0, buckets * SAMPLE_PER_BUCKET / max(1, scores.count()))
     probs = [i / buckets for i in range(1, buckets)]
-    value = present(quoted(score), df.schema[score].dataType).cast("double")
-    sampled = df.select(value.alias("v")).sample(EDGE_SAMPLE, seed=17)
-    found = sampled.agg(F.percentile_approx("v", probs, 4 * buckets)).first()[0]
-    return sorted(set(found or []))
+    found = scores.sample(fraction, seed=17).agg(F.percentile_approx("v", probs, 4 * buckets))
+    return sorted(set(found.first()[0] or []))
 
 
 def rank_sums(
     df: DataFrame,
-    keys: Sequence[str],
+    dimensions: dict[str, Column],
     y_true: str,
     score: str,
     sums: dict[str, Column] | None = None,
     edges: Sequence[float] | None = None,
 ) -> DataFrame:
-    """Per key group: ``pos``, ``neg`` and rank sum ``u`` of scored rows, and ``sums``.
+    """(dimension, group, u, pos, neg, and ``sums``), one row per group that is not null.
 
-    ``sums`` are integer expressions added up over all rows of the group. Rows
+    ``u`` is the rank sum of the scored rows, of which ``pos`` and ``neg`` count
+    the classes. ``sums`` are integer expressions added up over all rows: those
     without a score take part in them but not in the ranking.
     """
-    sums = sums or {}
+    names, sums = list(dimensions), sums or {}
     if edges is None:
         edges = score_edges(df, score)
-    value = present(quoted(score), df.schema[score].dataType).cast("double")
-    scored = value.isNotNull()
+    value = score_value(df, score)
+    scored, counts = value.isNotNull(), ["pos", "neg", *sums]
+    groups = [f"_g{i}" for i in range(len(names))]
     cells = (
         df.select(
-            *[quoted(k) for k in keys],
+            *[dimensions[n].alias(g) for n, g in zip(names, groups)],
             # -0.0 and 0.0 are one score.
             F.when(value == 0, 0.0).otherwise(value).alias("_s"),
             (scored & (quoted(y_true) == 1)).cast("long").alias("pos"),
             (scored & (quoted(y_true) != 1)).cast("long").alias("neg"),
             *[expr.cast("long").alias(name) for name, expr in sums.items()],
         )
-        .groupBy(*keys, "_s")
-        .agg(*[F.sum(c).alias(c) for c in ("pos", "neg", *sums)])
+        .groupBy(*groups, "_s")
+        .agg(*[F.sum(c).alias(c) for c in counts])
+    )
+    # Hashing on the bucket alone serves the windows of all dimensions and the sums.
+    cells = _with_bucket(cells, edges).repartition("_b")
+    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
+    for g in groups:
+        # The frame includes rows with an equal score.
+        upto = Window.partitionBy("_b", g).orderBy("_s").rangeBetween(
+            Window.unboundedPreceding, Window.currentRow
+        )
+        surplus = pos * F.sum("neg").over(upto) - neg * F.sum("pos").over(upto)
+        cells = cells.withColumn(f"{g}_surplus", surplus)
+    members = F.array(
+        *[
+            F.struct(F.lit(i).alias("_d"), F.col(g).alias("group"), F.col(f"{g}_surplus").alias("_x"))
+            for i, g in enumerate(groups)
+        ]
     )
-    if edges:
-        cells = Bucketizer(
-            splits=[float("-inf"), *edges, float("inf")],
-            inputCol="_s",
-            outputCol="_b",
-            handleInvalid="keep",
-        ).transform(cells)
-        # As an integer the bucket keeps its partitioning through the aggregation below.
-        cells = cells.withColumn("_b", F.col("_b").cast("int"))
-    else:
-        cells = cells.withColumn("_b", F.lit(0))
-    # A constant key keeps the windows partitioned when there is no group.
-    group = [*keys] or ["_all"]
-    if not keys:
-        cells = cells.withColumn("_all", F.lit(0))
-    below = F.sum("neg").over(running([*group, "_b"], "_s")) - F.col("neg")
-    pairs = F.col("pos").cast("double") * (F.col("below") + F.col("neg") / 2)
+    # Pairs with the positive not below the negative, less those with it not above,
+    # and all pairs: half of that sum counts right pairs once and ties half.
     in_bucket = (
-        cells.withColumn("below", below)
-        .groupBy(*group, "_b")
-        .agg(F.sum(pairs).alias("u"), *[F.sum(c).alias(c) for c in ("pos", "neg", *sums)])
+        cells.select("_b", *counts, F.inline(members))
+        .filter("`group` IS NOT NULL")
+        .groupBy("_b", "_d", "group")
+        .agg(F.sum("_x").alias("_x"), *[F.sum(c).alias(c) for c in counts])
+        .withColumn("u", (F.col("_x") + pos * neg) / 2)
     )
-    # From here on there is one row per group and bucket.
-    before = F.sum("neg").over(running(group, "_b")) - F.col("neg")
+    before = F.sum("neg").over(running(["_d", "group"], "_b")) - F.col("neg")
     return (
-        in_bucket.withColumn("before", before)
-        .groupBy(*group)
+        in_bucket.withColumn("_before", before)
+        .groupBy("_d", "group")
         .agg(
-            F.sum(F.col("u") + F.col("pos").cast("double") * F.col("before")).alias("u"),
-            *[F.sum(c).alias(c) for c in ("pos", "neg", *sums)],
+            F.sum(F.col("u") + pos * F.col("_before")).alias("u"),
+            *[F.sum(c).alias(c) for c in counts],
         )
+        .select(
+            F.get(F.array(*map(F.lit, names)), F.col("_d")).alias("dimension"),
+            "group",
+            "u",
+            *counts,
+        )
+    )
+
+
+def overall_sums(
+    df: DataFrame,
+    y_true: str,
+    score: str,
+    sums: dict[str, Column] | None = None,
+    edges: Sequence[float] | None = None,
+) -> DataFrame:
+    """``rank_sums`` of the whole table: (u, pos, neg, and ``sums``), no row for no rows."""
+    whole = rank_sums(df, {"all": F.lit("all")}, y_true, score, sums, edges)
+    return whole.drop("dimension", "group")
+
+
+def _with_bucket(cells: DataFrame, edges: Sequence[float]) -> DataFrame:
+    """Add the integer bucket of the score; a missing score has a bucket of its own."""
+    if not edges:
+        return cells.withColumn("_b", F.lit(0))
+    bucketizer = Bucketizer(
+        splits=[float("-inf"), *edges, float("inf")],
+        inputCol="_s",
+        outputCol="_b",
+        handleInvalid="keep",
     )
+    return bucketizer.transform(cells).withColumn("_b", F.col("_b").cast("int"))
 
 
 def auc_from_sums() -> Column:

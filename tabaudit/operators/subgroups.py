@@ -10,7 +10,7 @@ from tabaudit.functions import rates
 from tabaudit.functions.values import age_bin
 from tabaudit.operators.cleaning import quoted
 from tabaudit.operators.metrics import cells, confusion_counts
-from tabaudit.operators.ranking import auc_from_sums, rank_sums, score_edges
+from tabaudit.operators.ranking import auc_from_sums, rank_sums
 
 # Default dimensions, and rows a group needs to be reported.
 DEFAULT_DIMENSIONS = ("sex", "race", "age")
@@ -59,11 +59,8 @@ def subgroup_metrics(
         counts = confusion_counts(by_dimension(df, dims, [y_true, y_pred]), y_true, y_pred, keys)
         auc = F.lit(None).cast("double")
     else:
-        rows = by_dimension(df, dims, [y_true, y_pred, score])
         hits = rates.cell_indicators(quoted(y_true), quoted(y_pred))
-        if edges is None:
-            edges = score_edges(df, score)
-        counts = rank_sums(rows, keys, y_true, score, hits, edges)
+        counts = rank_sums(df, dims, y_true, score, hits, edges)
         auc = auc_from_sums()
     tn, fp, fn, tp = cells()
     n = rates.total(tn, fp, fn, tp)

@@ -70,12 +70,22 @@ def test_auc_equals_counting_pairs(spark, edges):
     rows = [(rng.randint(0, 1), 0.5 if i % 3 == 0 else rng.random()) for i in range(900)]
     rows += [(1, None), (0, None)]
     df = spark.createDataFrame(rows, "y_true int, s double")
-    sums = ranking.rank_sums(df, [], "y_true", "s", {"n": F.lit(1)}, edges)
+    sums = ranking.overall_sums(df, "y_true", "s", {"n": F.lit(1)}, edges)
     row = sums.select("n", ranking.auc_from_sums().alias("auc")).first()
     assert row["n"] == 902
     assert row["auc"] == pytest.approx(pair_auc(rows), abs=1e-12)
 
 
+def test_ranking_shuffles_rows_once_for_all_dimensions(people):
+    df, _ = people
+    edges = ranking.score_edges(df, "y_proba")
+    dims = {**subgroups.dimensions_of(df), "other": F.col("y_pred").cast("string")}
+    sums = ranking.rank_sums(df, dims, "y_true", "y_proba", edges=edges)
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    # Cells, buckets, and one small exchange of bucket totals.
+    assert plan.count("Exchange") == 3, plan
+
+
 def test_auc_is_zero_when_every_pair_is_wrong(scored):
     df = scored([(1, 0, 0.1), (0, 0, 0.9)])
     assert metrics.roc_auc(df).first()["auc"] == 0.0

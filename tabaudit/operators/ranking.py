@@ -5,11 +5,14 @@ half. Equal rows are first combined map-side. Score ranges then cut the table
 into buckets of about equal size, whatever the sizes of the groups, and each
 bucket is sorted once per dimension without further shuffles. Pairs inside a
 bucket come from running counts. Pairs across buckets come from the buckets'
-totals, of which there is one row per group and bucket.
+totals, of which there is one row per group and bucket. A score so frequent that
+it would fill buckets gets one of its own: all its pairs are ties, so nothing has
+to be sorted and its rows are spread by group instead.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -30,7 +33,7 @@ def score_value(df: DataFrame, score: str) -> Column:
 
 
 def score_edges(df: DataFrame, score: str, buckets: int | None = None) -> list[float]:
-    """Inner edges of ranges with about equally many scores.
+    """Inner edges of ranges with about equally many scores; frequent scores repeat.
 
     Any edges give the same AUC, they only decide how evenly the work is spread,
     so a sample of the scores places them. Its size follows from the number of
@@ -43,7 +46,7 @@ def score_edges(df: DataFrame, score: str, buckets: int | None = None) -> list[f
     fraction = min(1.0, buckets * SAMPLE_PER_BUCKET / max(1, scores.count()))
     probs = [i / buckets for i in range(1, buckets)]
     found = scores.sample(fraction, seed=17).agg(F.percentile_approx("v", probs, 4 * buckets))
-    return sorted(set(found.first()[0] or []))
+    return sorted(found.first()[0] or [])
 
 
 def rank_sums(
@@ -78,15 +81,19 @@ def rank_sums(
         .groupBy(*groups, "_s")
         .agg(*[F.sum(c).alias(c) for c in counts])
     )
+    cells, bucket = _with_bucket(cells, edges, groups)
     # Hashing on the bucket alone serves the windows of all dimensions and the sums.
-    cells = _with_bucket(cells, edges).repartition("_b")
+    cells = cells.repartition(*bucket)
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     for g in groups:
         # The frame includes rows with an equal score.
-        upto = Window.partitionBy("_b", g).orderBy("_s").rangeBetween(
+        upto = Window.partitionBy(*bucket, g).orderBy("_s").rangeBetween(
             Window.unboundedPreceding, Window.currentRow
         )
         surplus = pos * F.sum("neg").over(upto) - neg * F.sum("pos").over(upto)
+        if "_spread" in bucket:
+            # Ties cancel out.
+            surplus = F.when(F.col("_spread") < 0, surplus).otherwise(0.0)
         cells = cells.withColumn(f"{g}_surplus", surplus)
     members = F.array(
         *[
@@ -132,17 +139,32 @@ def overall_sums(
     return whole.drop("dimension", "group")
 
 
-def _with_bucket(cells: DataFrame, edges: Sequence[float]) -> DataFrame:
-    """Add the integer bucket of the score; a missing score has a bucket of its own."""
+def _with_bucket(
+    cells: DataFrame, edges: Sequence[float], groups: Sequence[str]
+) -> tuple[DataFrame, list[str]]:
+    """Add the integer bucket of the score, and how rows are to be placed.
+
+    A missing score has a bucket of its own. An edge that repeats is a frequent
+    score: its bucket ends right above it, and ``_spread`` deals out its rows by
+    group. Elsewhere ``_spread`` is -1.
+    """
     if not edges:
-        return cells.withColumn("_b", F.lit(0))
+        return cells.withColumn("_b", F.lit(0)), ["_b"]
+    frequent = sorted({a for a, b in zip(edges, edges[1:]) if a == b})
+    splits = sorted({*edges, *(math.nextafter(v, math.inf) for v in frequent)})
     bucketizer = Bucketizer(
-        splits=[float("-inf"), *edges, float("inf")],
+        splits=[-math.inf, *splits, math.inf],
         inputCol="_s",
         outputCol="_b",
         handleInvalid="keep",
     )
-    return bucketizer.transform(cells).withColumn("_b", F.col("_b").cast("int"))
+    cells = bucketizer.transform(cells).withColumn("_b", F.col("_b").cast("int"))
+    if not frequent:
+        return cells, ["_b"]
+    tied = F.col("_b").isin([splits.index(v) + 1 for v in frequent])
+    tasks = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.pmod(F.xxhash64(*groups), F.lit(tasks)).cast("int")
+    return cells.withColumn("_spread", F.when(tied, place).otherwise(-1)), ["_b", "_spread"]
 
 
 def auc_from_sums() -> Column:

@@ -63,7 +63,9 @@ def pair_auc(rows):
     return sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
 
 
-@pytest.mark.parametrize("edges", [None, [], [0.5], [i / 50 for i in range(1, 50)]])
+@pytest.mark.parametrize(
+    "edges", [None, [], [0.5], [0.2, 0.5, 0.5, 0.5], [i / 50 for i in range(1, 50)]]
+)
 def test_auc_equals_counting_pairs(spark, edges):
     rng = random.Random(3)
     # A third of all scores are equal, the others are continuous.
@@ -84,6 +86,30 @@ def test_ranking_shuffles_rows_once_for_all_dimensions(people):
     plan = sums._jdf.queryExecution().executedPlan().toString()
     # Cells, buckets, and one small exchange of bucket totals.
     assert plan.count("Exchange") == 3, plan
+    tied = ranking.rank_sums(df, dims, "y_true", "y_proba", edges=[0.3, 0.3, 0.5])
+    plan = tied._jdf.queryExecution().executedPlan().toString()
+    # Spread rows need their totals brought together once more.
+    assert plan.count("Exchange") == 4, plan
+
+
+def test_a_frequent_score_in_many_groups_is_spread(spark):
+    """Half of all rows share a score, over 300 groups; the result is that of counting pairs."""
+    rows = [(i % 300, (i * 7) % 5 % 2, 0.25 if i % 2 else (i * 37 % 997) / 997) for i in range(6000)]
+    df = spark.createDataFrame(rows, "g int, y_true int, y_proba double").withColumn("y_pred", F.col("y_true"))
+    edges = ranking.score_edges(df, "y_proba")
+    assert edges.count(0.25) > 1
+    dims = {"g": F.col("g").cast("string")}
+    sums = ranking.rank_sums(df, dims, "y_true", "y_proba", edges=edges)
+    found = {r["group"]: r["auc"] for r in sums.select("group", ranking.auc_from_sums().alias("auc")).collect()}
+    assert len(found) == 300
+    for g in range(300):
+        own = [(y, s) for k, y, s in rows if k == g]
+        assert found[str(g)] == pytest.approx(pair_auc(own), abs=1e-12), g
+    # The rows of the frequent score are dealt out over several keys, all others are not.
+    cells = df.select(F.col("g").alias("_g0"), F.col("y_proba").alias("_s"))
+    placed, keys = ranking._with_bucket(cells, edges, ["_g0"])
+    spread = {r["_s"] == 0.25: r["n"] for r in placed.groupBy("_s").agg(F.countDistinct("_spread").alias("n")).collect()}
+    assert keys == ["_b", "_spread"] and spread[True] == 4 and spread[False] == 1
 
 
 def test_auc_is_zero_when_every_pair_is_wrong(scored):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from tabaudit.functions.values import present, row_digest
 from tabaudit.operators.cleaning import numeric_columns, quoted, string_columns
@@ -112,13 +112,32 @@ def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     return summed.withColumn("has_duplicates", F.col("n_duplicates") > 0)
 
 
+def basic_aggregates(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """The part of ``numeric_summary`` that one pass can take, to be fused with other aggregates."""
+    aggs = []
+    for i, c in enumerate(columns):
+        v = value_column(df, c)
+        aggs += [
+            F.count(v).alias(f"n{i}"),
+            F.avg(v).alias(f"m{i}"),
+            F.stddev_samp(v).alias(f"s{i}"),
+            F.min(v).alias(f"l{i}"),
+            F.max(v).alias(f"h{i}"),
+        ]
+    return aggs
+
+
 def numeric_summary(
-    df: DataFrame, columns: Sequence[str] | None = None, **limits: int
+    df: DataFrame,
+    columns: Sequence[str] | None = None,
+    basics: Row | None = None,
+    **limits: int,
 ) -> DataFrame:
     """count, mean, sample std, min, quartiles, max per numeric column; nulls skipped.
 
-    One pass takes everything but the quartiles. Its row counts decide how those
-    are found; ``limits`` go to ``quantiles``.
+    One pass takes everything but the quartiles; ``basics`` is its row if another
+    pass took it along. Its counts decide how the quartiles are found, and
+    ``limits`` go to ``quantiles``.
     """
     names = list(columns if columns is not None else numeric_columns(df))
     spark = df.sparkSession
@@ -128,17 +147,7 @@ def numeric_summary(
     )
     if not names:
         return spark.createDataFrame([], schema)
-    aggs = []
-    for i, c in enumerate(names):
-        v = value_column(df, c)
-        aggs += [
-            F.count(v).alias(f"n{i}"),
-            F.avg(v).alias(f"m{i}"),
-            F.stddev_samp(v).alias(f"s{i}"),
-            F.min(v).alias(f"l{i}"),
-            F.max(v).alias(f"h{i}"),
-        ]
-    row = df.agg(*aggs).first()
+    row = basics if basics is not None else df.agg(*basic_aggregates(df, names)).first()
     bounds = {c: (row[f"n{i}"], row[f"l{i}"], row[f"h{i}"]) for i, c in enumerate(names)}
     # One row per column: bounded by the width of the table.
     basics = spark.createDataFrame(

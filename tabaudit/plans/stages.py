@@ -88,39 +88,32 @@ def validation_rows(
 ) -> DataFrame:
     """The validation report in long form: (section, column, statistic, value).
 
-    Rules, nulls and types come from one shared aggregation; duplicates, top
-    values and numeric summaries from one operator each. ``key`` is a technical
-    row id that takes no part in the profile.
+    Rules, nulls, types and the basic statistics come from one shared aggregation;
+    quartiles, duplicates and top values from one operator each. ``key`` is a
+    technical row id that takes no part in the profile.
     """
     data = df.drop(key) if key else df
     counts = expectations.verdict_aggregates(data, rules)
-    names = list(counts)
+    numeric = numeric_columns(data)
     row = data.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[counts[r].alias(f"r{i}") for i, r in enumerate(names)],
-        *[F.count_if(profile.is_missing(data, c)).alias(f"c{i}") for i, c in enumerate(data.columns)],
-    )
-
-    def entry(section, column, statistic, value):
-        return F.struct(
-            F.lit(section).alias("section"),
-            F.lit(column).alias("column"),
-            F.lit(statistic).alias("statistic"),
-            value.cast("double").alias("value"),
-        )
-
-    entries = [
-        entry("rules", *rule.split(": ", 1), F.col(f"r{i}")) for i, rule in enumerate(names)
-    ]
-    entries += [
-        entry("rules", column, check, F.col("n"))
+        F.count(F.lit(1)).alias("rows"),
+        *[agg.alias(f"rule{i}") for i, agg in enumerate(counts.values())],
+        *[F.count_if(profile.is_missing(data, c)).alias(f"null{i}") for i, c in enumerate(data.columns)],
+        *profile.basic_aggregates(data, numeric),
+    ).first()
+    lines = [("rules", *rule.split(": ", 1), row[f"rule{i}"]) for i, rule in enumerate(counts)]
+    lines += [
+        ("rules", column, check, row["rows"])
         for column, check, _ in expectations.schema_problems(data, rules)
     ]
     for i, (name, dtype) in enumerate(data.dtypes):
-        entries.append(entry("null_counts", name, "nulls", F.col(f"c{i}")))
-        entries.append(entry("dtypes", name, dtype, F.lit(1)))
-    out = profile.inline_rows(row, entries)
-
+        lines.append(("null_counts", name, "nulls", row[f"null{i}"]))
+        lines.append(("dtypes", name, dtype, 1))
+    # A few lines per column and rule.
+    out = df.sparkSession.createDataFrame(
+        [(*line[:3], float(line[3])) for line in lines],
+        "section string, column string, statistic string, value double",
+    )
     out = out.unionByName(
         profile.duplicate_rows(data).select(
             F.lit("duplicates").alias("section"),
@@ -129,10 +122,10 @@ def validation_rows(
             F.col("n_duplicates").cast("double").alias("value"),
         )
     )
-    if numeric_columns(data):
+    if numeric:
         stats = ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]
         out = out.unionByName(
-            profile.numeric_summary(data).select(
+            profile.numeric_summary(data, numeric, row).select(
                 F.lit("numeric_summary").alias("section"),
                 "column",
                 F.inline(

@@ -2,8 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabaudit.operators import metrics, models
+from tabaudit.operators.encode import fit_preprocessor
 from tabaudit.plans import census, stages
-from tabaudit.sources import reports, state
+from tabaudit.sources import reports, state, tables
 
 FAST = {"n_estimators": 3, "max_depth": 3}
 
@@ -132,3 +133,59 @@ def test_default_parameters():
     trees = models.boosted_trees()
     assert (trees.getMaxIter(), trees.getStepSize(), trees.getMaxDepth()) == (100, 0.1, 5)
     assert len(census.FEATURE_COLS) == 14
+
+
+def test_fit_scope_all_sees_every_row(run, spark):
+    root, _ = run
+    paths = stages.Paths(root)
+    where = f"{paths.artifacts}/preprocessor"
+    means = {}
+    for scope in ("all", "train"):
+        stages.features_stage(spark, paths, fit_scope=scope)
+        means[scope] = state.load_preprocessor(spark, where).scaler["age"][0]
+    features, _ = stages._load(spark, paths, stages.CENSUS)
+    assert means["all"] == pytest.approx(features.agg(F.avg("age")).first()[0])
+    assert means["train"] != means["all"]
+
+
+def test_stages_read_csv_where_there_is_no_parquet(run, random_people, spark, tmp_path):
+    root, _ = run
+    raw = stages.Paths(str(tmp_path)).raw
+    features, target = tables.split_source(random_people, census.FEATURE_COLS, "income", "row_id")
+    tables.write_csv(features, f"{raw}/features.csv")
+    tables.write_csv(target, f"{raw}/targets.csv")
+    preprocessor = state.load_preprocessor(spark, f"{stages.Paths(root).artifacts}/preprocessor")
+    designs = [
+        stages.design_table(*stages._load(spark, p, stages.CENSUS), preprocessor)
+        for p in (stages.Paths(str(tmp_path)), stages.Paths(root))
+    ]
+    assert sorted(designs[0].collect()) == sorted(designs[1].collect())
+
+
+def test_groups_are_cleaned_once(random_people, spark):
+    messy = random_people.withColumn(
+        "sex", F.when(F.col("row_id") < 30, F.concat(F.lit(" "), "sex", F.lit(".. ."))).otherwise("?")
+    )
+    features, target = tables.split_source(messy, census.FEATURE_COLS, "income", "row_id")
+    fitted = fit_preprocessor(features, census.NUM_COLS, census.CAT_COLS)
+    design = stages.design_table(features, target, fitted)
+    groups = {r["group_sex"]: r["sex"] for r in design.collect()}
+    # Blanks, then dots, once; the missing entry is a group and a category of its own.
+    assert groups == {"Female.. ": 0.0, "Male.. ": 1.0, "nan": 2.0}
+
+
+def test_training_input_is_spread_over_the_cores(points, spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert models.spread(points.coalesce(1)).rdd.getNumPartitions() == cores
+    many = points.repartition(cores + 3)
+    assert models.spread(many) is many
+
+
+def test_many_groups_stay_in_the_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stages, "MAX_LISTED_GROUPS", 1)
+    rows = [(i, i % 2, i % 2, 0.5, f"g{i % 4}") for i in range(80)]
+    scored = spark.createDataFrame(rows, "row_id long, y_true int, y_pred int, y_proba double, sex string")
+    document = stages.evaluate(scored, paths=stages.Paths(str(tmp_path)))
+    assert document["subgroup_metrics"]["sex"]["groups"] == {}
+    assert document["subgroup_metrics"]["sex"]["disparity"]["accuracy_max_diff"] == 0
+    assert spark.read.json(document["subgroups_path"]).count() == 4

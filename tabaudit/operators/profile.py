@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F
@@ -13,6 +14,11 @@ from tabaudit.operators.quantiles import quantiles, value_column
 
 QUARTILES = (0.25, 0.5, 0.75)
 
+# Average characters above which a text column is counted by digest.
+LONG_TEXT = 64
+# Equally frequent values, beyond the wanted ones, whose texts may be fetched.
+TIE_LIMIT = 10_000
+
 
 def inline_rows(df: DataFrame, entries: Sequence[Column]) -> DataFrame:
     """Turn one wide aggregated row into one row per struct in ``entries``."""
@@ -166,21 +172,78 @@ def numeric_summary(
     )
 
 
-def top_values(df: DataFrame, k: int = 10, columns: Sequence[str] | None = None) -> DataFrame:
+def top_values(
+    df: DataFrame,
+    k: int = 10,
+    columns: Sequence[str] | None = None,
+    long_text: float = LONG_TEXT,
+    tie_limit: int = TIE_LIMIT,
+) -> DataFrame:
     """The ``k`` most frequent values per string column; null is a value like any other.
 
     Ties go to the smaller value, null last. Counts are combined map-side and each
-    task keeps only ``k`` rows per column before the final ranking.
+    task keeps only ``k`` rows per column before the final ranking. A column of long
+    texts is counted by digest, and only the texts that may win are shuffled.
     """
     names = list(columns or string_columns(df))
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("column"), quoted(c).alias("value")) for c in names]
-    )
-    counted = (
-        df.select(F.inline(pairs)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    )
+    # A few rows tell which columns are long; a wrong guess costs time only.
+    head = df.select(*[F.length(quoted(c)).alias(f"l{i}") for i, c in enumerate(names)]).limit(1000)
+    sizes = head.agg(*[F.avg(f"l{i}").alias(f"l{i}") for i in range(len(names))]).first()
+    wanted = {
+        c: _least_winning_count(df, c, k, tie_limit)
+        for i, c in enumerate(names)
+        if (sizes[f"l{i}"] or 0) > long_text
+    }
+    by_value = [c for c in names if wanted.get(c) is None]
+    counted = [_count_texts(df, c, n) for c, n in wanted.items() if n is not None]
+    if by_value:
+        pairs = F.array(
+            *[F.struct(F.lit(c).alias("column"), quoted(c).alias("value")) for c in by_value]
+        )
+        counted.append(
+            df.select(F.inline(pairs)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+        )
     order = Window.partitionBy("column").orderBy(F.desc("n"), F.asc_nulls_last("value"))
-    return counted.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    ranked = reduce(DataFrame.unionByName, counted).withColumn("rank", F.row_number().over(order))
+    return ranked.filter(F.col("rank") <= k)
+
+
+def _digest_counts(df: DataFrame, name: str) -> DataFrame:
+    digest = row_digest(df.schema, [name]).alias("d")
+    return df.select(digest).groupBy("d").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _least_winning_count(df: DataFrame, name: str, k: int, tie_limit: int) -> int | None:
+    """How often a value must occur to be among the first ``k``.
+
+    None if so many values occur equally often that they cannot be told apart by
+    their counts; they are then compared as texts.
+    """
+    sizes = _digest_counts(df, name).groupBy("n").agg(F.count(F.lit(1)).alias("values"))
+    taken = 0
+    # Each size holds at least one value, so the k largest sizes are enough.
+    for row in sizes.orderBy(F.desc("n")).limit(k).collect():
+        taken += row["values"]
+        least = row["n"]
+        if taken >= k:
+            break
+    else:
+        # Fewer than k values in all.
+        return 1
+    return least if taken <= k + tie_limit else None
+
+
+def _count_texts(df: DataFrame, name: str, least: int) -> DataFrame:
+    """(column, value, n) of the values that occur ``least`` times or more."""
+    digest = row_digest(df.schema, [name]).alias("d")
+    # At most k + TIE_LIMIT digests, as counted before.
+    frequent = F.broadcast(_digest_counts(df, name).filter(F.col("n") >= least))
+    texts = df.select(digest, quoted(name).alias("value")).join(frequent, "d")
+    return (
+        texts.groupBy("d", "n")
+        .agg(F.min("value").alias("value"))
+        .select(F.lit(name).alias("column"), "value", "n")
+    )
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -90,6 +90,21 @@ def test_top_values_break_ties_by_value_with_null_last(spark):
     assert [(r["value"], r["n"]) for r in out] == [("a", 2), ("b", 2), (None, 2)]
 
 
+@pytest.mark.parametrize("ties", [0, 1, 10_000])
+@pytest.mark.parametrize("k", [1, 4, 7, 50])
+def test_long_texts_rank_like_short_ones(spark, k, ties):
+    words = ["a"] * 9 + ["b"] * 9 + [None] * 9 + ["c"] * 4 + list("defgh") * 2 + ["z"]
+    df = spark.createDataFrame([(w and w * 100, w) for w in words], "long string, short string")
+    out = profile.top_values(df, k, tie_limit=ties).collect()
+    ranks = {
+        name: {r["rank"]: (r["value"] and r["value"][0], r["n"]) for r in out if r["column"] == name}
+        for name in df.columns
+    }
+    assert ranks["long"] == ranks["short"]
+    assert len(ranks["short"]) == min(k, 10)
+    assert profile.top_values(df.limit(0), k).count() == 0
+
+
 def test_correlation_handles_constants_and_nulls(spark):
     rows = [(1.0, 2.0, 7.0, 1.0), (2.0, 4.0, 7.0, None), (3.0, 7.0, 7.0, 2.0), (4.0, 8.0, 7.0, 9.0)]
     df = spark.createDataFrame(rows, "a double, b double, k double, n double")

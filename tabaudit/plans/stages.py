@@ -22,7 +22,7 @@ from tabaudit.operators.cleaning import (
     quoted,
     string_columns,
 )
-from tabaudit.operators.diagnostics import cv_test_consistency, fold_scores, overfit_gap
+from tabaudit.operators.diagnostics import CONSISTENCY_GAP, cv_test_consistency, overfit_gap
 from tabaudit.operators.encode import Preprocessor, fit_preprocessor
 from tabaudit.operators.split import fit_split
 from tabaudit.plans import census
@@ -373,7 +373,7 @@ def check_overfitting(scored: DataFrame, f1_cv: float | None = None) -> dict:
             "f1_cv": f1_cv,
             "macro_diff": diff,
             "binary_diff": abs(f1_cv - test["f1_binary"]),
-            "verdict": "check" if diff > 0.05 else "consistent",
+            "verdict": "check" if diff > CONSISTENCY_GAP else "consistent",
         }
     return out
 
@@ -384,18 +384,23 @@ def run_all(
     layout: Layout = CENSUS,
     params: dict | None = None,
     key: str | None = None,
+    fit_scope: str = "train",
 ) -> dict:
-    """Ingest, validate, fit features, train and evaluate, one stage after the other."""
+    """Ingest, validate, fit features, train, evaluate and check, one after the other.
+
+    Training and evaluation share one design table and one scored table.
+    """
     spark, paths = source.sparkSession, Paths(root)
     out: dict = {"ingest": ingest(source, paths.raw, layout.features, layout.target, key)}
     features = read_table(spark, f"{paths.raw}/features", layout.feature_schema)
     out["validate"] = validate(features, paths.processed, layout.rules, ROW_ID)
     if not out["validate"]["success"]:
         log.warning("validation found problems, going on: %s", out["validate"]["schema_issues"])
-    out["features"] = features_stage(spark, paths, layout)
-    out["train"] = train_stage(spark, paths, layout, params)
-    out["evaluate"] = evaluate_stage(spark, paths, layout)
+    out["features"] = features_stage(spark, paths, layout, fit_scope)
+    preprocessor = state.load_preprocessor(spark, out["features"]["preprocessor"])
+    design = design_table(*_load(spark, paths, layout), preprocessor, layout)
+    out["train"] = train(design, preprocessor.feature_cols, params, paths=paths)
+    scored = scored_table(out["train"]["model"], design)
+    out["evaluate"] = evaluate(scored, layout, paths)
+    out["overfitting"] = check_overfitting(scored, out["train"]["metrics"]["f1_cv"])
     return out
-
-
-__all__ = ["CENSUS", "Layout", "Paths", "fold_scores", "run_all"]

@@ -61,17 +61,27 @@ def test_saved_model_scores_the_same(run, spark):
         state.load_model(f"{root}/no-model")
 
 
-def test_overfitting_check(run, spark):
+def test_evaluating_alone_gives_the_same(run, spark):
     root, out = run
-    paths = stages.Paths(root)
-    design = stages.design_table(
-        *stages._load(spark, paths, stages.CENSUS),
-        state.load_preprocessor(spark, f"{paths.artifacts}/preprocessor"),
+    alone = stages.evaluate_stage(spark, stages.Paths(root))
+    assert alone["confusion_matrix"] == out["evaluate"]["confusion_matrix"]
+    assert alone["auc"] == pytest.approx(out["evaluate"]["auc"])
+    assert set(alone["subgroup_metrics"]["age"]["groups"]) == set(
+        out["evaluate"]["subgroup_metrics"]["age"]["groups"]
     )
-    scored = stages.scored_table(out["train"]["model"], design)
-    check = stages.check_overfitting(scored, out["train"]["metrics"]["f1_cv"])
+
+
+def test_overfitting_check(run, scored):
+    _, out = run
+    check = out["overfitting"]
     assert check["gap"]["verdict"] in {"alert", "caution", "ok"}
-    assert check["cv"]["verdict"] in {"check", "consistent"}
+    assert check["gap"]["test_accuracy"] == pytest.approx(out["evaluate"]["accuracy"])
+    gap = abs(out["train"]["metrics"]["f1_cv"] - out["train"]["metrics"]["f1_test"])
+    assert check["cv"]["macro_diff"] == pytest.approx(gap)
+    assert check["cv"]["verdict"] == ("check" if gap > 0.05 else "consistent")
+    rows = [(1, 1, "train", 0), (0, 0, "train", 1), (1, 1, "test", None), (0, 0, "test", None)]
+    perfect = scored(rows, "y_true int, y_pred int, part string, fold int")
+    assert stages.check_overfitting(perfect)["cv"]["f1_cv"] == 1.0
 
 
 def test_fit_scopes(run, spark):

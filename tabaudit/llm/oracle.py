@@ -85,3 +85,140 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM q_verdict
 """
 )
+
+URL_FILTERS = r"""
+WITH rules(host, path, verdict) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+    ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+),
+page AS (
+  SELECT row_number() OVER () AS rid, page_id,
+    CASE WHEN contains(url, '://') THEN url[strpos(url, '://') + 3:] ELSE '' END AS rest
+  FROM pages
+),
+split AS (
+  SELECT rid, page_id,
+    translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM page
+),
+best AS (
+  SELECT s.rid, arg_max(r.host || r.path, length(r.host || r.path)) AS rule,
+    arg_max(r.verdict, length(r.host || r.path)) AS verdict
+  FROM split s JOIN rules r
+    ON ends_with('.' || s.host, '.' || r.host) AND starts_with(s.path, r.path)
+  GROUP BY s.rid
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM split LEFT JOIN best USING (rid)
+"""
+
+# ``{docs}`` has the columns of documents.
+LINE_STEPS = r"""
+l_docs AS (SELECT row_number() OVER () AS rid, * FROM {docs}),
+l_line AS (
+  SELECT rid, coalesce(source, '') AS site, unnest(lines) AS line,
+    generate_subscripts(lines, 1) AS pos
+  FROM (SELECT rid, source, string_split(text, chr(10)) AS lines FROM l_docs)
+),
+l_key AS (
+  SELECT *, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS k FROM l_line
+),
+l_spread AS (SELECT k FROM l_key WHERE k <> '' GROUP BY k HAVING count(DISTINCT site) >= 10),
+l_kept AS (
+  SELECT rid, count(*) FILTER (hit) AS n,
+    coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT hit), '') AS kept
+  FROM (SELECT *, k IN (SELECT k FROM l_spread) AS hit FROM l_key) GROUP BY rid
+),
+l_done AS (
+  SELECT d.*, n, kept, n > 0 AND length(kept) >= length(text) * 0.5 AS takes_effect
+  FROM l_docs d LEFT JOIN l_kept USING (rid)
+)
+"""
+
+LINE_SPREAD = (
+    "WITH "
+    + LINE_STEPS.format(docs="documents")
+    + """
+SELECT doc_id, CASE WHEN takes_effect THEN kept ELSE text END AS text,
+  CASE WHEN takes_effect THEN n ELSE 0 END AS n_removed
+FROM l_done
+"""
+)
+
+# Lists of one row, raked by a recursive query; one step per dimension and sweep.
+MIX_STEPS = r"""
+m_docs AS (
+  SELECT row_number() OVER () AS rid, *,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS m_tokens,
+    CASE WHEN source IN ('src0', 'src1', 'src2', 'src3', 'src4', 'src5', 'src6', 'src7', 'src8',
+      'src9', 'src10', 'src11', 'src12', 'src13', 'src14', 'src15', 'src16', 'src17', 'src18',
+      'src19') THEN source ELSE '*' END AS m_source,
+    CASE WHEN lang IN ('en', 'fr', 'de', 'es') THEN lang ELSE '*' END AS m_lang,
+    CASE WHEN regexp_matches(coalesce(text, ''), '[Ll]icen[sc]e|Copyright') THEN 'licence'
+      WHEN regexp_matches(coalesce(text, ''), ' \| ') THEN 'table'
+      WHEN regexp_matches(coalesce(text, ''), '[0-9]') THEN 'figures' ELSE 'prose' END AS m_topic
+  FROM {docs}
+),
+m_cell AS (
+  SELECT m_source AS s, m_lang AS l, m_topic AS t, sum(m_tokens)::DOUBLE AS tokens
+  FROM m_docs GROUP BY ALL
+),
+m_target(d, k, share) AS (
+  SELECT 0, 'src' || i, 0.05::DOUBLE FROM range(20) r(i) UNION ALL SELECT 0, '*', 0.05
+  UNION ALL VALUES (1, 'en', 0.45), (1, 'fr', 0.2), (1, 'de', 0.2), (1, 'es', 0.13), (1, '*', 0.02),
+    (2, 'prose', 0.8), (2, 'figures', 0.1), (2, 'licence', 0.07), (2, 'table', 0.03)
+),
+m_present AS (
+  SELECT c.*, ts.share AS ps, tl.share AS pl, tt.share AS pt
+  FROM (SELECT *, sum(tokens) OVER () AS total FROM m_cell) c
+    JOIN m_target ts ON ts.d = 0 AND ts.k = s JOIN m_target tl ON tl.d = 1 AND tl.k = l
+    JOIN m_target tt ON tt.d = 2 AND tt.k = t
+),
+m_goal AS (
+  SELECT *,
+    ps / (SELECT sum(share) FROM m_target WHERE d = 0
+      AND k IN (SELECT s FROM m_cell WHERE tokens > 0)) AS gs,
+    pl / (SELECT sum(share) FROM m_target WHERE d = 1
+      AND k IN (SELECT l FROM m_cell WHERE tokens > 0)) AS gl,
+    pt / (SELECT sum(share) FROM m_target WHERE d = 2
+      AND k IN (SELECT t FROM m_cell WHERE tokens > 0)) AS gt
+  FROM m_present WHERE tokens > 0
+),
+m_rake AS (
+  SELECT 0 AS step, s, l, t, gs, gl, gt, tokens, total, tokens / total AS w FROM m_goal
+  UNION ALL
+  SELECT step + 1, s, l, t, gs, gl, gt, tokens, total, w * CASE step % 3
+    WHEN 0 THEN gs / sum(w) OVER (PARTITION BY s) WHEN 1 THEN gl / sum(w) OVER (PARTITION BY l)
+    ELSE gt / sum(w) OVER (PARTITION BY t) END
+  FROM m_rake WHERE step < 150
+),
+m_ratio AS (SELECT s, l, t, tokens, total, w / (tokens / total) AS r FROM m_rake WHERE step = 150),
+m_cap AS (
+  SELECT *, coalesce(sum(tokens) OVER above, 0) AS capped,
+    sum(tokens * r) OVER () - coalesce(sum(tokens * r) OVER above, 0) AS open_
+  FROM m_ratio WINDOW above AS (ORDER BY r DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+m_level AS (SELECT arg_max((0.9 * total - capped) / open_, r) FILTER (
+  WHERE r * (0.9 * total - capped) / open_ < 1) AS level FROM m_cap),
+m_chance AS (
+  SELECT s, l, t, CASE WHEN tokens > 0 THEN least(1.0, r * level) ELSE 0.9 END AS p
+  FROM m_cell LEFT JOIN m_ratio USING (s, l, t, tokens), m_level
+),
+m_done AS (
+  SELECT d.*, p, ('0x' || md5(coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT / 4294967296.0::DOUBLE < p
+    AS m_kept
+  FROM m_docs d JOIN m_chance ON s = m_source AND l = m_lang AND t = m_topic
+)
+"""
+
+MIXING = (
+    "WITH RECURSIVE "
+    + MIX_STEPS.format(docs="documents")
+    + """
+SELECT doc_id, m_source AS source, m_lang AS lang, m_topic AS topic, m_tokens AS n_tokens,
+  round(p, 9) AS probability, m_kept AS kept
+FROM m_done
+"""
+)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tabaudit.llm import oracle, quality_rules
+from tabaudit.llm import frames, line_spread, mixing, oracle, packing, quality_rules, settings, url_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,9 +28,60 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    # Exact copies are one duplicate cluster.
+    return packing.pack(
+        docs,
+        n_tokens=mixing.n_tokens(F.col("text")),
+        id_=F.col("doc_id"),
+        source=F.col("source"),
+        cluster=F.xxhash64("text"),
+    )
+
+
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    rules = spark.createDataFrame(settings.URL_RULES, "host string, path string, verdict string")
+    return url_rules.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op9_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    cleaned = line_spread.remove_lines(docs, line_spread.spread_lines(docs), removed_col="n_removed")
+    return cleaned.select("doc_id", "text", "n_removed")
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    text = frames.field("text")
+    mixed = mixing.decisions(
+        docs,
+        settings.MIX_TARGETS,
+        values={
+            "source": frames.field("source"),
+            "lang": frames.field("lang"),
+            "topic": mixing.topic_of(text),
+        },
+        tokens=mixing.n_tokens(text),
+        id_=frames.field("doc_id"),
+    )
+    return mixed.select(
+        frames.field("doc_id").alias("doc_id"),
+        "_cell.source", "_cell.lang", "_cell.topic",
+        F.col("_tokens").alias("n_tokens"),
+        F.round("_probability", 9).alias("probability"),
+        F.col("_kept").alias("kept"),
+    )
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op3_best_fit_packing": op3_best_fit_packing,
+        "op4_url_filters": op4_url_filters,
+        "op9_line_spread": op9_line_spread,
+        "op10_mixing": op10_mixing,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -38,6 +89,9 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def all_sql() -> dict[str, str]:
     sql = {
         "op1_quality_rules": oracle.QUALITY_RULES,
+        "op4_url_filters": oracle.URL_FILTERS,
+        "op9_line_spread": oracle.LINE_SPREAD,
+        "op10_mixing": oracle.MIXING,
         "pipeline": corpus_pipeline.ORACLE_SQL,
     }
     return {name: text for name, text in sql.items() if text}

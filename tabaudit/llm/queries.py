@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tabaudit.llm import frames, line_spread, mixing, oracle, packing, quality_rules, settings, url_rules
+from tabaudit.llm import (
+    fingerprints,
+    frames,
+    jaccard_join,
+    line_spread,
+    mixing,
+    oracle,
+    packing,
+    quality_rules,
+    settings,
+    url_rules,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +57,14 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited(table(spark, sf_dir, "documents"))
+
+
 def op9_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     cleaned = line_spread.remove_lines(docs, line_spread.spread_lines(docs), removed_col="n_removed")
@@ -80,6 +99,8 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality_rules": op1_quality_rules,
         "op3_best_fit_packing": op3_best_fit_packing,
         "op4_url_filters": op4_url_filters,
+        "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+        "op8_fingerprints": op8_fingerprints,
         "op9_line_spread": op9_line_spread,
         "op10_mixing": op10_mixing,
         "pipeline": corpus_pipeline.run,

@@ -35,6 +35,35 @@ def broadcast_if_few(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if few else df.hint("shuffle_hash")
 
 
+def marked(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", flag: str = "trusted") -> DataFrame:
+    """``docs`` with a flag that tells whether the id is in the only column of ``ids``."""
+    ids = broadcast_if_few(ids.toDF("_marked_id").filter("_marked_id is not null").distinct())
+    joined = docs.join(ids, docs[id_col] == F.col("_marked_id"), "left")
+    return joined.select(*[docs[c] for c in docs.columns], F.col("_marked_id").isNotNull().alias(flag))
+
+
+def held_out(id_: Column, below: str) -> Column:
+    """Whether the MD5 of the id starts with a hex digit smaller than ``below``."""
+    return F.md5(id_.cast("string").cast("binary")) < below
+
+
+def lower_quantile(values: DataFrame, value: Column, share: float, width: float, by: list[str] = ()):
+    """The bin (of ``width``) that holds the quantile of ``value``, per group of ``by``, as ``bin``.
+
+    Values are counted in bins first, so that a window meets one row per bin.
+    """
+    bins = values.groupBy(*by, F.floor(value / F.lit(width)).alias("bin")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    whole = Window.partitionBy(*by)
+    ranked = bins.select(
+        *by, "bin", F.sum("n").over(whole.orderBy("bin")).alias("upto"), F.sum("n").over(whole).alias("all")
+    )
+    return ranked.filter(F.col("upto") >= F.lit(share) * F.col("all")).groupBy(*by).agg(
+        F.min("bin").alias("bin")
+    )
+
+
 def carried(events: DataFrame, order: list[str], values: list[str]) -> DataFrame:
     """Replace each of ``values`` by its last non-null value up to the row in the order of ``order``.
 

@@ -24,9 +24,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tabaudit.llm import text as words_of
+from tabaudit.llm import frames, text as words_of
 from tabaudit.session import materialize
 
 N_BUCKETS = 1 << 16
@@ -46,9 +46,6 @@ MARGIN = 0.05
 SCORE_BIN = 0.001
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
-# Up to so many trusted ids are sent to all tasks; more are joined by shuffle.
-BROADCAST_IDS = 1_000_000
-
 _SYMBOLS = "[#*$%&|<>]"
 
 SCORE_SCHEMA = (
@@ -197,16 +194,6 @@ def score_of(weight_sum: str, n_grams: str):
     return F.when(F.col(n_grams) > 0, F.col(weight_sum) / F.col(n_grams) / F.lit(WEIGHT_UNIT))
 
 
-def _marked(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
-    """``docs`` with the flag ``trusted``; ids are broadcast only up to a checked number."""
-    ids = trusted_ids.toDF("_trusted_id").filter("_trusted_id is not null").distinct()
-    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    ids = F.broadcast(ids) if few else ids.hint("shuffle_hash")
-    joined = docs.join(ids, docs["doc_id"] == F.col("_trusted_id"), "left")
-    flag = F.col("_trusted_id").isNotNull()
-    return joined.select(*[docs[c] for c in docs.columns], flag.alias("trusted"))
-
-
 def fit(
     docs: DataFrame,
     trusted_ids: DataFrame,
@@ -222,8 +209,8 @@ def fit(
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     trusted_ids = trusted_ids.toDF("trusted_id").select(F.col("trusted_id").cast("long"))
-    held_out = F.md5(F.col("trusted_id").cast("string").cast("binary")) < HELD_OUT_BELOW
-    counted = _marked(rows, trusted_ids.filter(~held_out)).select("text", "trusted").mapInArrow(
+    held_out = frames.held_out(F.col("trusted_id"), HELD_OUT_BELOW)
+    counted = frames.marked(rows, trusted_ids.filter(~held_out)).select("text", "trusted").mapInArrow(
         lambda batches: _counts(batches, n_buckets), "bucket long, corpus long, trusted long"
     )
     totals = counted.groupBy("bucket").agg(
@@ -249,16 +236,7 @@ def bucket_weights(corpus: np.ndarray, trusted: np.ndarray) -> np.ndarray:
 
 def _threshold(scores: DataFrame, held_out: DataFrame) -> float:
     """The lower edge of the bin that holds the quantile of the held-out scores, less the margin."""
+    rows = frames.marked(scores.filter(~F.col("base_failed")), held_out).filter("trusted")
     score = score_of("weight_sum", "n_grams")
-    bins = (
-        _marked(scores.filter(~F.col("base_failed")), held_out)
-        .filter("trusted")
-        .groupBy(F.floor(score / F.lit(SCORE_BIN)).alias("bin"))
-        .count()
-    )
-    running = F.sum("count").over(Window.orderBy("bin"))
-    total = F.sum("count").over(Window.partitionBy())
-    ranked = bins.select("bin", running.alias("upto"), total.alias("total"))
-    found = ranked.filter(F.col("upto") >= F.lit(TRUSTED_SHARE) * F.col("total")).agg(F.min("bin"))
-    lowest = found.first()[0]
+    lowest = frames.lower_quantile(rows, score, TRUSTED_SHARE, SCORE_BIN).first()[0]
     return float("-inf") if lowest is None else lowest * SCORE_BIN - MARGIN

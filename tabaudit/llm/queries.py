@@ -10,7 +10,10 @@ import corpus_pipeline
 from tabaudit.llm import (
     fingerprints,
     frames,
+    html_template,
     jaccard_join,
+    kneser_ney,
+    language_id,
     line_spread,
     mixing,
     oracle,
@@ -39,6 +42,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = html_template.main_text(table(spark, sf_dir, "pages"))
+    return text.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     # Exact copies are one duplicate cluster.
@@ -57,6 +65,18 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = language_id.held_out(F.col("doc_id"))
+    model = language_id.fit(docs.filter(~held_out))
+    return model.predict(docs).withColumn("held_out", held_out)
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return kneser_ney.judge(docs, trusted_ids(spark, sf_dir))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf_dir, "documents"))
 
@@ -97,8 +117,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op2_html_extraction": op2_html_extraction,
         "op3_best_fit_packing": op3_best_fit_packing,
         "op4_url_filters": op4_url_filters,
+        "op5_language_id": op5_language_id,
+        "op6_quality_classifier": op6_quality_classifier,
         "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
         "op8_fingerprints": op8_fingerprints,
         "op9_line_spread": op9_line_spread,

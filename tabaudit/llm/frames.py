@@ -29,6 +29,13 @@ def unpacked(df: DataFrame, columns: list[str], changed: dict[str, Column] | Non
     return df.select(*[changed.get(c, field(c)).alias(c) for c in columns])
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, with as many underscores before it as make it differ from all of ``columns``."""
+    while name.lower() in {c.lower() for c in columns}:
+        name = "_" + name
+    return name
+
+
 def broadcast_if_few(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df``, to be broadcast if a count finds at most ``rows`` rows; else to be hashed by shuffle."""
     few = df.limit(rows + 1).count() <= rows

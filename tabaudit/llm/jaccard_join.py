@@ -335,6 +335,9 @@ def keep_one(
     ).select("set", sketch["key"].alias("_key"), (F.col("leads") & (sketch["key"] == first["key"])).alias("stays"))
     gone = rows.filter("not stays").select("set", "_key").distinct()
     again = rows.filter("stays").groupBy("set", "_key").count().filter("count > 1").select("set", "_key")
+    mark, other_set, other_key = (
+        frames.unused(name, docs.columns) for name in ("_near_set", "_other_set", "_other_key")
+    )
 
     def with_sets(batches):
         for batch in batches:
@@ -345,16 +348,16 @@ def keep_one(
                     for a, b in zip(starts[:-1], starts[1:])
                 ]
                 arrays = [*part.columns, pa.array(sets, pa.int64())]
-                yield pa.RecordBatch.from_arrays(arrays, names=[*part.schema.names, "_near_set"])
+                yield pa.RecordBatch.from_arrays(arrays, names=[*part.schema.names, mark])
 
-    schema = T.StructType([*docs.schema.fields, T.StructField("_near_set", T.LongType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(mark, T.LongType())])
     marked = docs.mapInArrow(with_sets, schema)
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(_LOWEST))
-    same = (F.col("_near_set") == F.col("set")) & (key == F.col("_key"))
-    left = marked.join(frames.broadcast_if_few(gone), same, "left_anti")
+    same = (F.col(mark) == F.col(other_set)) & (key == F.col(other_key))
+    left = marked.join(frames.broadcast_if_few(gone.toDF(other_set, other_key)), same, "left_anti")
     if again.isEmpty():
-        return left.drop("_near_set")
-    again = materialize(again, "again")
-    once = left.join(again, same, "left_semi").dropDuplicates([id_col, "_near_set"])
+        return left.drop(mark)
+    again = materialize(again.toDF(other_set, other_key), "again")
+    once = left.join(again, same, "left_semi").dropDuplicates([id_col, mark])
     rest = left.join(again, same, "left_anti")
-    return rest.unionByName(once).drop("_near_set")
+    return rest.unionByName(once).drop(mark)

@@ -61,8 +61,8 @@ def hashed_grams(texts: pa.Array, bits: int = FEATURE_BITS) -> Iterator[tuple[np
         for k in range(n):
             keys += points[k : width + k] * _PLACES[k]
         features = (mixed(keys) >> np.uint64(64 - bits)).astype(np.int64)
-        # From the blank before a text (single characters: from its first one) to the blank after it.
-        counts = np.where(sizes > 0, sizes + (1 if n == 1 else 3 - n), 0)
+        # Single characters of the text itself; longer n-grams reach over the blanks around it.
+        counts = np.where(sizes > 0, sizes + (0 if n == 1 else 3 - n), 0)
         first = starts[:-1] + (1 if n == 1 else 0)
         ends = np.concatenate([[0], np.cumsum(counts)])
         at = np.arange(ends[-1]) + np.repeat(first - ends[:-1], counts)

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import functools
+import os
+import shutil
+import tempfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
+import tabaudit
 from tabaudit.llm import (
     fingerprints,
     frames,
@@ -114,8 +120,28 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _shipped(query: Callable[[SparkSession, str], DataFrame]):
+    """``query``, after sending this library to workers that would not find it."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = str(Path(tabaudit.__file__).resolve().parents[1])
+        context = spark.sparkContext
+        on_path = root in os.environ.get("PYTHONPATH", "").split(os.pathsep)
+        if not on_path and context.applicationId not in _SENT:
+            folder = tempfile.mkdtemp(prefix="tabaudit-")  # the driver serves it to the workers
+            context.addPyFile(shutil.make_archive(f"{folder}/tabaudit", "zip", root, "tabaudit"))
+            _SENT.add(context.applicationId)
+        return query(spark, sf_dir)
+
+    return run
+
+
+_SENT: set[str] = set()
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    queries = {
         "op1_quality_rules": op1_quality_rules,
         "op2_html_extraction": op2_html_extraction,
         "op3_best_fit_packing": op3_best_fit_packing,
@@ -128,6 +154,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_mixing": op10_mixing,
         "pipeline": corpus_pipeline.run,
     }
+    return {name: _shipped(query) for name, query in queries.items()}
 
 
 def all_sql() -> dict[str, str]:

@@ -11,6 +11,8 @@ sys.path.insert(0, str(ROOT / "tools"))
 import __spark_entry__ as entry  # noqa: E402
 import check_queries  # noqa: E402
 
+from tabaudit.plans import catalogue, oracle  # noqa: E402
+
 SF_DIR = entry.SMOKE_DIR
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables are not there")
@@ -24,11 +26,11 @@ def sql():
 
 
 def test_every_query_but_the_models_has_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == MODELS
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(catalogue.all_queries()) - set(oracle.all_sql()) == MODELS
+    assert set(oracle.all_sql()) <= set(catalogue.all_queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - MODELS))
+@pytest.mark.parametrize("name", sorted(set(catalogue.all_queries()) - MODELS))
 def test_query_matches_sql(spark, sql, name):
     ok, note, _, rows = check_queries.compare(spark, sql, SF_DIR, name)
     assert ok, note
@@ -41,7 +43,7 @@ def test_flagship(spark):
 
 
 def test_no_python_functions_in_any_plan(spark):
-    for name in sorted(set(entry.queries()) - MODELS):
-        plan = entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    for name in sorted(set(catalogue.all_queries()) - MODELS):
+        plan = catalogue.all_queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "InPandas" not in plan, name
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name

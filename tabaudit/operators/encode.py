@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabaudit.operators.cleaning import clean_features, infer_column_roles, quoted
+from tabaudit.operators.positions import with_sum_before
 from tabaudit.operators.profile import inline_rows
 from tabaudit.operators.quantiles import value_column
 from tabaudit.session import materialize
@@ -18,7 +19,7 @@ UNSEEN = -1.0
 
 # Categories of one column up to which codes are looked up in an inlined list.
 INLINE_LIMIT = 64
-# Characters of category text up to which a code table may be broadcast.
+# Characters of category text, over all columns, up to which code tables may be broadcast.
 BROADCAST_CHARS = 32_000_000
 # Distinct values of one column that a single task may sort.
 SORT_LIMIT = 1_000_000
@@ -82,8 +83,7 @@ def fit_ordinal(
         code = (F.row_number().over(order) - 1).cast("double")
         parts.append(_distinct_values(df, small).withColumn("code", code))
     for name in large:
-        values = materialize(_distinct_values(df, [name]), "distinct_values")
-        parts.append(_number_in_ranges(values, values.count(), sort_limit))
+        parts.append(_number_in_ranges(_distinct_values(df, [name])))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -97,33 +97,10 @@ def _distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(F.inline(pairs)).filter("value IS NOT NULL").distinct()
 
 
-def _number_in_ranges(values: DataFrame, n: int, sort_limit: int) -> DataFrame:
-    """Number the distinct values of one column by ranges of bounded size."""
-    n_ranges = 2 * (n // sort_limit + 1)
-    # About 50 sampled values per range place the edges. Their first characters are
-    # enough: any edges give the same codes, they only even out the ranges.
-    keep = F.xxhash64("value") % max(1, n // (50 * n_ranges)) == 0
-    heads = values.filter(keep).select(F.left("value", F.lit(100)).alias("head"))
-    sample = sorted(r["head"] for r in heads.collect())
-    step = max(1, len(sample) // n_ranges)
-    edges = sample[step::step]
-    if not edges:
-        edges = [values.agg(F.min("value")).first()[0]]
-    edge_list = F.array(*[F.lit(e) for e in edges])
-    ranged = values.withColumn("range", F.size(F.filter(edge_list, lambda e: e <= F.col("value"))))
-    # At most one row per range, far below any broadcast bound.
-    sizes = ranged.groupBy("range").agg(F.count("*").alias("n")).collect()
-    start, offsets = 0, []
-    for row in sorted(sizes, key=lambda r: r["range"]):
-        offsets.append((row["range"], start))
-        start += row["n"]
-    table = values.sparkSession.createDataFrame(offsets, "range int, start long")
-    place = F.row_number().over(Window.partitionBy("range").orderBy("value")) - 1
-    return (
-        ranged.withColumn("place", place)
-        .join(F.broadcast(table), "range")
-        .select("column", "value", (F.col("start") + F.col("place")).cast("double").alias("code"))
-    )
+def _number_in_ranges(values: DataFrame) -> DataFrame:
+    """Number the distinct values of one column by ranges of the values themselves."""
+    placed = with_sum_before(values, [F.col("value")], "place")
+    return placed.select("column", "value", F.col("place").cast("double").alias("code"))
 
 
 @dataclass
@@ -162,6 +139,7 @@ class Preprocessor:
             *[quoted(c).cast("string").alias(f"_cat_{i}") for i, c in enumerate(self.cat_cols)],
         )
         encoded = []
+        spread = F.concat(F.lit("\0"), F.xxhash64(*out.columns).cast("string"))
         for i, c in enumerate(self.cat_cols):
             raw = F.col(f"_cat_{i}")
             if c in self.inline:
@@ -173,8 +151,11 @@ class Preprocessor:
                 )
                 if c in self.broadcast:
                     table = F.broadcast(table)
-                out = out.join(table, f"_cat_{i}", "left")
-                code = F.col(f"_code_{i}")
+                # Rows without a value need no lookup; spread out, they meet in no task.
+                known = table.withColumnRenamed(f"_cat_{i}", f"_known_{i}")
+                lookup = raw if c in self.broadcast else F.coalesce(raw, spread)
+                out = out.join(known, lookup == F.col(f"_known_{i}"), "left").drop(f"_known_{i}")
+                code = F.when(raw.isNotNull(), F.col(f"_code_{i}"))
             encoded.append(F.coalesce(code, F.lit(UNSEEN)).alias(c))
         return out.select(
             *[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep)],
@@ -212,12 +193,14 @@ def build_preprocessor(
     )
     inline: dict[str, list[str]] = {c: [] for c in cat_cols}
     medium = set()
-    for r in lists:
+    budget = broadcast_chars
+    for r in sorted(lists, key=lambda r: (r["chars"], r["column"])):
         if r["n"] <= inline_limit:
             inline[r["column"]] = [entry["value"] for entry in sorted(r["head"])]
         else:
             del inline[r["column"]]
-            if r["chars"] <= broadcast_chars:
+            if r["chars"] <= budget:
+                budget -= r["chars"]
                 medium.add(r["column"])
     return Preprocessor(
         list(num_cols), list(cat_cols), scaler, codes, inline, medium, missing_as_unknown

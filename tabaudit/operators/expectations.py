@@ -12,16 +12,19 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tabaudit.functions.values import present
 from tabaudit.operators.cleaning import quoted
 
-FAILURE_SCHEMA = T.StructType(
-    [
-        T.StructField("row_id", T.LongType()),
-        T.StructField("column", T.StringType()),
-        T.StructField("check", T.StringType()),
-        T.StructField("failure_case", T.StringType()),
-    ]
-)
+def failure_schema(key_type: T.DataType) -> T.StructType:
+    """The row id keeps the type of the table's key."""
+    return T.StructType(
+        [
+            T.StructField("row_id", key_type),
+            T.StructField("column", T.StringType()),
+            T.StructField("check", T.StringType()),
+            T.StructField("failure_case", T.StringType()),
+        ]
+    )
 
 
 class ExpectationError(ValueError):
@@ -30,7 +33,7 @@ class ExpectationError(ValueError):
 
 @dataclass(frozen=True)
 class ColumnRule:
-    """What one column must hold. Nulls break only the ``nullable`` rule."""
+    """What one column must hold. Nulls and NaN break only the ``nullable`` rule."""
 
     name: str
     dtype: T.DataType
@@ -39,9 +42,9 @@ class ColumnRule:
     allowed: tuple[str, ...] | None = None
 
 
-def _row_checks(rule: ColumnRule) -> list[tuple[str, Column]]:
+def _row_checks(rule: ColumnRule, dtype: T.DataType) -> list[tuple[str, Column]]:
     """(check name, fails) for the checks of one rule that look at values."""
-    col = quoted(rule.name)
+    col = present(quoted(rule.name), dtype)
     checks = []
     if not rule.nullable:
         checks.append(("not_nullable", col.isNull()))
@@ -70,7 +73,7 @@ def applicable_checks(
         (rule.name, check, fails)
         for rule in rules
         if _comparable(df, rule)
-        for check, fails in _row_checks(rule)
+        for check, fails in _row_checks(rule, df.schema[rule.name].dataType)
     ]
 
 
@@ -113,11 +116,12 @@ def failing_rows(df: DataFrame, rules: Sequence[ColumnRule], key: str | None = N
     static = [
         (None, column, check, found) for column, check, found in schema_problems(df, rules)
     ]
-    out = spark.createDataFrame(static, FAILURE_SCHEMA)
+    key_type = df.schema[key].dataType if key else T.LongType()
+    out = spark.createDataFrame(static, failure_schema(key_type))
     checks = applicable_checks(df, rules)
     if not checks:
         return out
-    row_id = quoted(key).cast("long") if key else F.lit(None).cast("long")
+    row_id = quoted(key) if key else F.lit(None).cast(key_type)
     records = F.array_compact(
         F.array(
             *[

@@ -186,9 +186,10 @@ def top_values(
     texts is counted by digest, and only the texts that may win are shuffled.
     """
     names = list(columns or string_columns(df))
-    # A few rows tell which columns are long; a wrong guess costs time only.
-    head = df.select(*[F.length(quoted(c)).alias(f"l{i}") for i, c in enumerate(names)]).limit(1000)
-    sizes = head.agg(*[F.avg(f"l{i}").alias(f"l{i}") for i in range(len(names))]).first()
+    if not names:
+        schema = "column string, value string, n long, rank int"
+        return df.sparkSession.createDataFrame([], schema)
+    sizes = df.agg(*[F.avg(F.length(quoted(c))).alias(f"l{i}") for i, c in enumerate(names)]).first()
     wanted = {
         c: _least_winning_count(df, c, k, tie_limit)
         for i, c in enumerate(names)
@@ -252,6 +253,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     Only rows where both values are present count. A constant column has no r.
     """
     names = list(columns or numeric_columns(df))
+    if not names:
+        return df.sparkSession.createDataFrame([], "col_a string, col_b string, r double")
     values = [value_column(df, c) for c in names]
     # Without nulls a column has one deviation, not one per partner.
     row = df.agg(

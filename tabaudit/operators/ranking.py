@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tabaudit.functions.rates import is_one
 from tabaudit.functions.values import present
 from tabaudit.operators.cleaning import quoted, running
 
@@ -46,7 +47,8 @@ def score_edges(df: DataFrame, score: str, buckets: int | None = None) -> list[f
     fraction = min(1.0, buckets * SAMPLE_PER_BUCKET / max(1, scores.count()))
     probs = [i / buckets for i in range(1, buckets)]
     found = scores.sample(fraction, seed=17).agg(F.percentile_approx("v", probs, 4 * buckets))
-    return sorted(found.first()[0] or [])
+    # Infinite scores belong to the outermost ranges.
+    return sorted(e for e in found.first()[0] or [] if math.isfinite(e))
 
 
 def rank_sums(
@@ -69,13 +71,14 @@ def rank_sums(
     value = score_value(df, score)
     scored, counts = value.isNotNull(), ["pos", "neg", *sums]
     groups = [f"_g{i}" for i in range(len(names))]
+    positive = is_one(quoted(y_true), "truth")
     cells = (
         df.select(
             *[dimensions[n].alias(g) for n, g in zip(names, groups)],
             # -0.0 and 0.0 are one score.
             F.when(value == 0, 0.0).otherwise(value).alias("_s"),
-            (scored & (quoted(y_true) == 1)).cast("long").alias("pos"),
-            (scored & (quoted(y_true) != 1)).cast("long").alias("neg"),
+            (scored & positive).cast("long").alias("pos"),
+            (scored & ~positive).cast("long").alias("neg"),
             *[expr.cast("long").alias(name) for name, expr in sums.items()],
         )
         .groupBy(*groups, "_s")

@@ -3,9 +3,10 @@
 Rows of a class are ordered by ``md5(seed|key)``. The first ones, up to the class
 quota, are the test part; the rest is cut into consecutive folds. Since only a
 few ranks per class matter, the hashes at those ranks are looked up once and each
-row is then placed by comparing its own hash with them: the table is labelled in
-a map-only pass, with no shuffle and no window over a whole class. Order, number
-and size of partitions do not matter.
+row is then placed by comparing its own hash with them: with few classes the table
+is labelled in a map-only pass, with many after a join with the table of classes.
+Class sizes, quotas and thresholds are tables, whatever the number of classes.
+Order, number and size of partitions do not matter.
 """
 
 from __future__ import annotations
@@ -19,75 +20,50 @@ from operator import add
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tabaudit.operators.cleaning import quoted, running
+from tabaudit.operators.positions import with_sum_before
+from tabaudit.session import materialize
 
 # Classes up to which thresholds are inlined rather than joined.
 INLINE_CLASSES = 64
-# More distinct labels than this are not classes.
-MAX_CLASSES = 100_000
+# Narrow rows up to which a table is broadcast rather than shuffled.
+BROADCAST_ROWS = 500_000
 
 
 def row_hash(key: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), quoted(key).cast("string")))
 
 
-def class_quotas(sizes: dict, test_size: float) -> dict:
-    """Test rows per class: proportional, the total rounded up, largest remainders first."""
-    n = sum(sizes.values())
-    total = math.ceil(test_size * n)
-    quotas = {c: size * total // n for c, size in sizes.items()}
-    left = total - sum(quotas.values())
-    by_remainder = sorted(sizes, key=lambda c: (-(sizes[c] * total % n), _class_order(c)))
-    for c in by_remainder[:left]:
-        quotas[c] += 1
-    return quotas
-
-
-def fold_sizes(train_sizes: dict, k: int) -> dict:
-    """Rows per class and fold: the training labels, sorted, are dealt out in turn."""
-    out, start = {}, 0
-    for c in sorted(train_sizes, key=_class_order):
-        end = start + train_sizes[c]
-        out[c] = [len(range(start + (i - start) % k, end, k)) for i in range(k)]
-        start = end
-    return out
-
-
-def _class_order(label):
-    return (label is None, label if label is not None else 0)
-
-
 @dataclass(frozen=True)
 class SplitPlan:
-    """Thresholds per class: slot 0 is the test part, slots 1..k are the folds."""
+    """Thresholds per class: slot 0 is the test part, slots 1..k are the folds.
+
+    ``cuts`` has ``c`` (the class) and ``limits`` (a hash per slot); ``inline`` holds
+    its rows if there are few.
+    """
 
     label: str
     key: str
     seed: int
     folds: int
     label_type: T.DataType
-    cuts: tuple[tuple[object, tuple[str, ...]], ...]
+    cuts: DataFrame
+    n_classes: int
+    inline: tuple[tuple[object, tuple[str, ...]], ...] | None
 
     def apply(self, df: DataFrame, part: str = "part", fold: str = "fold") -> DataFrame:
         """Add ``part`` ('train'/'test') and ``fold`` (null in the test part)."""
         h, label = row_hash(self.key, self.seed), quoted(self.label)
-        if len(self.cuts) <= INLINE_CLASSES:
+        if self.inline is not None:
             limits = F.lit(None).cast("array<string>")
-            for value, hashes in self.cuts:
+            for value, hashes in self.inline:
                 same = label.eqNullSafe(F.lit(value).cast(self.label_type))
                 limits = F.when(same, F.array(*map(F.lit, hashes))).otherwise(limits)
             placed = df.withColumn("_limits", limits)
         else:
-            schema = T.StructType(
-                [
-                    T.StructField("_class", self.label_type),
-                    T.StructField("_limits", T.ArrayType(T.StringType())),
-                ]
-            )
-            # At most MAX_CLASSES rows of a few hashes each.
-            table = df.sparkSession.createDataFrame([(v, list(hs)) for v, hs in self.cuts], schema)
-            placed = df.join(F.broadcast(table), label.eqNullSafe(F.col("_class")), "left").drop(
-                "_class"
-            )
+            table = self.cuts.toDF("_class", "_limits")
+            if self.n_classes <= BROADCAST_ROWS:
+                table = F.broadcast(table)
+            placed = df.join(table, label.eqNullSafe(F.col("_class")), "left").drop("_class")
         slot = reduce(
             add,
             [(h > F.get(F.col("_limits"), F.lit(i))).cast("int") for i in range(max(1, self.folds))],
@@ -109,38 +85,65 @@ def fit_split(
     """Find the hash at every rank where a class changes from one slot to the next.
 
     Three narrow passes: class sizes, rows per class and hash bucket, and the hashes
-    in those buckets that contain a wanted rank. ``key`` must be unique.
+    in those buckets that contain a wanted rank. ``key`` must be unique and not null:
+    a null, or a repeated key at a threshold, raises an error.
     """
-    rows = (
-        df.groupBy(quoted(label).alias("c"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .limit(MAX_CLASSES + 1)
-        .collect()
+    sizes = materialize(
+        df.groupBy(quoted(label).alias("c")).agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(quoted(key).isNull()).alias("nulls")
+        ),
+        "classes",
     )
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} distinct values")
-    sizes = {r["c"]: r["n"] for r in rows}
-    ranks = _slot_ranks(sizes, test_size, folds)
+    totals = sizes.agg(F.sum("n").alias("n"), F.sum("nulls").alias("nulls"), F.count("*").alias("c")).first()
+    if totals["nulls"]:
+        raise ValueError(f"{totals['nulls']} rows have no {key}: a split needs a key in every row")
+    n = totals["n"] or 0
+    ranks = _slot_ranks(sizes, n, test_size, folds)
     hashed = df.select(quoted(label).alias("c"), row_hash(key, seed).alias("h")).withColumn(
-        "b", F.substring("h", 1, bucket_digits(sum(sizes.values())))
+        "b", F.substring("h", 1, bucket_digits(n))
     )
-    found = _hashes_at(hashed, ranks, df.schema[label].dataType)
-    cuts = tuple(
-        (c, tuple(found[c, r] if r else "" for r in ranks[c]))
-        for c in sorted(sizes, key=_class_order)
+    cuts = materialize(_limits(hashed, ranks, key), "cuts")
+    inline = None
+    if totals["c"] <= INLINE_CLASSES:
+        inline = tuple((r["c"], tuple(r["limits"])) for r in cuts.collect())
+    return SplitPlan(label, key, seed, folds, df.schema[label].dataType, cuts, totals["c"], inline)
+
+
+def _slot_ranks(sizes: DataFrame, n: int, test_size: float, folds: int) -> DataFrame:
+    """``c`` and ``ranks``: the last rank of the test part, and of each fold but the last.
+
+    Test rows are shared out in proportion, the total rounded up, the largest
+    remainders first. Folds are the sizes that result when the training labels,
+    sorted, are dealt out in turn.
+    """
+    total = math.ceil(test_size * n) if test_size else 0
+    wide = lambda x: F.lit(x).cast("decimal(38,0)")
+    share = F.col("n").cast("decimal(19,0)") * F.lit(total).cast("decimal(19,0)")
+    exact = ((F.col("share") - F.col("remainder")) / wide(max(n, 1))).cast("long")
+    quotas = sizes.select("c", "n", share.cast("decimal(38,0)").alias("share")).withColumn(
+        "remainder", F.col("share") % wide(max(n, 1))
+    ).select("c", "n", exact.alias("floor"), "remainder")
+    left = total - (quotas.agg(F.sum("floor")).first()[0] or 0)
+    placed = with_sum_before(quotas, [-F.col("remainder"), *_class_order()], "place")
+    quota = F.col("floor") + (F.col("place") < left).cast("long")
+    counted = placed.select("c", "n", quota.alias("quota"))
+    if not folds:
+        return counted.select("c", F.array("quota").alias("ranks"))
+    train = F.col("n") - F.col("quota")
+    dealt = with_sum_before(counted, _class_order(), "start", train).withColumn(
+        "stop", F.col("start") + train
     )
-    return SplitPlan(label, key, seed, folds, df.schema[label].dataType, cuts)
+    # Labels start..stop-1 go to fold (place mod folds).
+    upto = [F.col("quota")]
+    for i in range(folds - 1):
+        block = F.expr(f"(stop - {i} + {folds - 1}) div {folds} - (start - {i} + {folds - 1}) div {folds}")
+        upto.append(upto[-1] + block)
+    return dealt.select("c", F.array(*upto).alias("ranks"))
 
 
-def _slot_ranks(sizes: dict, test_size: float, folds: int) -> dict:
-    quotas = class_quotas(sizes, test_size) if test_size else dict.fromkeys(sizes, 0)
-    ranks = {c: [quotas[c]] for c in sizes}
-    if folds:
-        blocks = fold_sizes({c: sizes[c] - quotas[c] for c in sizes}, folds)
-        for c in sizes:
-            for block in blocks[c][:-1]:
-                ranks[c].append(ranks[c][-1] + block)
-    return ranks
+def _class_order() -> list[Column]:
+    """Classes in ascending order, null last."""
+    return [F.col("c").isNull(), F.col("c")]
 
 
 def bucket_digits(n: int) -> int:
@@ -151,48 +154,51 @@ def bucket_digits(n: int) -> int:
     return min(8, max(1, round(math.log(max(n, 1), 16) / 2)))
 
 
-def _hashes_at(hashed: DataFrame, ranks: dict, dtype: T.DataType) -> dict:
-    """``(class, rank) -> hash`` for the wanted ranks (1-based; 0 is left out)."""
-    spark = hashed.sparkSession
-    wanted = sorted({(c, r) for c, rs in ranks.items() for r in rs if r}, key=lambda x: x[1])
-    if not wanted:
-        return {}
-    class_field = T.StructField("c2", dtype)
-    rank_schema = T.StructType([class_field, T.StructField("r", T.LongType())])
-    # Wanted ranks and hit buckets: a few rows per class.
+def _limits(hashed: DataFrame, ranks: DataFrame, key: str) -> DataFrame:
+    """``c`` and ``limits``: the hash at each of a class's ranks, an empty text for rank 0."""
+    wanted = materialize(
+        ranks.select("c", F.posexplode("ranks").alias("slot", "r")), "wanted_ranks"
+    )
     counts = hashed.groupBy("c", "b").agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(running(["c"], "b"))
+    upto = counts.withColumn("upto", F.sum("n").over(running(["c"], "b")))
+    asked = wanted.filter("r > 0").select(F.col("c").alias("c2"), "slot", "r")
     hits = (
-        counts.withColumn("upto", upto)
-        .join(
-            F.broadcast(spark.createDataFrame(wanted, rank_schema)),
+        upto.join(
+            asked,
             F.col("c").eqNullSafe(F.col("c2"))
             & (F.col("r") <= F.col("upto"))
             & (F.col("r") > F.col("upto") - F.col("n")),
         )
-        .select("c", "b", "r", (F.col("r") - F.col("upto") + F.col("n")).alias("at"))
-        .collect()
+        .withColumn("at", F.col("r") - F.col("upto") + F.col("n"))
+        .groupBy("c", "b")
+        .agg(F.collect_list(F.struct("at", "slot")).alias("asked"))
     )
-    bucket_schema = T.StructType(
-        [class_field, T.StructField("b2", T.StringType()), T.StructField("at", T.ArrayType(T.LongType()))]
+    hits = materialize(hits.toDF("c2", "b2", "asked"), "hit_buckets")
+    if hits.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        hits = F.broadcast(hits)
+    order = Window.partitionBy("c", "b").orderBy("h")
+    found = (
+        hashed.join(hits, F.col("c").eqNullSafe(F.col("c2")) & (F.col("b") == F.col("b2")))
+        .withColumns(
+            {
+                "place": F.row_number().over(order).cast("long"),
+                "again": F.coalesce(F.lead("h").over(order) == F.col("h"), F.lit(False)),
+            }
+        )
+        .select("c", "h", "again", F.inline(F.filter("asked", lambda x: x["at"] == F.col("place"))))
     )
-    by_bucket: dict = {}
-    for hit in hits:
-        by_bucket.setdefault((hit["c"], hit["b"]), {})[hit["at"]] = hit["r"]
-    table = spark.createDataFrame(
-        [(c, b, sorted(at)) for (c, b), at in by_bucket.items()], bucket_schema
+    error = F.raise_error(F.lit(f"{key} repeats: a split needs a key that tells rows apart"))
+    checked = found.select(
+        F.col("c").alias("c2"),
+        F.col("slot").alias("slot2"),
+        F.when(F.col("again"), error.cast("string")).otherwise(F.col("h")).alias("h"),
     )
-    place = F.row_number().over(Window.partitionBy("c", "b").orderBy("h"))
-    rows = (
-        hashed.join(
-            F.broadcast(table), F.col("c").eqNullSafe(F.col("c2")) & (F.col("b") == F.col("b2"))
-        )
-        .withColumn("place", place.cast("long"))
-        .filter(F.array_contains("at", F.col("place")))
-        .select("c", "b", "place", "h")
-        .collect()
+    same = F.col("c").eqNullSafe(F.col("c2")) & (F.col("slot") == F.col("slot2"))
+    entry = F.struct("slot", F.coalesce("h", F.lit("")).alias("h"))
+    each = wanted.join(checked, same, "left").groupBy("c").agg(
+        F.sort_array(F.collect_list(entry)).alias("slots")
     )
-    return {(r["c"], by_bucket[r["c"], r["b"]][r["place"]]): r["h"] for r in rows}
+    return each.select("c", F.col("slots.h").alias("limits"))
 
 
 def stratified_split(

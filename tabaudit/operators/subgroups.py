@@ -54,14 +54,29 @@ def subgroup_metrics(
     the share of true positives among all rows (a prevalence, not a recall).
     """
     dims = dimensions if dimensions is not None else dimensions_of(df)
-    keys = ["dimension", "group"]
+    return metrics_of(group_counts(df, dims, y_true, y_pred, score, edges), min_rows)
+
+
+def group_counts(
+    df: DataFrame,
+    dimensions: dict[str, Column],
+    y_true: str = "y_true",
+    y_pred: str = "y_pred",
+    score: str | None = "y_proba",
+    edges: Sequence[float] | None = None,
+) -> DataFrame:
+    """Confusion counts and, with a score, rank sums of every group of every dimension."""
     if score is None:
-        counts = confusion_counts(by_dimension(df, dims, [y_true, y_pred]), y_true, y_pred, keys)
-        auc = F.lit(None).cast("double")
-    else:
-        hits = rates.cell_indicators(quoted(y_true), quoted(y_pred))
-        counts = rank_sums(df, dims, y_true, score, hits, edges)
-        auc = auc_from_sums()
+        rows = by_dimension(df, dimensions, [y_true, y_pred])
+        return confusion_counts(rows, y_true, y_pred, ["dimension", "group"])
+    hits = rates.cell_indicators(quoted(y_true), quoted(y_pred))
+    return rank_sums(df, dimensions, y_true, score, hits, edges)
+
+
+def metrics_of(counts: DataFrame, min_rows: int = MIN_GROUP_ROWS) -> DataFrame:
+    """Metrics of the groups that ``group_counts`` has counted."""
+    keys = ["dimension", "group"]
+    auc = auc_from_sums() if "u" in counts.columns else F.lit(None).cast("double")
     tn, fp, fn, tp = cells()
     n = rates.total(tn, fp, fn, tp)
     return counts.filter(n >= min_rows).select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -52,8 +53,6 @@ DIRTY_RULES = (
     ColumnRule("bal_null", DOUBLE, between=(0, 9000)),
 )
 
-MODEL_TREES = 4
-
 
 def query(fn: Query) -> Query:
     _QUERIES[fn.__name__] = fn
@@ -142,6 +141,15 @@ def clean_categoricals(spark, sf_dir):
     return cleaning.clean_features(customers, ["seg_raw", "not_there"])
 
 
+@query
+def flatten_target(spark, sf_dir):
+    """The only column of a target table, whatever its name."""
+    target = views.dirty_customers(spark, sf_dir).select("label_raw")
+    return cleaning.flatten_target(target).toDF("label").groupBy("label").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
 @query
 def clean_target(spark, sf_dir):
     customers = views.dirty_customers(spark, sf_dir).select("c_custkey", "label_raw")
@@ -283,6 +291,40 @@ def failure_cases(spark, sf_dir):
     )
 
 
+@query
+def strict_expectations(spark, sf_dir):
+    """Strict mode hands a sound table on and names the rule that a bad one breaks."""
+    orders = views.table(spark, sf_dir, "orders")
+    sound = (ColumnRule("o_orderkey", LONG), ColumnRule("o_orderpriority", TEXT))
+    kept = expectations.require_expectations(orders, sound).agg(F.count(F.lit(1)).alias("n"))
+    try:
+        expectations.require_expectations(orders, (ColumnRule("o_totalprice", DOUBLE, between=(0, 1)),))
+        message = "nothing raised"
+    except expectations.ExpectationError as error:
+        message = str(error)
+    return kept.select(F.col("n"), F.lit(message).alias("raised"))
+
+
+@query
+def failing_rows_text_key(spark, sf_dir):
+    """Rows named by a text key."""
+    customers = views.dirty_customers(spark, sf_dir)
+    keyed = customers.withColumn("name", F.concat(F.lit("k"), "c_custkey")).drop("c_custkey")
+    return expectations.failing_rows(keyed, DIRTY_RULES[1:2], "name")
+
+
+@query
+def failing_rows_nan(spark, sf_dir):
+    """NaN is missing: it breaks a rule against nulls, not a range."""
+    key = F.col("c_custkey")
+    balances = views.table(spark, sf_dir, "customer").select(
+        key, F.when(key % 5 == 0, float("nan")).otherwise(F.col("c_acctbal")).alias("balance")
+    )
+    ranged = ColumnRule("balance", DOUBLE, nullable=True, between=(-10_000, 10_000))
+    rules = (ranged, ColumnRule("balance", DOUBLE))
+    return expectations.failing_rows(balances, rules, "c_custkey").select("row_id", "column", "check")
+
+
 @query
 def validation_verdict(spark, sf_dir):
     return expectations.verdict(views.table(spark, sf_dir, "lineitem"), LINE_TYPES)
@@ -366,6 +408,28 @@ def preprocessor_state_roundtrip(spark, sf_dir):
     return rounded(state.load_preprocessor(spark, path).transform(customers, ["c_custkey"]))
 
 
+@query
+def ordinal_transform_by_shuffle(spark, sf_dir):
+    """The same codes, looked up by shuffle joins as those of large vocabularies are."""
+    rows, training = _customer_training(spark, sf_dir)
+    cats = ["c_mktsegment", "c_name", "nation"]
+    fitted = encode.fit_preprocessor(training, [], cats)
+    shuffled = encode.build_preprocessor(
+        [], cats, {}, fitted.codes, inline_limit=0, broadcast_chars=0
+    )
+    return shuffled.transform(rows, ["c_custkey"])
+
+
+@query
+def ordinal_fit_long_prefix(spark, sf_dir):
+    """Values that only differ behind a long common beginning."""
+    names = views.table(spark, sf_dir, "customer").select(
+        F.concat(F.repeat(F.lit("x"), 200), "c_name").alias("name")
+    )
+    codes = encode.fit_ordinal(names, ["name"], sort_limit=100)
+    return codes.select(F.right("value", F.lit(18)).alias("ending"), "code")
+
+
 # -- splits ------------------------------------------------------------------
 
 
@@ -387,6 +451,16 @@ def stratified_folds(spark, sf_dir):
     return placed.withColumn("fold", F.coalesce("fold", F.lit(-1)))
 
 
+@query
+def stratified_folds_many_classes(spark, sf_dir):
+    """More classes than are inlined; keys are text."""
+    orders = views.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("row_id"), (F.col("o_custkey") % 200).alias("label")
+    )
+    placed = split.stratified_folds(orders, "label", "row_id")
+    return placed.withColumn("fold", F.coalesce("fold", F.lit(-1)))
+
+
 # -- metrics -----------------------------------------------------------------
 
 
@@ -409,6 +483,43 @@ def classification_report(spark, sf_dir):
     )
 
 
+def _odd_scored(spark, sf_dir):
+    """Scored orders, some without truth or prediction or with values other than 0 and 1."""
+    key = F.col("row_id")
+    return views.scored_orders(spark, sf_dir).withColumns(
+        {
+            "y_true": F.when(key % 13 != 0, F.when(key % 29 == 0, 2).otherwise(F.col("y_true"))),
+            "y_pred": F.when(key % 7 != 0, F.when(key % 31 == 0, -1).otherwise(F.col("y_pred"))),
+        }
+    )
+
+
+@query
+def label_problems(spark, sf_dir):
+    return metrics.label_problems(_odd_scored(spark, sf_dir))
+
+
+@query
+def metrics_of_valid_rows(spark, sf_dir):
+    """Missing and odd labels are counted above and left out here."""
+    return rounded(metrics.overall_metrics(metrics.valid_rows(_odd_scored(spark, sf_dir))))
+
+
+@query
+def classification_report_one_class(spark, sf_dir):
+    """The absent class has zeros and takes no part in the macro averages."""
+    ones = views.scored_orders(spark, sf_dir).filter("y_true = 1").withColumn("y_pred", F.lit(1))
+    return rounded(metrics.classification_report(ones))
+
+
+@query
+def roc_auc_infinite_scores(spark, sf_dir):
+    scored = views.scored_orders(spark, sf_dir)
+    key, inf = F.col("row_id"), F.lit(float("inf"))
+    score = F.when(key % 3 == 0, inf).when(key % 5 == 0, -inf).otherwise(F.col("y_proba"))
+    return rounded(metrics.roc_auc(scored.withColumn("y_proba", score)))
+
+
 @query
 def roc_auc(spark, sf_dir):
     return rounded(metrics.roc_auc(views.scored_orders(spark, sf_dir)))
@@ -468,6 +579,20 @@ def cv_test_consistency(spark, sf_dir):
     return rounded(diagnostics.cv_test_consistency(_scored_with_folds(spark, sf_dir)))
 
 
+@query
+def report_document(spark, sf_dir):
+    """Confusion counts written as a nested document and as rows, and read again."""
+    counts = metrics.confusion_matrix(views.scored_orders(spark, sf_dir))
+    base = scratch_path(spark, "report")
+    document = {"cells": [row.asDict() for row in counts.collect()]}
+    reports.write_document(spark, document, f"{base}/document")
+    rows = spark.read.json(reports.write_rows(counts, f"{base}/rows"))
+    read = spark.createDataFrame(
+        reports.read_document(spark, f"{base}/document")["cells"], "y_true int, y_pred int, n long"
+    )
+    return read.join(rows.withColumnRenamed("n", "n_rows"), ["y_true", "y_pred"])
+
+
 @query
 def run_log_best(spark, sf_dir):
     """Log one run per price threshold, then pick the best."""
@@ -507,9 +632,29 @@ def run_log_best(spark, sf_dir):
 # -- models ------------------------------------------------------------------
 
 
-def _design(spark, sf_dir):
-    """Encoded order features with part and fold, written once."""
-    features = materialize(views.order_features(spark, sf_dir), "order_features")
+@query
+def model_state_roundtrip(spark, sf_dir):
+    """A saved and loaded model predicts as before."""
+    design, features = _design(spark, sf_dir)
+    model = models.fit_model(design.filter("part = 'train'"), features, models.logistic_regression())
+    path = scratch_path(spark, "model")
+    state.save_model(model, path)
+    test = design.filter("part = 'test'")
+    return models.score(state.load_model(path), test, ["row_id", "label"]).drop("y_proba")
+
+
+@functools.lru_cache(maxsize=8)
+def _design(spark, sf_dir, finished=True):
+    """Encoded order features with part and fold, written once per session and label.
+
+    Whether an order is finished is decided by one of the features, so the right
+    predictions are known. The other label, whether it is costly, is noisy.
+    """
+    features = views.order_features(spark, sf_dir)
+    if finished:
+        label = (F.col("o_orderstatus") == "F").cast("int")
+        features = features.withColumn("label", label)
+    features = materialize(features, "order_features")
     rows = split.stratified_folds(features, "label", "row_id")
     fitted = encode.fit_preprocessor(
         rows.filter("part = 'train'"), views.NUM_FEATURES, views.CAT_FEATURES
@@ -518,29 +663,40 @@ def _design(spark, sf_dir):
     return materialize(fitted.transform(rows, keep), "design"), fitted.feature_cols
 
 
+@functools.lru_cache(maxsize=8)
+def _gbt_scored(spark, sf_dir, finished):
+    """The test part, scored by trees of the published size."""
+    design, features = _design(spark, sf_dir, finished)
+    model = models.fit_model(design.filter("part = 'train'"), features, models.boosted_trees())
+    scored = models.score(model, design.filter("part = 'test'"), ["row_id", "label"])
+    return materialize(scored, "scored")
+
+
 @query
 def gbt_scored(spark, sf_dir):
-    """Label and probability of every order in the test part."""
-    design, features = _design(spark, sf_dir)
-    trees = models.boosted_trees({"n_estimators": MODEL_TREES})
-    model = models.fit_model(design.filter("part = 'train'"), features, trees)
-    return models.score(model, design.filter("part = 'test'"), ["row_id", "label"])
+    """Label and prediction of every order in the test part."""
+    scored = _gbt_scored(spark, sf_dir, True)
+    return scored.select("row_id", "label", "y_pred", (F.col("y_proba") > 0.5).alias("likely"))
+
+
+@query
+def gbt_scored_noisy(spark, sf_dir):
+    """Rows and labels of the test part under a noisy label; predictions follow probabilities."""
+    scored = _gbt_scored(spark, sf_dir, False)
+    agrees = (F.col("y_pred") == 1) == (F.col("y_proba") > 0.5)
+    return scored.select("row_id", "label", agrees.alias("agrees"))
 
 
 @query
 def gbt_holdout_metrics(spark, sf_dir):
     """Train, then test: overall metrics of the held-out part."""
-    design, features = _design(spark, sf_dir)
-    trees = models.boosted_trees({"n_estimators": MODEL_TREES})
-    model = models.fit_model(design.filter("part = 'train'"), features, trees)
-    scored = models.score(model, design.filter("part = 'test'"), ["label"])
-    return metrics.evaluation_summary(scored, "label")
+    return rounded(metrics.evaluation_summary(_gbt_scored(spark, sf_dir, True), "label"))
 
 
 @query
 def gbt_cv_macro_f1(spark, sf_dir):
     design, features = _design(spark, sf_dir)
-    out = stages.train(design, features, {"n_estimators": 2})
+    out = stages.train(design, features)
     scores = out["metrics"]
     return spark.createDataFrame(
         [(scores["f1_cv"], scores["f1_cv_std"], scores["f1_test"])],
@@ -555,7 +711,7 @@ def model_ranking(spark, sf_dir):
         design.filter("part = 'train'"),
         design.filter("part = 'test'"),
         features,
-        models.comparison_models(trees=2, max_iter=20),
+        models.comparison_models(),
         folds=models.DEFAULT_FOLDS,
     )
 

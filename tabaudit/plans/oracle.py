@@ -254,10 +254,12 @@ def decile_rows() -> str:
 
 
 def report_rows() -> str:
-    def line(section: str, column: str, statistic: str, value: str, table: str = "d") -> str:
+    def line(
+        section: str, column: str, statistic: str, value: str, table: str = "d", is_null: str = "false"
+    ) -> str:
         return (
             f"SELECT '{section}' AS section, {column} AS \"column\", {statistic} AS statistic, "
-            f"{rnd(value)} AS value FROM {table}"
+            f"{is_null} AS is_null, {rnd(value)} AS value FROM {table}"
         )
 
     parts = []
@@ -269,8 +271,8 @@ def report_rows() -> str:
         ("bal_null", "in_range(0, 9000)", "bal_null NOT BETWEEN 0 AND 9000"),
     ):
         parts.append(line("rules", f"'{col}'", f"'{check}'", f"count(*) FILTER ({fails})"))
-    # The key is profiled by no section, so its rule finds no such column.
-    parts.append(line("rules", "'c_custkey'", "'column_in_dataframe'", "count(*)"))
+    # The key takes no part in the profile, but a rule may speak of it.
+    parts.append(line("rules", "'c_custkey'", "'not_nullable'", "count(*) FILTER (c_custkey IS NULL)"))
     for col, dtype in (
         ("seg_raw", "string"),
         ("label_raw", "string"),
@@ -299,8 +301,8 @@ def report_rows() -> str:
             parts.append(line("numeric_summary", f"'{col}'", f"'{stat}'", expr))
     parts.append(
         line(
-            "categorical_distribution", '"column"', "coalesce(value, 'None')", "n",
-            f"({top_of('d', ['seg_raw', 'label_raw'])}) AS t",
+            "categorical_distribution", '"column"', "value", "n",
+            f"({top_of('d', ['seg_raw', 'label_raw'])}) AS t", "value IS NULL",
         )
     )
     return f"WITH d AS ({DIRTY})\n" + rows(*parts)
@@ -592,4 +594,71 @@ runs AS (SELECT lim, {F1_MACRO} AS f1, {ACCURACY} AS acc
          FROM (SELECT lim, {CELLS} FROM ruled GROUP BY lim) AS c)
 SELECT 'price-rule' AS experiment, lim AS "limit", {rnd('f1')} AS f1_test, {rnd('acc')} AS accuracy
 FROM runs ORDER BY f1 DESC LIMIT 1"""
+    odd = f"""
+SELECT row_id, CASE WHEN row_id % 13 = 0 THEN NULL WHEN row_id % 29 = 0 THEN 2 ELSE y_true END AS y_true,
+       CASE WHEN row_id % 7 = 0 THEN NULL WHEN row_id % 31 = 0 THEN -1 ELSE y_pred END AS y_pred
+FROM ({SCORED}) AS v"""
+    sql["label_problems"] = f"""
+SELECT count(*) AS n_rows, count(*) FILTER (y_true IN (0, 1) AND y_pred IN (0, 1)) AS n_valid,
+       count(*) FILTER (y_true IS NULL) AS n_null_truth,
+       count(*) FILTER (y_true NOT IN (0, 1)) AS n_other_truth,
+       count(*) FILTER (y_pred IS NULL) AS n_null_prediction,
+       count(*) FILTER (y_pred NOT IN (0, 1)) AS n_other_prediction FROM ({odd}) AS o"""
+    sql["metrics_of_valid_rows"] = f"""
+WITH c AS (SELECT {CELLS} FROM ({odd}) AS o WHERE y_true IN (0, 1) AND y_pred IN (0, 1))
+SELECT tn + fp + fn + tp AS n_samples, {rnd(ACCURACY)} AS accuracy,
+       {rnd(F1_MACRO)} AS f1_macro, {rnd(F1_POS)} AS f1_binary FROM c"""
+    sql["classification_report_one_class"] = f"""
+WITH c AS (SELECT count(*) AS n FROM ({SCORED}) AS v WHERE y_true = 1)
+SELECT '0' AS class, 0.0::DOUBLE AS precision, 0.0::DOUBLE AS recall, 0.0::DOUBLE AS f1, 0::BIGINT AS support
+UNION ALL SELECT '1', 1, 1, 1, n FROM c
+UNION ALL SELECT 'accuracy', NULL, NULL, 1, n FROM c
+UNION ALL SELECT 'macro avg', 1, 1, 1, n FROM c
+UNION ALL SELECT 'weighted avg', 1, 1, 1, n FROM c"""
+    sql["roc_auc_infinite_scores"] = f"""
+WITH v AS (SELECT 'all' AS grp, y_true, CASE WHEN row_id % 3 = 0 THEN 1e300
+             WHEN row_id % 5 = 0 THEN -1e300 ELSE y_proba END AS y_proba FROM ({SCORED}) AS s)
+SELECT {rnd('auc')} AS auc, {big('n_pos')} AS n_pos, {big('n_neg')} AS n_neg
+FROM ({auc_by('v', 'grp')}) AS a"""
+    sql["strict_expectations"] = """
+SELECT count(*) AS n, 'o_totalprice: in_range(0, 1): '
+  || count(*) FILTER (o_totalprice NOT BETWEEN 0 AND 1) || ' rows' AS raised FROM orders"""
+    sql["failing_rows_text_key"] = f"""
+SELECT 'k' || c_custkey AS row_id, 'seg_raw' AS "column", 'not_nullable' AS "check",
+       CAST(NULL AS VARCHAR) AS failure_case FROM ({DIRTY}) AS d WHERE seg_raw IS NULL"""
+    sql["failing_rows_nan"] = """
+SELECT c_custkey AS row_id, 'balance' AS "column", 'not_nullable' AS "check"
+FROM customer WHERE c_custkey % 5 = 0"""
+    sql["ordinal_transform_by_shuffle"] = sql["ordinal_transform"]
+    sql["ordinal_fit_long_prefix"] = """
+SELECT right(c_name, 18) AS ending, CAST(row_number() OVER (ORDER BY c_name) - 1 AS DOUBLE) AS code
+FROM (SELECT DISTINCT c_name FROM customer) AS n"""
+    many = "SELECT CAST(o_orderkey AS VARCHAR) AS row_id, o_custkey % 200 AS label FROM orders"
+    sql["stratified_folds_many_classes"] = f"""
+WITH {split_of(many)}
+SELECT row_id, label, part, CAST(coalesce(fold, -1) AS INTEGER) AS fold FROM placed"""
+    sql["flatten_target"] = (
+        f"SELECT label_raw AS label, count(*) AS n FROM ({DIRTY}) AS d GROUP BY label_raw"
+    )
+    sql["report_document"] = f"""
+SELECT y_true, y_pred, n, n AS n_rows FROM ({sql['confusion_matrix']}) AS c"""
+
+    # Finished orders are told apart exactly by one feature, so every model is right everywhere.
+    finished = "SELECT o_orderkey AS row_id, CAST(o_orderstatus = 'F' AS INTEGER) AS label FROM orders"
+    test = f"WITH {split_of(finished)}, t AS (SELECT row_id, label FROM placed WHERE part = 'test')"
+    sql["gbt_scored"] = f"""{test}
+SELECT row_id, label, label AS y_pred, label = 1 AS likely FROM t"""
+    sql["model_state_roundtrip"] = f"{test}\nSELECT row_id, label, label AS y_pred FROM t"
+    sql["gbt_scored_noisy"] = f"""
+WITH {split_of(f'SELECT row_id, label FROM ({FEATURES}) AS f')}
+SELECT row_id, label, true AS agrees FROM placed WHERE part = 'test'"""
+    one = "1.0::DOUBLE"
+    sql["gbt_holdout_metrics"] = f"""{test}
+SELECT count(*) FILTER (label = 0) AS tn, 0::BIGINT AS fp, 0::BIGINT AS fn,
+       count(*) FILTER (label = 1) AS tp, {one} AS accuracy, {one} AS f1_macro, {one} AS f1_binary,
+       {one} AS auc FROM t"""
+    sql["gbt_cv_macro_f1"] = f"SELECT {one} AS f1_cv, 0.0::DOUBLE AS f1_cv_std, {one} AS f1_test"
+    sql["model_ranking"] = f"""
+SELECT unnest(['GradientBoosting', 'LogisticRegression', 'RandomForest']) AS model,
+       {one} AS f1_cv, 0.0::DOUBLE AS f1_cv_std, {one} AS f1_test, {one} AS accuracy"""
     return sql

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tabaudit.functions.rates import CELLS
 from tabaudit.functions.values import POSITIVE_LABEL
 from tabaudit.operators import expectations, metrics, models, profile, subgroups
 from tabaudit.operators.cleaning import (
@@ -34,8 +35,8 @@ log = logging.getLogger(__name__)
 
 GROUP_PREFIX = "group_"
 
-# Groups up to which a report document lists them; a table lists any number.
-MAX_LISTED_GROUPS = 10_000
+# The dimension whose only group is the whole table; no column has this name.
+WHOLE = " whole table"
 
 
 @dataclass(frozen=True)
@@ -86,16 +87,17 @@ CENSUS = Layout()
 def validation_rows(
     df: DataFrame, rules=census.RULES, key: str | None = None, top: int = 10
 ) -> DataFrame:
-    """The validation report in long form: (section, column, statistic, value).
+    """The validation report in long form: (section, column, statistic, is_null, value).
 
     Rules, nulls, types and the basic statistics come from one shared aggregation;
     quartiles, duplicates and top values from one operator each. ``key`` is a
-    technical row id that takes no part in the profile.
+    technical row id: rules may speak of it, but it takes no part in the profile.
+    ``is_null`` marks the count of nulls among the top values of a text column.
     """
     data = df.drop(key) if key else df
-    counts = expectations.verdict_aggregates(data, rules)
+    counts = expectations.verdict_aggregates(df, rules)
     numeric = numeric_columns(data)
-    row = data.agg(
+    row = df.agg(
         F.count(F.lit(1)).alias("rows"),
         *[agg.alias(f"rule{i}") for i, agg in enumerate(counts.values())],
         *[F.count_if(profile.is_missing(data, c)).alias(f"null{i}") for i, c in enumerate(data.columns)],
@@ -104,7 +106,7 @@ def validation_rows(
     lines = [("rules", *rule.split(": ", 1), row[f"rule{i}"]) for i, rule in enumerate(counts)]
     lines += [
         ("rules", column, check, row["rows"])
-        for column, check, _ in expectations.schema_problems(data, rules)
+        for column, check, _ in expectations.schema_problems(df, rules)
     ]
     for i, (name, dtype) in enumerate(data.dtypes):
         lines.append(("null_counts", name, "nulls", row[f"null{i}"]))
@@ -145,11 +147,12 @@ def validation_rows(
             profile.top_values(data, top).select(
                 F.lit("categorical_distribution").alias("section"),
                 "column",
-                F.coalesce("value", F.lit("None")).alias("statistic"),
+                F.col("value").alias("statistic"),
                 F.col("n").cast("double").alias("value"),
             )
         )
-    return out
+    is_null = (F.col("section") == "categorical_distribution") & F.col("statistic").isNull()
+    return out.select("section", "column", "statistic", is_null.alias("is_null"), "value")
 
 
 def validate(
@@ -176,8 +179,9 @@ def validate(
         "duplicates": {},
         "numeric_summary": {},
         "categorical_distribution": {},
+        "categorical_nulls": {},
     }
-    for section, column, statistic, value in rows:
+    for section, column, statistic, is_null, value in rows:
         if section == "rules":
             if value > 0 or statistic == "column_in_dataframe" or statistic.startswith("dtype("):
                 report["success"] = False
@@ -192,6 +196,9 @@ def validate(
             report["duplicates"] = {"count": int(value), "has_duplicates": value > 0}
         elif section == "numeric_summary":
             report["numeric_summary"].setdefault(column, {})[statistic] = value
+        elif is_null:
+            # Kept apart from values, of which any may be spelt like a missing one.
+            report["categorical_nulls"][column] = int(value)
         else:
             report["categorical_distribution"].setdefault(column, {})[statistic] = int(value)
     if output_dir:
@@ -205,12 +212,17 @@ def validate(
     return report
 
 
-def labelled(features: DataFrame, target: DataFrame, layout: Layout = CENSUS) -> DataFrame:
-    """Features with the cleaned class and its 0/1 label, matched on ``row_id``."""
+def placed_target(
+    target: DataFrame, layout: Layout = CENSUS, folds: int = 0, seed: int = 42
+) -> DataFrame:
+    """The cleaned class, its 0/1 label, part and fold per ``row_id``.
+
+    The split is fitted on this narrow table alone, before any join.
+    """
     classes = binarize_label(
         clean_target(target, layout.target), layout.target, models.LABEL, layout.positive
     )
-    return features.join(classes, ROW_ID)
+    return fit_split(classes, layout.target, ROW_ID, folds=folds, seed=seed).apply(classes)
 
 
 def _load(spark: SparkSession, paths: Paths, layout: Layout) -> tuple[DataFrame, DataFrame]:
@@ -228,8 +240,9 @@ def features_stage(
     """
     features, target = _load(spark, paths, layout)
     if fit_scope == "train":
-        rows = labelled(features, target, layout)
-        features = fit_split(rows, layout.target, ROW_ID).apply(rows).filter("part = 'train'")
+        training = placed_target(target, layout).filter("part = 'train'").select(ROW_ID)
+        # Scaler and encoder read the rows several times; they are joined once.
+        features = materialize(features.join(training, ROW_ID), "training")
     elif fit_scope != "all":
         raise ValueError("fit_scope is 'train' or 'all'")
     fitted = fit_preprocessor(features, layout.num_cols, layout.cat_cols)
@@ -249,8 +262,7 @@ def design_table(
     Group columns get the prefix ``group_``: a feature may have the same name. The
     text chain runs once, as a second run could strip more.
     """
-    rows = labelled(features, target, layout)
-    placed = fit_split(rows, layout.target, ROW_ID, folds=folds, seed=seed).apply(rows)
+    placed = features.join(placed_target(target, layout, folds, seed), ROW_ID)
     cleaned = clean_features(placed, preprocessor.cat_cols, preprocessor.missing_as_unknown)
     groups = [c for c in layout.dimensions if c in features.columns]
     cleaned = cleaned.withColumns({GROUP_PREFIX + c: quoted(c) for c in groups})
@@ -302,13 +314,27 @@ def scored_table(model, design: DataFrame) -> DataFrame:
 def evaluate(
     scored: DataFrame, layout: Layout = CENSUS, paths: Paths | None = None
 ) -> dict:
-    """Overall and subgroup metrics of the test part as a nested document."""
+    """Overall metrics and subgroup gaps of the test part as a nested document.
+
+    The groups themselves are a table: ``groups`` in the result, and the rows at
+    ``subgroups_path`` if ``paths`` are given.
+    """
     test = scored.filter("part = 'test'") if "part" in scored.columns else scored
     has_score = test.filter(F.col("y_proba").isNotNull()).limit(1).count() > 0
     proba = "y_proba" if has_score else None
-    summary = metrics.evaluation_summary(test, score=proba).first()
+    dims = subgroups.dimensions_of(test, layout.dimensions)
+    # The whole table is one more dimension, so everything follows from one set of counts.
+    sums = materialize(
+        subgroups.group_counts(test, {**dims, WHOLE: F.lit(WHOLE)}, score=proba), "counts"
+    )
+    whole = sums.filter(F.col("dimension") == WHOLE).drop("dimension", "group")
+    if proba is not None:
+        whole = metrics.one_row(whole)
+    else:
+        whole = whole.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in CELLS])
+    summary = metrics.summary_of(whole).first()
     names = ("<=50K", ">50K") if layout.positive == POSITIVE_LABEL else ("0", "1")
-    report = metrics.classification_report(test, names=names).collect()
+    report = metrics.report_of(whole, names).collect()
     document: dict = {
         "accuracy": summary["accuracy"],
         "f1_macro": summary["f1_macro"],
@@ -318,22 +344,15 @@ def evaluate(
         "classification_report": [r.asDict() for r in report],
         "subgroup_metrics": {},
     }
-    dims = subgroups.dimensions_of(test, layout.dimensions)
+    groups = None
     if dims:
-        groups = materialize(subgroups.subgroup_metrics(test, dims, score=proba), "groups")
+        groups = subgroups.metrics_of(sums.filter(F.col("dimension") != WHOLE))
         for name in dims:
-            document["subgroup_metrics"][name] = {"groups": {}}
+            document["subgroup_metrics"][name] = {}
         if paths is not None:
             document["subgroups_path"] = reports.write_rows(
                 groups, f"{paths.artifacts}/subgroup_metrics.json"
             )
-        if groups.count() <= MAX_LISTED_GROUPS:
-            for row in groups.collect():
-                entry = row.asDict()
-                name, group = entry.pop("dimension"), entry.pop("group")
-                document["subgroup_metrics"][name]["groups"][group] = entry
-        else:
-            log.warning("too many groups to list in the document, see the table of subgroups")
         for row in subgroups.subgroup_disparity(groups).collect():
             entry = row.asDict()
             document["subgroup_metrics"][entry.pop("dimension")]["disparity"] = entry
@@ -341,7 +360,52 @@ def evaluate(
         document["metrics_path"] = reports.write_document(
             test.sparkSession, document, f"{paths.artifacts}/evaluation_metrics.json"
         )
-    return document
+    return {**document, "groups": groups}
+
+
+def ingest_stage(
+    spark: SparkSession,
+    path: str,
+    paths: Paths,
+    layout: Layout = CENSUS,
+    key: str | None = None,
+    schema: object = None,
+) -> dict:
+    """Ingest a landed table, ``path`` being its name without ``.parquet`` or ``.csv``."""
+    source = read_table(spark, path, schema)
+    return ingest(source, paths.raw, layout.features, layout.target, key)
+
+
+def validate_stage(
+    spark: SparkSession, paths: Paths, layout: Layout = CENSUS, strict: bool = False
+) -> dict:
+    """Validate the ingested features and write report and failing rows."""
+    features = read_table(spark, f"{paths.raw}/features", layout.feature_schema)
+    return validate(features, paths.processed, layout.rules, ROW_ID, strict)
+
+
+def overfitting_stage(
+    spark: SparkSession, paths: Paths, layout: Layout = CENSUS, f1_cv: float | None = None
+) -> dict:
+    """Score the raw tables with the stored model and check train against test."""
+    model = state.load_model(paths.model)
+    preprocessor = state.load_preprocessor(spark, f"{paths.artifacts}/preprocessor")
+    design = design_table(*_load(spark, paths, layout), preprocessor, layout)
+    return check_overfitting(scored_table(model, design), f1_cv)
+
+
+def compare_stage(
+    spark: SparkSession, paths: Paths, layout: Layout = CENSUS, estimators: dict | None = None
+) -> DataFrame:
+    """Compare models on the raw tables, encoded with the stored preprocessor."""
+    preprocessor = state.load_preprocessor(spark, f"{paths.artifacts}/preprocessor")
+    design = design_table(*_load(spark, paths, layout), preprocessor, layout)
+    return models.compare_models(
+        design.filter("part = 'train'"),
+        design.filter("part = 'test'"),
+        preprocessor.feature_cols,
+        estimators or models.comparison_models(),
+    )
 
 
 def evaluate_stage(spark: SparkSession, paths: Paths, layout: Layout = CENSUS) -> dict:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -24,25 +25,38 @@ def local_session(cores: str = "8", app: str = "tabaudit", **extra: str) -> Spar
     )
     for key, value in extra.items():
         builder = builder.config(key, value)
+    # Worker processes import this library by the same path.
+    root = str(Path(__file__).resolve().parents[1])
+    paths = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        os.environ["PYTHONPATH"] = os.pathsep.join([root, *paths])
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     return session
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder.
+def scratch_root(spark: SparkSession) -> str:
+    """The one folder of this application on storage that driver and executors share.
 
-    Executors and the driver must see the same files, so the folder the cluster
-    names is always preferred. Only a local master, where driver and executors
-    share one machine, may fall back to a temporary folder.
+    It lies in the checkpoint folder that the cluster names, else in the warehouse.
     """
     base = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="tabaudit-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/tabaudit-{spark.sparkContext.applicationId}"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the application's scratch folder."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> bool:
+    """Delete the application's scratch folder; tables that were materialized are gone then."""
+    jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    return bool(path.getFileSystem(jsc.hadoopConfiguration()).delete(path, True))
 
 
 def materialize(df, name: str = "table"):
@@ -52,5 +66,5 @@ def materialize(df, name: str = "table"):
     is computed once however many jobs read it.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

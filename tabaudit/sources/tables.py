@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tabaudit.functions.values import present
 from tabaudit.operators.cleaning import quoted, replace_columns
 from tabaudit.operators.profile import class_distribution
-from tabaudit.operators.split import MAX_CLASSES
 from tabaudit.session import materialize
 
 log = logging.getLogger(__name__)
@@ -72,21 +71,37 @@ def read_table(
     raise FileNotFoundError(f"no {' or '.join(prefer)} table at {base}")
 
 
+def _is_file_error(error: BaseException) -> bool:
+    """Whether the format or the storage, not the data, made a write fail."""
+    if isinstance(error, (OSError, AnalysisException)):
+        return True
+    cause = getattr(error, "java_exception", None) or getattr(error, "_origin", None)
+    while cause is not None:
+        name = cause.getClass().getName()
+        if name.startswith(("java.io.", "java.nio.file.", "org.apache.hadoop.")):
+            return True
+        cause = cause.getCause()
+    return False
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**_CSV).csv(path)
 
 
 def write_table(df: DataFrame, base: str) -> list[str]:
-    """Write Parquet, then CSV; one of the two may fail if the other succeeds.
+    """Write Parquet, then CSV; the file system may refuse one of the two.
 
-    The CSV is written from the landed Parquet, so ``df`` is computed once.
+    The CSV is written from the landed Parquet, so ``df`` is computed once. An error
+    in computing ``df`` is raised at once: writing CSV would only compute it again.
     """
     parquet, csv = f"{base}.parquet", f"{base}.csv"
     written = []
     try:
         df.write.mode("overwrite").parquet(parquet)
         written.append(parquet)
-    except Exception as error:  # a sink may fail in any way its file system likes
+    except Exception as error:
+        if not _is_file_error(error):
+            raise
         log.warning("writing %s failed, trying CSV only: %s", parquet, error)
     try:
         source = df.sparkSession.read.schema(df.schema).parquet(parquet) if written else df
@@ -94,7 +109,7 @@ def write_table(df: DataFrame, base: str) -> list[str]:
         written.append(csv)
     except Exception as error:
         log.error("writing %s failed: %s", csv, error)
-        if not written:
+        if not written or not _is_file_error(error):
             raise
     return written
 
@@ -102,7 +117,7 @@ def write_table(df: DataFrame, base: str) -> list[str]:
 def with_row_id(df: DataFrame, key: str | None = None) -> DataFrame:
     """Add ``row_id``: the business key, else an id fixed by writing the table once."""
     if key is not None:
-        return df.withColumn(ROW_ID, quoted(key).cast("long"))
+        return df.withColumn(ROW_ID, quoted(key))
     return materialize(df.withColumn(ROW_ID, F.monotonically_increasing_id()), "row_ids")
 
 
@@ -128,18 +143,22 @@ def ingest_summary(source: DataFrame, features: Sequence[str], target: str) -> D
 def ingest(
     source: DataFrame, out_dir: str, features: Sequence[str], target: str, key: str | None = None
 ) -> dict:
-    """Land features and target in both formats and describe what was written."""
+    """Land features, target and rows per class in both formats and describe them.
+
+    ``target_dist`` is the table of rows per class, however many classes there are.
+    """
     feature_table, target_table = split_source(source, features, target, key)
     written = write_table(feature_table, f"{out_dir}/features")
     written += write_table(target_table, f"{out_dir}/targets")
-    counted = target_table.groupBy(quoted(target)).count()
-    classes = counted.limit(MAX_CLASSES + 1).collect()
-    if len(classes) > MAX_CLASSES:
-        raise ValueError(f"{target} has more than {MAX_CLASSES} distinct values")
+    classes = class_distribution(target_table, target)
+    written += write_table(classes, f"{out_dir}/classes")
+    stored = source.sparkSession.read.parquet(f"{out_dir}/classes.parquet")
+    totals = stored.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("classes")).first()
     return {
-        "n_rows": sum(r["count"] for r in classes),
+        "n_rows": totals["n"] or 0,
         "n_features": len(features),
-        "target_dist": {str(r[target]): r["count"] for r in classes},
+        "n_classes": totals["classes"],
+        "target_dist": stored.select("label", "n"),
         "written_files": written,
         "output_dir": out_dir,
     }

@@ -100,7 +100,8 @@ def test_report(census_rows, tmp_path, spark):
     assert report["dtypes"]["age"] == "bigint"
     assert report["duplicates"] == {"count": 0, "has_duplicates": False}
     assert report["numeric_summary"]["age"]["count"] == 2
-    assert report["categorical_distribution"]["workclass"] == {"Private": 1, "None": 1}
+    assert report["categorical_distribution"]["workclass"] == {"Private": 1}
+    assert report["categorical_nulls"]["workclass"] == 1
     assert spark.read.json(report["output_path"]).count() == 1
 
 

@@ -27,7 +27,7 @@ def test_stages_hand_over(run):
     assert sum(map(sum, matrix)) == 20
     assert 0 <= out["evaluate"]["auc"] <= 1
     assert set(out["evaluate"]["subgroup_metrics"]) == {"sex", "race", "age"}
-    assert any(s["groups"] for s in out["evaluate"]["subgroup_metrics"].values())
+    assert out["evaluate"]["groups"].count() > 0
 
 
 def test_train_and_evaluate_agree_on_the_split(run):
@@ -66,9 +66,10 @@ def test_evaluating_alone_gives_the_same(run, spark):
     alone = stages.evaluate_stage(spark, stages.Paths(root))
     assert alone["confusion_matrix"] == out["evaluate"]["confusion_matrix"]
     assert alone["auc"] == pytest.approx(out["evaluate"]["auc"])
-    assert set(alone["subgroup_metrics"]["age"]["groups"]) == set(
-        out["evaluate"]["subgroup_metrics"]["age"]["groups"]
-    )
+    groups = [
+        {(r["dimension"], r["group"]) for r in x["groups"].collect()} for x in (alone, out["evaluate"])
+    ]
+    assert groups[0] == groups[1]
 
 
 def test_overfitting_check(run, scored):
@@ -191,11 +192,39 @@ def test_training_input_is_spread_over_the_cores(points, spark):
     assert models.spread(many) is many
 
 
-def test_many_groups_stay_in_the_table(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(stages, "MAX_LISTED_GROUPS", 1)
-    rows = [(i, i % 2, i % 2, 0.5, f"g{i % 4}") for i in range(80)]
-    scored = spark.createDataFrame(rows, "row_id long, y_true int, y_pred int, y_proba double, sex string")
+def test_all_of_many_groups_are_listed(spark, tmp_path):
+    scored = spark.range(100_010).select(
+        F.col("id").alias("row_id"),
+        (F.col("id") % 2).cast("int").alias("y_true"),
+        (F.col("id") % 2).cast("int").alias("y_pred"),
+        F.lit(0.5).alias("y_proba"),
+        F.concat(F.lit("g"), F.col("id") % 10_001).alias("sex"),
+    )
     document = stages.evaluate(scored, paths=stages.Paths(str(tmp_path)))
-    assert document["subgroup_metrics"]["sex"]["groups"] == {}
     assert document["subgroup_metrics"]["sex"]["disparity"]["accuracy_max_diff"] == 0
-    assert spark.read.json(document["subgroups_path"]).count() == 4
+    assert spark.read.json(document["subgroups_path"]).count() == 10_001
+    assert document["groups"].count() == 10_001
+
+
+def test_stages_over_paths(run, random_people, spark, tmp_path):
+    root, out = run
+    paths = stages.Paths(root)
+    landed = f"{tmp_path}/landed"
+    tables.write_csv(random_people, f"{landed}.csv")
+    own = stages.Paths(str(tmp_path))
+    ingested = stages.ingest_stage(spark, landed, own, key="row_id", schema=random_people.schema)
+    assert ingested["n_rows"] == 100
+    checked = stages.validate_stage(spark, own)
+    assert checked["success"] == out["validate"]["success"]
+    assert checked["null_counts"] == out["validate"]["null_counts"]
+    f1_cv = out["train"]["metrics"]["f1_cv"]
+    assert stages.overfitting_stage(spark, paths, f1_cv=f1_cv) == out["overfitting"]
+    few = {"LogisticRegression": models.logistic_regression(5)}
+    assert [r["model"] for r in stages.compare_stage(spark, paths, estimators=few).collect()] == list(few)
+
+
+def test_scratch_folder_is_one_and_can_be_removed(spark):
+    from tabaudit import session
+
+    table = session.materialize(spark.range(5))
+    assert all(session.scratch_root(spark) in f for f in table.inputFiles())

@@ -104,8 +104,9 @@ def test_ids_without_a_key_are_fixed_by_a_write(spark):
 def test_ingest_and_load(random_people, spark, tmp_path):
     out = tables.ingest(random_people, str(tmp_path / "raw"), census.FEATURE_COLS, "income", "row_id")
     assert out["n_rows"] == 100 and out["n_features"] == 14
-    assert set(out["target_dist"]) == {" >50K.", "<=50K"} and sum(out["target_dist"].values()) == 100
-    assert len(out["written_files"]) == 4
+    sizes = {r["label"]: r["n"] for r in out["target_dist"].collect()}
+    assert set(sizes) == {" >50K.", "<=50K"} and sum(sizes.values()) == 100
+    assert len(out["written_files"]) == 6
     X, y = tables.load_data(spark, str(tmp_path / "raw"), str(tmp_path / "processed"))
     assert X.columns == ["row_id", *census.FEATURE_COLS] and y.columns == ["row_id", "income"]
     X.limit(3).write.parquet(str(tmp_path / "processed" / "features_processed.parquet"))

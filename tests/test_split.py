@@ -1,4 +1,5 @@
 import hashlib
+import math
 from collections import Counter
 
 import pytest
@@ -8,13 +9,38 @@ from pyspark.sql import functions as F
 from tabaudit.operators import split
 
 
+def class_order(label):
+    return (label is None, label if label is not None else 0)
+
+
+def class_quotas(sizes, test_size):
+    """Test rows per class: proportional, the total rounded up, largest remainders first."""
+    n = sum(sizes.values())
+    total = math.ceil(test_size * n)
+    quotas = {c: size * total // n for c, size in sizes.items()}
+    by_remainder = sorted(sizes, key=lambda c: (-(sizes[c] * total % n), class_order(c)))
+    for c in by_remainder[: total - sum(quotas.values())]:
+        quotas[c] += 1
+    return quotas
+
+
+def fold_sizes(train_sizes, k):
+    """Rows per class and fold: the training labels, sorted, are dealt out in turn."""
+    out, start = {}, 0
+    for c in sorted(train_sizes, key=class_order):
+        end = start + train_sizes[c]
+        out[c] = [len(range(start + (i - start) % k, end, k)) for i in range(k)]
+        start = end
+    return out
+
+
 def naive(rows, k, test_size=0.2, seed=42):
     """Sort every class by hash, take the quota, cut the rest into blocks."""
     classes = {}
     for key, label in rows:
         classes.setdefault(label, []).append(key)
-    quotas = split.class_quotas({c: len(keys) for c, keys in classes.items()}, test_size)
-    sizes = split.fold_sizes({c: len(keys) - quotas[c] for c, keys in classes.items()}, k)
+    quotas = class_quotas({c: len(keys) for c, keys in classes.items()}, test_size)
+    sizes = fold_sizes({c: len(keys) - quotas[c] for c, keys in classes.items()}, k)
     out = {}
     for label, keys in classes.items():
         ordered = sorted(keys, key=lambda key: hashlib.md5(f"{seed}|{key}".encode()).hexdigest())
@@ -87,7 +113,7 @@ def test_train_test(spark, rows):
 
 def test_published_test_size():
     """48,842 rows leave 9,769 for the test, 2,338 of them positive."""
-    quotas = split.class_quotas({"<=50K": 37155, ">50K": 11687}, 0.2)
+    quotas = class_quotas({"<=50K": 37155, ">50K": 11687}, 0.2)
     assert quotas == {"<=50K": 7431, ">50K": 2338}
 
 
@@ -97,14 +123,29 @@ def test_published_test_size():
     st.integers(2, 10),
 )
 def test_quotas_and_folds_add_up(sizes, k):
-    quotas = split.class_quotas(sizes, 0.2)
+    quotas = class_quotas(sizes, 0.2)
     n = sum(sizes.values())
     total = -(-n // 5)
     assert sum(quotas.values()) == total
     for c, size in sizes.items():
         assert 0 <= quotas[c] <= size
         assert abs(quotas[c] - size * total / n) < 1
-    folds = split.fold_sizes(sizes, k)
+    folds = fold_sizes(sizes, k)
     assert {c: sum(f) for c, f in folds.items()} == sizes
     per_fold = Counter({i: sum(f[i] for f in folds.values()) for i in range(k)})
     assert max(per_fold.values()) - min(per_fold.values()) <= 1
+
+
+def test_thousands_of_classes_and_text_keys(spark):
+    rows = [(f"k{i}", f"class {i % 3000}") for i in range(7000)]
+    df = spark.createDataFrame(rows, "id string, label string")
+    assert placed(split.stratified_folds(df, "label", "id", k=3)) == naive(rows, 3)
+
+
+def test_null_and_repeated_keys_raise(spark):
+    df = spark.createDataFrame([(i if i % 10 else None, i % 2) for i in range(100)], "id long, label int")
+    with pytest.raises(ValueError, match="have no id"):
+        split.stratified_split(df, "label", "id")
+    same = spark.createDataFrame([(1, 0)] * 50, "id long, label int")
+    with pytest.raises(Exception, match="repeats"):
+        split.stratified_split(same, "label", "id")

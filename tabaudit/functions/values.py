@@ -43,10 +43,6 @@ def binary_label(col: Column, dtype: T.DataType, positive: str = POSITIVE_LABEL)
     return col
 
 
-def round_to(col: Column, digits: int = 6) -> Column:
-    return F.round(col.cast("double"), digits)
-
-
 def row_digest(schema: T.StructType, columns: Sequence[str]) -> Column:
     """256-bit digest of a row over ``columns``; equal rows, nulls included, agree.
 

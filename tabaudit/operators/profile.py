@@ -18,6 +18,8 @@ QUARTILES = (0.25, 0.5, 0.75)
 LONG_TEXT = 64
 # Equally frequent values, beyond the wanted ones, whose texts may be fetched.
 TIE_LIMIT = 10_000
+# Characters that bound the search among more of them.
+_HEAD_CHARS = 16
 
 
 def inline_rows(df: DataFrame, entries: Sequence[Column]) -> DataFrame:
@@ -183,20 +185,17 @@ def top_values(
 
     Ties go to the smaller value, null last. Counts are combined map-side and each
     task keeps only ``k`` rows per column before the final ranking. A column of long
-    texts is counted by digest, and only the texts that may win are shuffled.
+    texts is counted by digest, and only the texts that may win are shuffled: those
+    that are frequent enough, and of very many equally frequent ones the first.
     """
     names = list(columns or string_columns(df))
     if not names:
         schema = "column string, value string, n long, rank int"
         return df.sparkSession.createDataFrame([], schema)
     sizes = df.agg(*[F.avg(F.length(quoted(c))).alias(f"l{i}") for i, c in enumerate(names)]).first()
-    wanted = {
-        c: _least_winning_count(df, c, k, tie_limit)
-        for i, c in enumerate(names)
-        if (sizes[f"l{i}"] or 0) > long_text
-    }
-    by_value = [c for c in names if wanted.get(c) is None]
-    counted = [_count_texts(df, c, n) for c, n in wanted.items() if n is not None]
+    long = [c for i, c in enumerate(names) if (sizes[f"l{i}"] or 0) > long_text]
+    by_value = [c for c in names if c not in long]
+    counted = [t for c in long for t in _frequent_texts(df, c, k, tie_limit)]
     if by_value:
         pairs = F.array(
             *[F.struct(F.lit(c).alias("column"), quoted(c).alias("value")) for c in by_value]
@@ -214,24 +213,44 @@ def _digest_counts(df: DataFrame, name: str) -> DataFrame:
     return df.select(digest).groupBy("d").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _least_winning_count(df: DataFrame, name: str, k: int, tie_limit: int) -> int | None:
-    """How often a value must occur to be among the first ``k``.
-
-    None if so many values occur equally often that they cannot be told apart by
-    their counts; they are then compared as texts.
-    """
+def _frequent_texts(df: DataFrame, name: str, k: int, tie_limit: int) -> list[DataFrame]:
+    """Tables of the values that may be among the first ``k``."""
     sizes = _digest_counts(df, name).groupBy("n").agg(F.count(F.lit(1)).alias("values"))
-    taken = 0
+    taken, least = 0, 1
     # Each size holds at least one value, so the k largest sizes are enough.
     for row in sizes.orderBy(F.desc("n")).limit(k).collect():
+        above, least = taken, row["n"]
         taken += row["values"]
-        least = row["n"]
         if taken >= k:
             break
-    else:
-        # Fewer than k values in all.
-        return 1
-    return least if taken <= k + tie_limit else None
+    if taken <= k + tie_limit:
+        return [_count_texts(df, name, least)]
+    return [_count_texts(df, name, least + 1), _first_tied(df, name, least, k - above)]
+
+
+def _first_tied(df: DataFrame, name: str, n: int, wanted: int) -> DataFrame:
+    """(column, value, n) of values that occur ``n`` times, the first ``wanted`` in order among them.
+
+    The beginnings of the first ones bound what has to be looked at; whole texts
+    decide. Nulls come last and are not among them, as many more values are tied.
+    """
+    text, head = quoted(name), F.left(quoted(name), F.lit(_HEAD_CHARS))
+    digest = row_digest(df.schema, [name])
+    tied = (
+        df.filter(text.isNotNull())
+        .groupBy(digest.alias("d"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min(head).alias("head"))
+        .filter(F.col("n") == n)
+    )
+    last = tied.select("head").orderBy("head").limit(wanted).agg(F.max("head")).first()[0]
+    # Rows with one text have one beginning, so they are counted completely.
+    return (
+        df.filter(head <= F.lit(last))
+        .groupBy(digest.alias("d"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min(text).alias("value"))
+        .filter(F.col("n") == n)
+        .select(F.lit(name).alias("column"), "value", "n")
+    )
 
 
 def _count_texts(df: DataFrame, name: str, least: int) -> DataFrame:

@@ -3,9 +3,9 @@
 Up to a checked row count, equal values of a column are counted and the counts
 are summed up in value order. Beyond it, quantiles of a sample bracket each
 wanted rank, one counting pass checks that the rank lies inside its bracket, and
-brackets are narrowed until few values are left; only those are shuffled. Every
-narrowing pass is a column-pruned scan with aggregation buffers of fixed size, so
-the data itself never moves.
+brackets are narrowed until few values are left; only those are shuffled. The first
+narrowing is a column-pruned scan with aggregation buffers of fixed size; further
+ones read only the values inside the brackets, which are written once per round.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tabaudit.functions.values import present
 from tabaudit.operators.cleaning import quoted, running
+from tabaudit.session import materialize
 
 # Rows of a column up to which all of its values may be sorted by one task.
 DIRECT_LIMIT = 1_000_000
@@ -103,6 +104,19 @@ def _inside(df: DataFrame, bounds: tuple[str, float, float]) -> Column:
     return F.when((v >= low) & (v <= high), v)
 
 
+def _values_inside(df: DataFrame, brackets: list[_Bracket]) -> DataFrame:
+    """Per column the values inside its brackets, else null; rows without any are left out."""
+    ranges: dict[str, list[tuple]] = {}
+    for b in brackets:
+        ranges.setdefault(b.column, []).append(b.range)
+    kept = [
+        F.coalesce(*[_inside(df, r) for r in dict.fromkeys(own)]).alias(name)
+        for name, own in ranges.items()
+    ]
+    inside = df.select(*kept)
+    return materialize(inside.dropna("all"), "bracket_values")
+
+
 def _narrow(
     df: DataFrame, brackets: list[_Bracket], limit: int, sample_rows: int
 ) -> list[_Bracket]:
@@ -118,14 +132,14 @@ def _narrow(
                 agg
                 for i, t in enumerate(tried)
                 for agg in (
-                    F.count_if(value_column(df, t.column) < t.low).alias(f"b{i}"),
+                    F.count_if(_inside(df, wide[i].range) < t.low).alias(f"b{i}"),
                     F.count(_inside(df, t.range)).alias(f"n{i}"),
                 )
             ]
         ).first()
         still, missed = [], False
         for i, (old, new) in enumerate(zip(wide, tried)):
-            new = replace(new, below=counts[f"b{i}"], inside=counts[f"n{i}"])
+            new = replace(new, below=old.below + counts[f"b{i}"], inside=counts[f"n{i}"])
             if not new.covers():
                 # The sample missed the rank: keep the old bracket, look wider next time.
                 still.append(old)
@@ -137,6 +151,9 @@ def _narrow(
                 done.append(new)
         slack = slack * 4 if missed else slack
         wide = still
+        if wide:
+            # Further rounds read only the values that can still matter.
+            df = _values_inside(df, wide)
     return done
 
 

@@ -223,6 +223,14 @@ def exact_quantiles(spark, sf_dir):
     )
 
 
+@query
+def top_values_tied_texts(spark, sf_dir):
+    """Texts of which nearly all occur once: only the first of them are looked at whole."""
+    documents = views.table(spark, sf_dir, "documents")
+    top = profile.top_values(documents, 5, ["text"], tie_limit=0)
+    return top.select(F.md5(F.col("value").cast("binary")).alias("digest"), "n", "rank")
+
+
 @query
 def categorical_top10(spark, sf_dir):
     customers = views.dirty_customers(spark, sf_dir)

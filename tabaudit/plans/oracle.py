@@ -594,6 +594,10 @@ runs AS (SELECT lim, {F1_MACRO} AS f1, {ACCURACY} AS acc
          FROM (SELECT lim, {CELLS} FROM ruled GROUP BY lim) AS c)
 SELECT 'price-rule' AS experiment, lim AS "limit", {rnd('f1')} AS f1_test, {rnd('acc')} AS accuracy
 FROM runs ORDER BY f1 DESC LIMIT 1"""
+    sql["top_values_tied_texts"] = """
+SELECT md5(text) AS digest, n, CAST(row_number() OVER (ORDER BY n DESC, encode(text)) AS INTEGER) AS rank
+FROM (SELECT text, count(*) AS n FROM documents GROUP BY text)
+ORDER BY rank LIMIT 5"""
     odd = f"""
 SELECT row_id, CASE WHEN row_id % 13 = 0 THEN NULL WHEN row_id % 29 = 0 THEN 2 ELSE y_true END AS y_true,
        CASE WHEN row_id % 7 = 0 THEN NULL WHEN row_id % 31 = 0 THEN -1 ELSE y_pred END AS y_pred

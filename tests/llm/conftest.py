@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-SF_DIR = "/root/testdata/sf0.001"
+from brute import SF_DIR
 
 
 @pytest.fixture(scope="session")

@@ -11,8 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[2] / "tools"))
 
 import check_queries  # noqa: E402
 import corpus_pipeline  # noqa: E402
-from brute import near_classes, spread_cleaned, words  # noqa: E402
-from conftest import SF_DIR  # noqa: E402
+from brute import SF_DIR, near_classes, spread_cleaned, words  # noqa: E402
 from tabaudit.llm import oracle, queries  # noqa: E402
 
 TEN = {f"op{n}_" for n in range(1, 11)}

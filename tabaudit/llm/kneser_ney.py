@@ -25,68 +25,83 @@ Extra columns are not read.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabaudit.llm import frames
-from tabaudit.llm.text import slices
+from tabaudit.llm.text import CHARACTER_SLICE_BYTES, slices
 from tabaudit.session import materialize
 
 ORDER = 4
 START = "\x02"
-BLOCK_BYTES = 1 << 24
+BLOCK_BYTES = 1 << 23
 HELD_OUT_BELOW = "4"
-QUANTILE = 0.995
+QUANTILE = 0.98
 # Added to the quantile, in nats per character.
 MARGIN = 0.5
 LOSS_BIN = 0.001
 
-# Points fit into so many bits if a slice has few enough distinct ones.
+# A character's code within a slice has so many bits.
 _BITS = 64 // ORDER
 
 
-def _coded(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Packed n-grams that end at each character, where each text's start, and the alphabet."""
-    pad = START * (ORDER - 1)
-    joined = "".join(pad + t for t in texts)
-    points, codes = np.unique(
-        np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32), return_inverse=True
-    )
-    assert len(points) <= 1 << _BITS
-    codes = codes.astype(np.uint64)
+def _grams(texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """The n-gram that ends at each character: codes, the n-grams they stand for, and starts."""
     sizes = np.array([len(t) for t in texts], np.int64)
     starts = np.concatenate([[0], np.cumsum(sizes)])
-    packed = np.zeros(max(0, len(codes) - ORDER + 1), np.uint64)
+    if not starts[-1]:
+        return np.zeros(0, np.int64), [], starts
+    pad = START * (ORDER - 1)
+    joined = "".join(pad + t for t in texts)
+    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+    present = np.zeros(0x110000, bool)
+    present[points] = True
+    alphabet = np.flatnonzero(present)
+    if len(alphabet) > 1 << _BITS:
+        raise ValueError(f"more than {1 << _BITS} different characters in one slice of text")
+    code_of = np.zeros(0x110000, np.uint32)
+    code_of[alphabet] = np.arange(len(alphabet))
+    codes = code_of[points].astype(np.uint64)
+    packed = np.zeros(len(codes) - ORDER + 1, np.uint64)
     for k in range(ORDER):
         packed = (packed << np.uint64(_BITS)) | codes[k : len(codes) - ORDER + 1 + k]
-    # The n-gram that ends at character j of text i starts (ORDER - 1) * i + starts[i] + j.
+    # Each text has its own marks before it, so those n-grams that end in a mark are skipped.
     text_of = np.repeat(np.arange(len(texts)), sizes)
-    return packed[np.arange(starts[-1]) + (ORDER - 1) * text_of], starts, points
-
-
-def _spelled(packed: np.ndarray, points: np.ndarray) -> pa.Array:
-    """The n-grams as strings."""
+    found, distinct = pd.factorize(packed[np.arange(starts[-1]) + (ORDER - 1) * text_of])
     mask = np.uint64((1 << _BITS) - 1)
     shifts = np.arange(ORDER - 1, -1, -1, dtype=np.uint64) * np.uint64(_BITS)
-    letters = points[((packed[:, None] >> shifts) & mask).astype(np.int64)]
+    letters = alphabet[((distinct[:, None] >> shifts) & mask).astype(np.int64)]
     flat = letters.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
-    return pa.array([flat[i : i + ORDER] for i in range(0, len(flat), ORDER)], pa.string())
+    return found, [flat[i : i + ORDER] for i in range(0, len(flat), ORDER)], starts
+
+
+def _texts(part: pa.RecordBatch) -> list[str]:
+    return [t or "" for t in part.column("text").to_pylist()]
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the n-grams of about ``BLOCK_BYTES`` of text at a time."""
+    counts, size = Counter(), 0
     for batch in batches:
-        for part in slices(batch):
-            texts = [t for t in part.column("text").to_pylist() if t]
-            if texts:
-                packed, _, points = _coded(texts)
-                found, n = np.unique(packed, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [_spelled(found, points), pa.array(n)], names=["gram", "n"]
-                )
+        for part in slices(batch, size=CHARACTER_SLICE_BYTES):
+            found, grams, _ = _grams(_texts(part))
+            counts.update(dict(zip(grams, np.bincount(found, minlength=len(grams)).tolist())))
+            size += part.nbytes
+            if size >= BLOCK_BYTES:
+                yield _counted(counts)
+                counts, size = Counter(), 0
+    yield _counted(counts)
+
+
+def _counted(counts: Counter) -> pa.RecordBatch:
+    columns = [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, names=["gram", "n"])
 
 
 def _written(table: pa.Table, compression: str | None = None) -> pa.Buffer:
@@ -119,13 +134,17 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]
 def _questions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The distinct n-grams of each block."""
     for name, table in _blocks(batches):
-        texts = [t for t in table.column("text").to_pylist() if t]
-        if texts:
-            packed, _, points = _coded(texts)
-            grams = _spelled(np.unique(packed), points)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(grams), name)), grams], names=["block", "gram"]
-            )
+        asked: set[str] = set()
+        for part in _pieces(table):
+            asked.update(_grams(_texts(part))[1])
+        if asked:
+            columns = [pa.array([name] * len(asked), pa.int64()), pa.array(list(asked), pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "gram"])
+
+
+def _pieces(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    for batch in table.to_batches():
+        yield from slices(batch, size=CHARACTER_SLICE_BYTES)
 
 
 def _parcels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,44 +158,25 @@ def _parcels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 _LOSS_SCHEMA = "doc_id long, lang string, n_chars long, loss double"
+_LOSSES = pa.schema(
+    [("doc_id", pa.int64()), ("lang", pa.string()), ("n_chars", pa.int64()), ("loss", pa.float64())]
+)
 
 
 def _losses(parcels: pa.Table, answers: pa.Table) -> pa.Table:
-    """Negative log probabilities of a block's documents, from its n-grams' ones."""
+    """Negative log probabilities of a block's documents, from those of its n-grams."""
+    loss_of = dict(zip(answers.column("gram").to_pylist(), answers.column("loss").to_pylist()))
     out = []
-    grams = answers.column("gram").to_pylist()
-    values = answers.column("loss").to_numpy()
     for parcel in parcels.column("rows").to_pylist():
-        table = pa.ipc.open_stream(parcel).read_all()
-        texts = [t or "" for t in table.column("text").to_pylist()]
-        loss, sizes = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
-        if any(texts):
-            packed, starts, points = _coded(texts)
-            code = {chr(p): k for k, p in enumerate(points)}
-            keys = np.zeros(len(grams), np.uint64)
-            for i, gram in enumerate(grams):
-                key = 0
-                for letter in gram:
-                    key = key << _BITS | code[letter]
-                keys[i] = key
-            order = np.argsort(keys)
-            at = np.searchsorted(keys[order], packed)
-            assert (keys[order][at] == packed).all(), "answers belong to another block"
-            sums = np.concatenate([[0.0], np.cumsum(values[order][at])])
-            loss, sizes = sums[starts[1:]] - sums[starts[:-1]], np.diff(starts)
-        out.append(
-            pa.table(
-                {
-                    "doc_id": table.column("doc_id"),
-                    "lang": table.column("lang"),
-                    "n_chars": sizes,
-                    "loss": loss,
-                }
-            )
-        )
-    return pa.concat_tables(out) if out else pa.schema(
-        [("doc_id", pa.int64()), ("lang", pa.string()), ("n_chars", pa.int64()), ("loss", pa.float64())]
-    ).empty_table()
+        for part in _pieces(pa.ipc.open_stream(parcel).read_all()):
+            found, grams, starts = _grams(_texts(part))
+            # A missing answer is an error: the block's rows have changed between two passes.
+            values = np.array([loss_of[g] for g in grams])
+            sums = np.concatenate([[0.0], np.cumsum(values[found])]) if len(found) else np.zeros(1)
+            columns = [part.column("doc_id"), part.column("lang"), np.diff(starts)]
+            loss = sums[starts[1:]] - sums[starts[:-1]]
+            out.append(pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(loss)], schema=_LOSSES))
+    return pa.Table.from_batches(out, _LOSSES)
 
 
 def _tail(gram: Column, length: int) -> Column:

@@ -16,19 +16,23 @@ import pyarrow.compute as pc
 import xxhash
 
 # Texts are worked on in slices of about so many bytes; a longer text is a slice of its own.
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 21
+# Work on single characters needs many bytes for each, so slices are smaller there.
+CHARACTER_SLICE_BYTES = 1 << 19
 
 SHINGLE_WORDS = 5
 
 _U64 = np.uint64
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Consecutive slices of ``batch``, each holding about ``SLICE_BYTES`` of text."""
+def slices(
+    batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Consecutive slices of ``batch``, each holding about ``size`` bytes of text."""
     if not batch.num_rows:
         return
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(sizes, dtype=np.int64) // SLICE_BYTES
+    part = np.cumsum(sizes, dtype=np.int64) // size
     cuts = np.flatnonzero(np.diff(part)) + 1
     for start, stop in zip([0, *cuts], [*cuts, batch.num_rows]):
         yield batch.slice(start, stop - start)

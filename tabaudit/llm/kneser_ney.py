@@ -47,10 +47,6 @@ QUANTILE = 0.98
 MARGIN = 0.5
 LOSS_BIN = 0.001
 
-# A character's code within a slice has so many bits.
-_BITS = 64 // ORDER
-
-
 def _grams(texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
     """The n-gram that ends at each character: codes, the n-grams they stand for, and starts."""
     sizes = np.array([len(t) for t in texts], np.int64)
@@ -63,20 +59,21 @@ def _grams(texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
     present = np.zeros(0x110000, bool)
     present[points] = True
     alphabet = np.flatnonzero(present)
-    if len(alphabet) > 1 << _BITS:
-        raise ValueError(f"more than {1 << _BITS} different characters in one slice of text")
-    code_of = np.zeros(0x110000, np.uint32)
+    code_of = np.zeros(0x110000, np.int64)
     code_of[alphabet] = np.arange(len(alphabet))
-    codes = code_of[points].astype(np.uint64)
-    packed = np.zeros(len(codes) - ORDER + 1, np.uint64)
-    for k in range(ORDER):
-        packed = (packed << np.uint64(_BITS)) | codes[k : len(codes) - ORDER + 1 + k]
+    codes = code_of[points]
+    width = len(codes) - ORDER + 1
+    keys = codes[:width]
+    for k in range(1, ORDER):
+        keys = keys * len(alphabet) + codes[k : width + k]
+        if len(alphabet) ** ORDER > 1 << 62:  # very many characters: keep the numbers small
+            keys = pd.factorize(keys)[0]
     # Each text has its own marks before it, so those n-grams that end in a mark are skipped.
-    text_of = np.repeat(np.arange(len(texts)), sizes)
-    found, distinct = pd.factorize(packed[np.arange(starts[-1]) + (ORDER - 1) * text_of])
-    mask = np.uint64((1 << _BITS) - 1)
-    shifts = np.arange(ORDER - 1, -1, -1, dtype=np.uint64) * np.uint64(_BITS)
-    letters = alphabet[((distinct[:, None] >> shifts) & mask).astype(np.int64)]
+    at = np.arange(starts[-1]) + (ORDER - 1) * np.repeat(np.arange(len(texts)), sizes)
+    found, distinct = pd.factorize(keys[at])
+    first = np.zeros(len(distinct), np.int64)
+    first[found[::-1]] = at[::-1]
+    letters = points[first[:, None] + np.arange(ORDER)]
     flat = letters.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
     return found, [flat[i : i + ORDER] for i in range(0, len(flat), ORDER)], starts
 

@@ -151,6 +151,16 @@ def test_perplexity_matches_plain_model(spark, judged_docs, monkeypatch):
         assert abs(sum(model.chance(context + x) for x in letters) - 1) < 1e-9
 
 
+def test_grams_of_any_alphabet():
+    everything = "".join(chr(c) for c in range(0x20, 0x20000) if not 0xD800 <= c < 0xE000)
+    for texts in (["abab", "", "😀é", "a"], [everything, "abc" + everything[-50:]]):
+        found, grams, starts = kneser_ney._grams(texts)
+        padded = [kneser_ney.START * 3 + t for t in texts]
+        want = [p[i : i + 4] for p, t in zip(padded, texts) for i in range(len(t))]
+        assert [grams[f] for f in found] == want and len(set(grams)) == len(grams)
+        assert np.diff(starts).tolist() == [len(t) for t in texts]
+
+
 def test_judgement(spark, judged_docs):
     trusted = judged_docs.filter("doc_id < 5000").select("doc_id")
     out = {r.doc_id: r for r in kneser_ney.judge(judged_docs, trusted).collect()}

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabaudit.llm import frames
-from tabaudit.llm.text import mixed, odd_multipliers, slices
+from tabaudit.llm.text import CHARACTER_SLICE_BYTES, mixed, odd_multipliers, slices
 
 LONGEST = 3
 FEATURE_BITS = 16
@@ -97,7 +97,7 @@ class LanguageModel:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for part in slices(batch):
+                for part in slices(batch, size=CHARACTER_SLICE_BYTES):
                     names, scores = self._best(part.column("text"))
                     columns = [part.column("doc_id"), pa.array(names, pa.string()), pa.array(scores)]
                     yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang_pred", "score"])
@@ -126,7 +126,7 @@ def _document_frequencies(docs: DataFrame, bits: int) -> tuple[np.ndarray, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, n = np.zeros((1 << bits) + 1, np.int64), 0
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, size=CHARACTER_SLICE_BYTES):
                 grams = list(hashed_grams(part.column("text"), bits))
                 for i in range(part.num_rows):
                     seen = np.zeros(1 << bits, bool)
@@ -158,7 +158,7 @@ def _vectors(sample: DataFrame, bits: int) -> list[tuple[str, bool, np.ndarray,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, size=CHARACTER_SLICE_BYTES):
                 grams = list(hashed_grams(part.column("text"), bits))
                 features, shares = [], []
                 for i in range(part.num_rows):

@@ -51,7 +51,7 @@ def test_without_trusted_or_documents(spark, edge_docs):
 def test_score_separates_junk(spark, make_docs):
     junk = " ".join(f"QQ{i}!!" for i in range(300))
     docs = make_docs([(i, GOOD + f" tail{i}") for i in range(80)] + [(500, junk)])
-    trusted = docs.filter("doc_id < 40").select("doc_id")
+    trusted = docs.filter("doc_id < 80").select("doc_id")
     rules, scores = quality_rules.fit(docs, trusted)
     out = {r.doc_id: r.kept for r in rules.verdicts(scores).collect()}
     assert not out[500] and all(out[i] for i in range(80))

@@ -28,6 +28,7 @@ from tabaudit.llm import (
     settings,
     url_rules,
 )
+from tabaudit.session import materialize
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,17 +99,16 @@ def op9_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    text = frames.field("text")
+    text = F.col("text")
+    measured = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", "lang", mixing.topic_of(text).alias("topic"), mixing.n_tokens(text).alias("n")
+    )
+    # The texts are read once; raking and sampling need only what was measured.
     mixed = mixing.decisions(
-        docs,
+        materialize(measured, "measured"),
         settings.MIX_TARGETS,
-        values={
-            "source": frames.field("source"),
-            "lang": frames.field("lang"),
-            "topic": mixing.topic_of(text),
-        },
-        tokens=mixing.n_tokens(text),
+        values={d: frames.field(d) for d in settings.MIX_TARGETS},
+        tokens=frames.field("n"),
         id_=frames.field("doc_id"),
     )
     return mixed.select(

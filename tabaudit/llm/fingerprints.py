@@ -33,8 +33,9 @@ from pyspark.sql import DataFrame, functions as F
 from tabaudit.llm import jaccard_join, text as words_of
 
 N_HASHES = 128
-# Rows of one range of ids.
-RANGE_ROWS = 8_000
+# Rows of one range of ids, and ranges dealt to one task.
+RANGE_ROWS = 2_000
+RANGES_PER_TASK = 4
 # Ranges at most; they grow beyond RANGE_ROWS then, and are streamed all the same.
 MAX_RANGES = 10_000
 
@@ -172,7 +173,7 @@ def edited(
     everything = placed.withColumn("extra", F.lit(False)).unionByName(
         firsts.withColumn("extra", F.lit(True))
     )
-    dealt = everything.repartition(len(heads), "range").sortWithinPartitions(
+    dealt = everything.repartition(math.ceil(len(heads) / RANGES_PER_TASK), "range").sortWithinPartitions(
         "range", "extra", "place", F.coalesce("text", F.lit(""))
     )
     return dealt.select("doc_id", "text", "extra").mapInArrow(

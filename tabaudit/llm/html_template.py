@@ -52,9 +52,9 @@ _DROPPED_ROLES = {
 }
 # Words in class or id that tell what is not main text.
 _DROPPED_WORDS = set(
-    "ad ads adv advert adverts advertisement advertising banner banners breadcrumb breadcrumbs "
+    "ad ads adsbygoogle adslot adv alert alerts advert adverts advertisement advertising banner banners breadcrumb breadcrumbs "
     "comment comments commentlist cookie cookies consent disqus footer header masthead menu modal "
-    "nav navbar navigation newsletter notice notices notification popup promo promoted pagination "
+    "nav navbar navigation newsletter sidenav submenu topbar gdpr notice notices notification popup promo promoted pagination "
     "related replies reply respond share sharing sidebar signup skip social sponsor sponsored "
     "subscribe toolbar widget widgets".split()
 )

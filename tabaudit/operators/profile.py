@@ -6,6 +6,8 @@ from collections.abc import Sequence
 from functools import reduce
 from itertools import combinations_with_replacement
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from tabaudit.functions.values import present, row_digest
@@ -267,9 +269,11 @@ def _count_texts(df: DataFrame, name: str, least: int) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(col_a, col_b, r): Pearson r of every ordered pair, all in one aggregation.
+    """(col_a, col_b, r): Pearson r of every ordered pair.
 
     Only rows where both values are present count. A constant column has no r.
+    Columns without missing values are standardised and multiplied as vectors, so
+    the plan does not grow with their number; other pairs take an aggregate each.
     """
     names = list(columns or numeric_columns(df))
     if not names:
@@ -277,9 +281,14 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     values = [value_column(df, c) for c in names]
     # Without nulls a column has one deviation, not one per partner.
     row = df.agg(
-        F.count(F.lit(1)).alias("n"), *[F.count(v).alias(f"n{i}") for i, v in enumerate(values)]
+        F.count(F.lit(1)).alias("n"),
+        *[F.count(v).alias(f"n{i}") for i, v in enumerate(values)],
+        *[F.avg(v).alias(f"m{i}") for i, v in enumerate(values)],
+        *[F.stddev_pop(v).alias(f"s{i}") for i, v in enumerate(values)],
     ).first()
     full = [row[f"n{i}"] == row["n"] for i in range(len(names))]
+    if all(full) and row["n"] > 1:
+        return _vector_correlation(df, names, values, row)
 
     def deviation(own: int, partner: int) -> Column:
         v = values[own]
@@ -304,6 +313,28 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     )
 
 
+def _vector_correlation(
+    df: DataFrame, names: list[str], values: list[Column], row: Row
+) -> DataFrame:
+    """Correlation of complete columns; ``row`` has their means and deviations."""
+    varied = [i for i in range(len(names)) if row[f"s{i}"] > 0]
+    found: dict[tuple[int, int], float] = {}
+    if varied:
+        standard = [((values[i] - row[f"m{i}"]) / row[f"s{i}"]).alias(f"v{i}") for i in varied]
+        vectors = VectorAssembler(inputCols=[f"v{i}" for i in varied], outputCol="v").transform(
+            df.select(*standard)
+        )
+        # One number per pair of columns.
+        matrix = Correlation.corr(vectors, "v").first()[0].toArray()
+        found = {
+            (i, j): float(matrix[a, b]) for a, i in enumerate(varied) for b, j in enumerate(varied)
+        }
+    rows = [
+        (a, b, found.get((i, j))) for i, a in enumerate(names) for j, b in enumerate(names)
+    ]
+    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double")
+
+
 def class_distribution(df: DataFrame, column: str) -> DataFrame:
     """(label, n, pct): rows per class and share of all rows in percent."""
     counted = df.groupBy(quoted(column).alias("label")).agg(F.count(F.lit(1)).alias("n"))

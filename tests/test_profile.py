@@ -133,3 +133,15 @@ def test_hot_value_is_combined_before_the_shuffle(spark):
     plan = profile.top_values(df)._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan
     assert profile.top_values(df).first()["n"] == 1000
+
+
+def test_correlation_of_complete_columns(spark):
+    rows = [(float(i), 1e-9 * (i * 7 % 11), 5.0, float(-i)) for i in range(50)]
+    df = spark.createDataFrame(rows, "a double, small double, same double, down double")
+    r = {(x["col_a"], x["col_b"]): x["r"] for x in profile.correlation_matrix(df).collect()}
+    a, small = [x[0] for x in rows], [x[1] for x in rows]
+    assert r["a", "small"] == pytest.approx(statistics.correlation(a, small))
+    assert r["a", "down"] == pytest.approx(-1) and r["small", "small"] == pytest.approx(1)
+    assert r["same", "a"] is None and r["same", "same"] is None
+    one = profile.correlation_matrix(df.limit(1)).collect()
+    assert len(one) == 16 and all(x["r"] is None for x in one)

@@ -7,9 +7,14 @@ from pyspark.sql import DataFrame, functions as F
 from tabaudit.session import materialize
 
 
+def _apart(table: DataFrame) -> DataFrame:
+    """``table`` in a shuffle of its own, so that a join with it can split nodes with many edges."""
+    return table.hint("rebalance")
+
+
 def _small_star(edges: DataFrame) -> DataFrame:
     """Hang each node and its smaller neighbours under the smallest of them."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = _apart(edges.groupBy("a").agg(F.min("b").alias("m")))
     moved = edges.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("a", "m")).distinct()
 
@@ -18,6 +23,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Hang the larger neighbours of each node under its smallest neighbour, or under itself."""
     both = edges.union(edges.select("b", "a"))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = _apart(least)
     return (
         both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     ).distinct()

@@ -3,7 +3,9 @@
 Each page is parsed once. Every block-level element becomes a hash of its subtree
 (names of elements and their text, without attributes). A subtree found on at least
 ``MIN_PAGES`` pages of a host and on ``MIN_SHARE`` of them is part of its template, and
-the text inside it is deleted from all the host's pages. What cannot recur, as on a host
+the text inside it is deleted from all the host's pages. Pages of a host with the same
+text are copies and count as one. The page as a whole (``html``, ``body``) and elements
+around main content are never template. What cannot recur, as on a host
 with few pages, is told by names: elements for navigation, forms, scripts and the like,
 and elements whose class, id or role says so, are left out while parsing. If a page marks
 its main content (``article``, ``main``), only that is kept, and its paragraphs,
@@ -16,7 +18,7 @@ are combined before the shuffle, and lists are broadcast or joined.
 
 Defined results: null or empty html has the empty text; a null url, or one without
 ``://``, belongs to the host with the empty name. Elements left open end with the
-element around them or with the page. Repeated rows count as pages of their own and
+element around them or with the page. Repeated rows count as one page and
 get equal results. Extra columns are not read.
 """
 
@@ -59,6 +61,7 @@ _DROPPED_WORDS = set(
     "subscribe toolbar widget widgets".split()
 )
 _MAIN_TAGS = {"article", "main"}
+_WHOLE_PAGE = {"html", "body"}
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCKS = set(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset "
@@ -102,13 +105,18 @@ def _is_dropped(tag: str, attributes: str) -> bool:
     return False
 
 
+def _digest(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
 def parse(page: str) -> tuple[list[int], list[tuple[str, list[int]]]]:
     """Hashes of the page's block elements, and its blocks with the subtrees that can take them along.
 
     Blocks of left out elements, and those outside main content if any is marked, are missing.
     """
     pieces: list[str] = []  # names and texts in order, for the hashes
-    elements: list[list] = []  # first and last piece, whether it can be template
+    elements: list[list] = []  # first and last piece
+    around_main: set[int] = set()  # elements that are no template, whatever recurs
     stack: list[tuple[str, int, bool, bool]] = []  # name, element or -1, dropped, in main content
     blocks: list[tuple[str, bool, list[int]]] = []
     buffer: list[str] = []
@@ -177,9 +185,11 @@ def parse(page: str) -> tuple[list[int], list[tuple[str, list[int]]]]:
             continue
         dropped = bool(stack and stack[-1][2]) or _is_dropped(tag, attributes)
         main = bool(stack and stack[-1][3]) or (tag in _MAIN_TAGS and not dropped)
-        any_main = any_main or main
+        if main and tag in _MAIN_TAGS:
+            any_main = True
+            around_main.update(s[1] for s in stack)
         element = -1
-        if tag in _BLOCKS and not (main and tag in _FLOW):
+        if tag in _BLOCKS and tag not in _WHOLE_PAGE and not (main and tag in _FLOW):
             element = len(elements)
             elements.append([len(pieces), -1])
         pieces.append(tag)
@@ -187,15 +197,23 @@ def parse(page: str) -> tuple[list[int], list[tuple[str, list[int]]]]:
     add(page[at:])
     flush()
     close(0)
-    hashes = [
-        xxhash.xxh3_64_intdigest(" ".join(" ".join(pieces[a:b]).split()).encode()) - (1 << 63)
-        for a, b in elements
+    hashes = {
+        e: _digest(" ".join(" ".join(pieces[a:b]).split()))
+        for e, (a, b) in enumerate(elements)
+        if e not in around_main
+    }
+    kept = [
+        (t, sorted({hashes[e] for e in path if e in hashes}))
+        for t, main, path in blocks
+        if main or not any_main
     ]
-    kept = [(t, sorted({hashes[e] for e in path})) for t, main, path in blocks if main or not any_main]
-    return sorted(set(hashes)), kept
+    return sorted(set(hashes.values())), kept
 
 
-_PARSED = "page_id long, url string, host string, subtrees array<long>, blocks array<struct<text: string, path: array<long>>>"
+_PARSED = (
+    "page_id long, url string, host string, content long, subtrees array<long>, "
+    "blocks array<struct<text: string, path: array<long>>>"
+)
 
 
 def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,21 +222,27 @@ def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         for part in slices(batch, "html"):
             parsed = [parse(page or "") for page in part.column("html").to_pylist()]
+            content = pa.array([_digest("\n".join(t for t, _ in p[1])) for p in parsed], pa.int64())
             subtrees = pa.array([p[0] for p in parsed], longs)
             blocks = pa.array([[{"text": t, "path": h} for t, h in p[1]] for p in parsed], block)
             columns = [part.column(c) for c in ("page_id", "url", "host")]
             yield pa.RecordBatch.from_arrays(
-                [*columns, subtrees, blocks], names=["page_id", "url", "host", "subtrees", "blocks"]
+                [*columns, content, subtrees, blocks],
+                names=["page_id", "url", "host", "content", "subtrees", "blocks"],
             )
 
 
 def template_subtrees(
     parsed: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE
 ) -> DataFrame:
-    """``host`` and ``subtree`` of the subtrees that recur across a host's pages."""
-    pages = parsed.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    """``host`` and ``subtree`` of the subtrees that recur across a host's distinct pages."""
+    # Copies may differ in what is left out of the text; one of them stands for all.
+    distinct = materialize(
+        parsed.groupBy("host", "content").agg(F.min("subtrees").alias("subtrees")), "distinct-pages"
+    )
+    pages = distinct.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     counted = (
-        parsed.select("host", F.explode("subtrees").alias("subtree"))
+        distinct.select("host", F.explode("subtrees").alias("subtree"))
         .groupBy("host", "subtree")
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") >= min_pages)

@@ -62,6 +62,27 @@ def test_marked_content_survives_recurrence(spark):
     assert texts[7] == "The same quotation.\n\nStory 7"
 
 
+@pytest.mark.parametrize("page", [
+    "<html><body><div class=text><h2>Only story</h2><p>All of it.</p></div></body></html>",
+    "<html><body><section><article><h2>Only story</h2><p>All of it.</p></article></section></body></html>",
+])
+def test_copies_of_a_page_keep_their_text(spark, page):
+    rows = [(i % 10, f"http{'s' * (i % 2)}://copies.net/a?utm={i}", page) for i in range(30)]
+    # Copies differ in what is left out; other pages share a notice with each other.
+    rows += [(30 + i, "http://copies.net/b", page.replace("<body>", f"<body><nav>{i}</nav>")) for i in range(10)]
+    rows += [(100 + i, f"http://copies.net/{i}", f"<div><p>Story {i}</p></div><div><p>Note.</p></div>") for i in range(20)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = html_template.main_text(pages).collect()
+    assert {r.text for r in out if r.page_id < 100} == {"Only story\n\nAll of it."}
+    assert {r.text for r in out if r.page_id >= 100} == {f"Story {i}" for i in range(20)}
+
+
+def test_elements_around_marked_content_are_no_template():
+    inner = "<div><section><article><p>x</p></article></section></div>"
+    subtrees, blocks = html_template.parse(f"<html><body>{inner}</body></html>")
+    assert subtrees == [] and blocks == [("x", [])]
+
+
 def plain_verdict(url, rules, default="allow"):
     rest = url.split("://", 1)[1] if url and "://" in url else ""
     cut = min([rest.find(c) for c in "/?#" if c in rest] or [len(rest)])

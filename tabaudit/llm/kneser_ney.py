@@ -14,7 +14,7 @@ share of the model.
 
 A document is kept if its perplexity is not above that of its language's threshold: a
 high quantile of the log-perplexities of trusted documents that were held out of the
-model, plus a margin. Languages without such documents use the quantile of all.
+model, to the upper edge of its bin of ``LOSS_BIN``. Languages without such documents use the quantile of all.
 
 Defined results: a null or empty text has no perplexity and is not kept; without trusted
 documents, or without any held out, every text that has a perplexity is kept. A null
@@ -43,8 +43,6 @@ START = "\x02"
 BLOCK_BYTES = 1 << 23
 HELD_OUT_BELOW = "4"
 QUANTILE = 0.98
-# Added to the quantile, in nats per character.
-MARGIN = 0.5
 LOSS_BIN = 0.001
 
 def _grams(texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
@@ -278,7 +276,7 @@ def judge(
     held = ids.filter(frames.held_out(F.col("id"), HELD_OUT_BELOW))
     probe = materialize(frames.marked(losses.filter("n_chars > 0"), held).filter("trusted"), "held-out")
     # The upper edge of the bin with the quantile.
-    edge = (F.col("bin") + 1) * F.lit(LOSS_BIN) + F.lit(MARGIN)
+    edge = (F.col("bin") + 1) * F.lit(LOSS_BIN)
     each = frames.lower_quantile(probe, mean, QUANTILE, LOSS_BIN, ["lang"]).select(
         F.col("lang").alias("of_lang"), edge.alias("limit")
     )

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from brute import SF_DIR
 from tabaudit.llm import frames, kneser_ney, language_id
 
 
@@ -171,3 +172,24 @@ def test_judgement(spark, judged_docs):
     assert len(rows) == judged_docs.count()
     assert all(r.kept == (r.n_chars > 0) for r in rows)
     assert kneser_ney.judge(judged_docs.limit(0), trusted).count() == 0
+
+
+def test_threshold_is_the_quantile_of_held_out_text(spark):
+    folder = SF_DIR.replace("sf0.001", "sf0.01")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    judged = kneser_ney.judge(docs, labels.filter("quality = 1").select("doc_id"))
+    held = frames.held_out(F.col("doc_id"), kneser_ney.HELD_OUT_BELOW).alias("held")
+    rows = judged.join(labels, "doc_id").select("*", held).collect()
+    by_lang = defaultdict(list)
+    for r in rows:
+        if r.quality == 1 and r.held and r.perplexity:
+            by_lang[r.lang].append((r.perplexity, r.threshold, r.kept))
+    assert by_lang
+    for found in by_lang.values():
+        found.sort()
+        quantile = found[math.ceil(kneser_ney.QUANTILE * len(found)) - 1][0]
+        assert quantile <= found[0][1] <= quantile * math.exp(2 * kneser_ney.LOSS_BIN)
+        assert sum(not kept for *_, kept in found) <= (1 - kneser_ney.QUANTILE) * len(found)
+    poor = [r.kept for r in rows if r.quality == 0]
+    assert sum(not kept for kept in poor) / len(poor) > 0.93

@@ -2,7 +2,8 @@
 
 Each page is parsed once. Every block-level element becomes a hash of its subtree
 (names of elements and their text, without attributes). A subtree found on at least
-``MIN_PAGES`` pages of a host and on ``MIN_SHARE`` of them is part of its template, and
+``MIN_PAGES`` pages of a host, and on ``GROWTH`` times the square root of their number, is
+part of its template (5 pages on a host of up to 400, 8 of 1,000, 250 of a million), and
 the text inside it is deleted from all the host's pages. Pages of a host with the same
 text are copies and count as one. The page as a whole (``html``, ``body``) and elements
 around main content are never template. What cannot recur, as on a host
@@ -12,9 +13,10 @@ its main content (``article``, ``main``), only that is kept, and its paragraphs,
 headings, lists and tables are never taken for template, though the same quotation may
 stand in many articles of a host.
 
-A host has at most (subtrees per page) / ``MIN_SHARE`` template subtrees, however many
-pages it has, so the list of a host is bounded. Pages of a host are not gathered: counts
-are combined before the shuffle, and lists are broadcast or joined.
+A host has at most (subtrees per page) times the square root of its pages / ``GROWTH``
+template subtrees. Pages of a host are not gathered: counts are combined before the
+shuffle. Few template subtrees go to all tasks as sorted arrays; otherwise each page's
+subtrees are joined with them one by one, so that no page meets the list of its host.
 
 Defined results: null or empty html has the empty text; a null url, or one without
 ``://``, belongs to the host with the empty name. Elements left open end with the
@@ -28,6 +30,7 @@ import html
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
@@ -38,8 +41,8 @@ from tabaudit.llm.url_rules import host_of
 from tabaudit.session import materialize
 
 MIN_PAGES = 5
-MIN_SHARE = 0.2
-# Host and subtree pairs that may be broadcast.
+GROWTH = 0.25
+# Host and subtree pairs that may be sent to all tasks.
 BROADCAST_SUBTREES = 500_000
 
 # Their content is not text of the page.
@@ -233,7 +236,7 @@ def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def template_subtrees(
-    parsed: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE
+    parsed: DataFrame, min_pages: int = MIN_PAGES, growth: float = GROWTH
 ) -> DataFrame:
     """``host`` and ``subtree`` of the subtrees that recur across a host's distinct pages."""
     # Copies may differ in what is left out of the text; one of them stands for all.
@@ -248,7 +251,57 @@ def template_subtrees(
         .filter(F.col("n") >= min_pages)
     )
     recurring = counted.join(frames.broadcast_if_few(pages), "host")
-    return recurring.filter(F.col("n") >= F.lit(min_share) * F.col("pages")).select("host", "subtree")
+    return recurring.filter(F.col("n") >= F.lit(growth) * F.sqrt("pages")).select("host", "subtree")
+
+
+_TEXT = "page_id long, url string, text string, n_blocks_deleted long"
+
+
+def _without(template: dict[str, np.ndarray]):
+    """Deletes the blocks that lie in a subtree of their host's sorted ``template``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            blocks = batch.column("blocks")
+            texts, paths = blocks.flatten().flatten()
+            texts, subtrees = texts.to_pylist(), paths.flatten().to_numpy()
+            of_block = np.concatenate([[0], np.cumsum(paths.value_lengths().to_numpy())]).astype(np.int64)
+            of_page = np.concatenate([[0], np.cumsum(blocks.value_lengths().to_numpy())]).astype(np.int64)
+            found = np.zeros(len(subtrees), bool)
+            for page, host in enumerate(batch.column("host").to_pylist()):
+                listed = template.get(host)
+                if listed is not None:
+                    a, b = of_block[of_page[page]], of_block[of_page[page + 1]]
+                    near = np.minimum(np.searchsorted(listed, subtrees[a:b]), len(listed) - 1)
+                    found[a:b] = listed[near] == subtrees[a:b]
+            upto = np.concatenate([[0], np.cumsum(found)])
+            deleted = upto[of_block[1:]] > upto[of_block[:-1]]
+            kept = [
+                "\n\n".join(t for t, gone in zip(texts[a:b], deleted[a:b]) if not gone)
+                for a, b in zip(of_page, of_page[1:])
+            ]
+            upto = np.concatenate([[0], np.cumsum(deleted)])
+            counts = (upto[of_page[1:]] - upto[of_page[:-1]]).astype(np.int64)
+            columns = [batch.column("page_id"), batch.column("url"), pa.array(kept, pa.string()), pa.array(counts)]
+            yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "n_blocks_deleted"])
+
+    return run
+
+
+def _joined(parsed: DataFrame, subtrees: DataFrame) -> DataFrame:
+    """The same by shuffle: pages with equal paths ask once for each of their subtrees."""
+    pages = parsed.withColumn("paths", F.xxhash64("blocks.path"))
+    asked = pages.select("host", "paths", F.explode(F.array_distinct(F.flatten("blocks.path"))).alias("subtree"))
+    found = asked.distinct().join(subtrees, ["host", "subtree"]).groupBy("host", "paths")
+    joined = pages.join(found.agg(F.collect_list("subtree").alias("template")), ["host", "paths"], "left")
+    template = F.coalesce("template", F.array().cast("array<long>"))
+    kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b["path"], template))
+    return joined.select("page_id", "url", F.size("blocks").alias("n"), kept.alias("kept")).select(
+        "page_id",
+        "url",
+        F.array_join(F.col("kept.text"), "\n\n").alias("text"),
+        (F.col("n") - F.size("kept")).cast("long").alias("n_blocks_deleted"),
+    )
 
 
 def main_text(
@@ -257,7 +310,7 @@ def main_text(
     url_col: str = "url",
     html_col: str = "html",
     min_pages: int = MIN_PAGES,
-    min_share: float = MIN_SHARE,
+    growth: float = GROWTH,
 ) -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_blocks_deleted`` (as template) of every page."""
     rows = pages.select(
@@ -267,15 +320,9 @@ def main_text(
         F.col(html_col).alias("html"),
     )
     parsed = materialize(rows.mapInArrow(_parse_batches, _PARSED), "parsed-pages")
-    subtrees = materialize(template_subtrees(parsed, min_pages, min_share), "template")
-    few = subtrees.limit(BROADCAST_SUBTREES + 1).count() <= BROADCAST_SUBTREES
-    lists = subtrees.groupBy("host").agg(F.collect_list("subtree").alias("template"))
-    joined = parsed.join(F.broadcast(lists) if few else lists, "host", "left")
-    template = F.coalesce("template", F.array().cast("array<long>"))
-    kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b["path"], template))
-    return joined.select("page_id", "url", F.size("blocks").alias("n"), kept.alias("kept")).select(
-        "page_id",
-        "url",
-        F.array_join(F.col("kept.text"), "\n\n").alias("text"),
-        (F.col("n") - F.size("kept")).cast("long").alias("n_blocks_deleted"),
-    )
+    subtrees = materialize(template_subtrees(parsed, min_pages, growth), "template")
+    if subtrees.limit(BROADCAST_SUBTREES + 1).count() > BROADCAST_SUBTREES:
+        return _joined(parsed, subtrees)
+    lists = subtrees.groupBy("host").agg(F.sort_array(F.collect_list("subtree")).alias("listed"))
+    template = {r.host: np.array(r.listed, np.int64) for r in lists.toLocalIterator()}
+    return parsed.select("page_id", "url", "host", "blocks").mapInArrow(_without(template), _TEXT)

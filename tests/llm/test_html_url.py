@@ -83,6 +83,23 @@ def test_elements_around_marked_content_are_no_template():
     assert subtrees == [] and blocks == [("x", [])]
 
 
+@pytest.mark.parametrize("limit", [html_template.BROADCAST_SUBTREES, 0])
+def test_rotating_template_blocks_of_a_large_host(spark, monkeypatch, limit):
+    monkeypatch.setattr(html_template, "BROADCAST_SUBTREES", limit)
+    rows = []
+    for i in range(1000):
+        # One notice is on 10% of the pages, one on 1% of them, and no name tells either.
+        notices = f"<div class=x><p>Often {i % 10}</p></div><div><p>Seldom {i % 100}</p></div>"
+        rows.append((i, f"http://large.org/{i}", f"<body>{notices}<div><p>Story {i}</p><p>Twice {i % 500}</p></div></body>"))
+    rows += [(1000 + i, f"http://small.org/{i}", "<p>Often 1</p>" + f"<p>{i}</p>") for i in range(4)] + rows[:2]
+    rows += [(2000, None, None), (2001, "http://large.org/e", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = sorted((r.page_id, r.text, r.n_blocks_deleted) for r in html_template.main_text(pages).collect())
+    story = [(i, f"Story {i}\n\nTwice {i % 500}", 2) for i in range(1000)]
+    other = [(1000 + i, f"Often 1\n\n{i}", 0) for i in range(4)] + [(2000, "", 0), (2001, "", 0)]
+    assert out == sorted(story + story[:2] + other)
+
+
 def plain_verdict(url, rules, default="allow"):
     rest = url.split("://", 1)[1] if url and "://" in url else ""
     cut = min([rest.find(c) for c in "/?#" if c in rest] or [len(rest)])

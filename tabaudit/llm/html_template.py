@@ -8,7 +8,10 @@ the text inside it is deleted from all the host's pages. Pages of a host with th
 text are copies and count as one. The page as a whole (``html``, ``body``) and elements
 around main content are never template. What cannot recur, as on a host
 with few pages, is told by names: elements for navigation, forms, scripts and the like,
-and elements whose class, id or role says so, are left out while parsing. If a page marks
+and elements whose class, id or role says so, are left out while parsing. A class or id
+says so if it, or its first or last part, is such a word, unless it tells of a state
+(``no-sidebar``, ``has-comments``). Class and id are not heeded on elements around a
+page's only main content. If a page marks
 its main content (``article``, ``main``), only that is kept, and its paragraphs,
 headings, lists and tables are never taken for template, though the same quotation may
 stand in many articles of a host.
@@ -46,7 +49,7 @@ GROWTH = 0.25
 BROADCAST_SUBTREES = 500_000
 
 # Their content is not text of the page.
-_RAW = "script|style|noscript|template|textarea|title|iframe|svg|math|object|select"
+_RAW = "script|style|noscript|template|textarea|title|iframe|svg|object|select"
 _DROPPED_TAGS = set(
     "nav header footer aside form menu dialog button input label fieldset audio video canvas "
     "head".split()
@@ -83,31 +86,59 @@ _FLOW = set(
     "figure article main".split()
 )
 
+# What follows the name of an element, up to its end; quoted values may hold any character.
+_INSIDE = r"(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+"
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|</?[a-zA-Z!?][^>]*(?:>|\Z)",
+    r"<!--.*?(?:-->|\Z)"
+    r"|<svg(?=[\s/])(?:[^>\"'/]++|\"[^\"]*\"|'[^']*'|/(?!>))*+/>"
+    rf"|<({_RAW})(?=[\s/>])(?:{_INSIDE}>|[^>]*>).*?(?:</\1\s*>|\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/>]*)({_INSIDE})>|</?[a-zA-Z!?][^>]*(?:>|\Z)",
     re.S | re.I,
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _WORDS = re.compile(r"[a-z0-9]+")
+# Names that begin so tell a state or a subject, not what the element is.
+_STATES = set("no not non has have with without hide show category tag".split())
+
+
+def _is_hidden(tag: str, attributes: list[tuple[str, str]]) -> bool:
+    """Whether the element is left out for its kind, whatever it encloses."""
+    return tag in _DROPPED_TAGS or any(
+        name == "hidden"
+        or (name == "aria-hidden" and value == "true")
+        or (name == "role" and value in _DROPPED_ROLES)
+        for name, value in attributes
+        if tag not in _WHOLE_PAGE
+    )
 
 
-def _is_dropped(tag: str, attributes: str) -> bool:
-    if tag in _DROPPED_TAGS:
-        return True
-    if tag in ("html", "body") or not attributes.strip():
+def _is_named(tag: str, attributes: list[tuple[str, str]]) -> bool:
+    """Whether class or id tells that the element is no main text."""
+    if tag in _WHOLE_PAGE or tag == "main":
         return False
-    for name, value in _ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), value.strip("\"'").lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
-        if name == "role" and value in _DROPPED_ROLES:
-            return True
-        if name in ("class", "id") and not _DROPPED_WORDS.isdisjoint(_WORDS.findall(value)):
-            return True
+    for name, value in attributes:
+        if name not in ("class", "id"):
+            continue
+        for token in value.split():
+            # What follows two hyphens is a variant; two underscores lead to a part of a block.
+            for piece in token.split("--")[0].split("__"):
+                words = _WORDS.findall(piece)
+                if not words or words[0] in _STATES:
+                    continue
+                # Articles carry their subjects as classes, such as topic-social.
+                if words[0] in _DROPPED_WORDS or (tag != "article" and words[-1] in _DROPPED_WORDS):
+                    return True
     return False
 
 
+def _attributes(inside: str) -> list[tuple[str, str]]:
+    """Names and values, lower case; the first of equal names counts."""
+    found: dict[str, str] = {}
+    for name, value in _ATTRIBUTE.findall(inside):
+        found.setdefault(name.lower(), value.strip("\"'").lower().strip())
+    return list(found.items())
+
+
 def _digest(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
@@ -117,10 +148,22 @@ def parse(page: str) -> tuple[list[int], list[tuple[str, list[int]]]]:
 
     Blocks of left out elements, and those outside main content if any is marked, are missing.
     """
+    parsed, around = _parse(page, frozenset())
+    return _parse(page, around)[0] if around else parsed
+
+
+def _parse(page: str, spared: frozenset[int]) -> tuple[tuple[list[int], list[tuple[str, list[int]]]], frozenset[int]]:
+    """The page parsed with the names of the elements starting at ``spared`` not heeded.
+
+    Also returns the starts of elements left out for their names that enclose main
+    content, if there is main content nowhere else.
+    """
     pieces: list[str] = []  # names and texts in order, for the hashes
     elements: list[list] = []  # first and last piece
     around_main: set[int] = set()  # elements that are no template, whatever recurs
     stack: list[tuple[str, int, bool, bool]] = []  # name, element or -1, dropped, in main content
+    causes: list[int] = []  # by depth: start of the element if dropped for its name, -1 if for its kind, else -2
+    around: set[int] = set()
     blocks: list[tuple[str, bool, list[int]]] = []
     buffer: list[str] = []
     any_main = False
@@ -139,6 +182,7 @@ def parse(page: str) -> tuple[list[int], list[tuple[str, list[int]]]]:
             if name in _BLOCKS:
                 flush()
             stack.pop()
+            causes.pop()
             pieces.append("/")
             if element >= 0:
                 elements[element][1] = len(pieces)
@@ -186,7 +230,16 @@ def parse(page: str) -> tuple[list[int], list[tuple[str, list[int]]]]:
             if tag == "br":
                 buffer.append(" ")
             continue
-        dropped = bool(stack and stack[-1][2]) or _is_dropped(tag, attributes)
+        cause = -2
+        if attributes.strip() or tag in _DROPPED_TAGS:
+            named = _attributes(attributes)
+            if _is_hidden(tag, named):
+                cause = -1
+            elif token.start() not in spared and _is_named(tag, named):
+                cause = token.start()
+        dropped = bool(stack and stack[-1][2]) or cause > -2
+        if dropped and tag in _MAIN_TAGS and cause == -2 and -1 not in causes:
+            around.update(c for c in causes if c >= 0)
         main = bool(stack and stack[-1][3]) or (tag in _MAIN_TAGS and not dropped)
         if main and tag in _MAIN_TAGS:
             any_main = True
@@ -197,6 +250,7 @@ def parse(page: str) -> tuple[list[int], list[tuple[str, list[int]]]]:
             elements.append([len(pieces), -1])
         pieces.append(tag)
         stack.append((tag, element, dropped, main))
+        causes.append(cause)
     add(page[at:])
     flush()
     close(0)
@@ -210,7 +264,7 @@ def parse(page: str) -> tuple[list[int], list[tuple[str, list[int]]]]:
         for t, main, path in blocks
         if main or not any_main
     ]
-    return sorted(set(hashes.values())), kept
+    return (sorted(set(hashes.values())), kept), frozenset() if any_main else frozenset(around)
 
 
 _PARSED = (

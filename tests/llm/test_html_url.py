@@ -62,6 +62,29 @@ def test_marked_content_survives_recurrence(spark):
     assert texts[7] == "The same quotation.\n\nStory 7"
 
 
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        ("<div style='overflow:hidden'>a</div><div title=\"hidden gems\">b</div><p data-id=share-7>c</p>", ["a", "b", "c"]),
+        ("<div data-x='class=\"ad\"'>a</div><div hidden>b</div><div ID='Share'>c</div><div class='x ad'>d</div>", ["a"]),
+        ("<div class='layout no-sidebar'><p>a</p></div><div class='content has-comments'>b</div>", ["a", "b"]),
+        ("<div class='site-footer'>a</div><div class='share-links'>b</div><div class='page__sidebar--left'>c</div>d", ["d"]),
+        ("<div class='box--ad'>a</div><div class='my-ad-hoc notes'>b</div>", ["a", "b"]),
+        ("<div class='sidebar-right'><p>x</p><article class='post category-social'><p>a</p></article></div>", ["a"]),
+        ("<main class='sidebar-left'>a</main>", ["a"]),
+        ("<article>a</article><div class=comments><article>b</article></div>", ["a"]),
+        ("<div class=comments><article class=comment>b</article></div><p>a</p>", ["a"]),
+        ("<div hidden><div class=related><article>b</article></div></div><p>a</p>", ["a"]),
+        ("<p>So <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds, <math/>or not</p>", ["So x=1 holds, or not"]),
+        ("<p>a <svg viewBox='0 0 1 1' d=\"a>b\"/>b</p><p>c <svg/>d <svg a=/x><text>e</text></svg>f</p>", ["a b", "c d f"]),
+        ("<script data-a='>var a</script>a", ["a"]),
+        ("<object-list>a</object-list><iframe srcdoc='<p>x</iframe>'>b</iframe>c", ["ac"]),
+    ],
+)
+def test_names_drop_nothing_else(html, want):
+    assert [b[0] for b in html_template.parse(html)[1]] == want
+
+
 @pytest.mark.parametrize("page", [
     "<html><body><div class=text><h2>Only story</h2><p>All of it.</p></div></body></html>",
     "<html><body><section><article><h2>Only story</h2><p>All of it.</p></article></section></body></html>",

@@ -31,7 +31,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tabaudit.llm import frames, text as words_of
 from tabaudit.llm.components import components
@@ -82,13 +82,14 @@ def _set_key(values: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(values.tobytes())).view(np.int64))
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _keyed(docs: DataFrame, id_col: str, text_col: str, carried: list[Column] = ()) -> DataFrame:
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(_LOWEST))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), key.alias("key"), F.col(text_col).alias("text"))
+    rest = [F.struct(*carried).alias("carried")] if carried else []
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), key.alias("key"), F.col(text_col).alias("text"), *rest)
 
 
 def _sketch(batches: Iterator[pa.RecordBatch], settings: Settings) -> Iterator[pa.RecordBatch]:
-    """Id, key, set and band keys of each row; the set of a text without words is null."""
+    """Id, key, set, band keys and what is carried of each row; the set of a text without words is null."""
     hasher = words_of.MinHasher(settings.n_hashes)
     for batch in batches:
         for part in words_of.slices(batch):
@@ -98,14 +99,15 @@ def _sketch(batches: Iterator[pa.RecordBatch], settings: Settings) -> Iterator[p
                 _set_key(np.unique(values[a:b])) if b > a else None
                 for a, b in zip(starts[:-1], starts[1:])
             ]
+            rest = [c for c in part.schema.names if c == "carried"]
             flat = pa.array(bands.ravel())
             offsets = pa.array(np.arange(len(bands) + 1, dtype=np.int32) * bands.shape[1])
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"), part.column("key"), pa.array(sets, pa.int64()),
-                    pa.ListArray.from_arrays(offsets, flat),
+                    pa.ListArray.from_arrays(offsets, flat), *[part.column(c) for c in rest],
                 ],
-                names=["doc_id", "key", "set", "bands"],
+                names=["doc_id", "key", "set", "bands", *rest],
             )
 
 
@@ -252,7 +254,8 @@ def _tasks(members: DataFrame) -> DataFrame:
 
 def _texts(docs: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
     """All rows with their sets; and one row per text with an id, its copies, class and links."""
-    columns = "doc_id long, key long, set long, bands array<long>"
+    columns = T.StructType.fromDDL("doc_id long, key long, set long, bands array<long>")
+    columns = T.StructType([*columns.fields, *[f for f in docs.schema.fields if f.name == "carried"]])
     sketch = docs.mapInArrow(lambda batches: _sketch(batches, settings), columns)
     sketch = materialize(sketch, "sketch")
     sets = sketch.filter("`set` is not null").groupBy("set").agg(
@@ -318,6 +321,23 @@ def join(
     )
 
 
+def classed(
+    docs: DataFrame,
+    carried: list[Column],
+    settings: Settings = Settings(),
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """``doc_id``, the columns ``carried`` and ``cluster`` of every row, repeated ones too.
+
+    ``cluster`` is equal for the documents of one class, null for those without words.
+    """
+    sketch, texts = _texts(_keyed(docs, id_col, text_col, carried), settings)
+    known = texts.select("set", F.col("first.set").alias("cluster"))
+    joined = sketch.select("doc_id", "set", "carried").join(frames.broadcast_if_few(known), "set", "left")
+    return joined.select("doc_id", "carried.*", "cluster")
+
+
 def keep_one(
     docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:

@@ -132,23 +132,24 @@ def pack(
     capacity: int = CAPACITY,
     max_per_source: int = MAX_PER_SOURCE,
     bins_per_group: int = BINS_PER_GROUP,
+    row: Column | None = None,
 ) -> DataFrame:
     """One row per piece: its bin (``bin_group``, ``bin``), slot, document and token span.
 
-    ``cluster`` is a long that duplicates share.
+    ``cluster`` is a long that duplicates share, ``row`` a number that spreads rows that repeat
+    (by default, that of the row in ``docs``).
     """
     rows = docs.select(
         id_.cast("long").alias("id"),
         source.cast("string").alias("source"),
         cluster.cast("long").alias("cluster"),
         F.coalesce(n_tokens.cast("long"), F.lit(0)).alias("n"),
+        (F.monotonically_increasing_id() if row is None else row).alias("row"),
     )
     total = rows.agg(F.sum("n")).first()[0] or 0
     groups = max(1, math.ceil(total / (capacity * bins_per_group)))
     # The row's own number spreads rows that repeat.
-    dealt = rows.withColumn(
-        "group", F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(groups))
-    )
+    dealt = rows.withColumn("group", F.pmod(F.xxhash64("id", "row"), F.lit(groups))).drop("row")
 
     def run(key, pdf):
         pdf = pdf.astype({"id": "Int64", "cluster": "Int64"})

@@ -56,13 +56,20 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    # Exact copies are one duplicate cluster.
+    measured = [
+        mixing.n_tokens(F.col("text")).alias("n"),
+        F.col("source"),
+        F.monotonically_increasing_id().alias("row"),
+    ]
+    # Each class of near duplicates is a cluster.
+    classed = materialize(jaccard_join.classed(docs, measured), "classed")
     return packing.pack(
-        docs,
-        n_tokens=mixing.n_tokens(F.col("text")),
+        classed,
+        n_tokens=F.col("n"),
         id_=F.col("doc_id"),
         source=F.col("source"),
-        cluster=F.xxhash64("text"),
+        cluster=F.col("cluster"),
+        row=F.col("row"),
     )
 
 

@@ -8,8 +8,8 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from brute import spread_cleaned, words
-from tabaudit.llm import frames, line_spread, mixing, packing
+from brute import near_classes, spread_cleaned, words
+from tabaudit.llm import frames, line_spread, mixing, packing, queries
 
 
 def cleaned(docs, **options):
@@ -202,3 +202,23 @@ def test_packed_documents_are_whole_and_without_conflicts(make_docs):
         own = [text[r.doc_id] for r in members]
         assert len(set(own)) == len(own)
     assert packing.pack(docs.limit(0), count, F.col("doc_id"), F.col("source"), F.lit(None)).count() == 0
+
+
+def test_near_copies_share_no_bin(spark, make_docs, tmp_path):
+    rng = random.Random(3)
+    first = [f"w{rng.randrange(500)}" for _ in range(120)]
+    rows = []
+    for i in range(60):
+        # Near copies: one changed word, and other white space.
+        copy = [*first[:60], f"x{i}", *first[61:]]
+        rows.append((i, ("  " if i % 2 else " ").join(copy), "en", f"s{i}"))
+        rows.append((100 + i, " ".join(f"v{rng.randrange(10**6)}" for _ in range(30)), "en", f"t{i}"))
+    rows += [(300, None, "en", "s0"), (301, "", "en", None), (302, "null source", "en", None), (None, "no id", "en", "s")]
+    rows += rows[:2]
+    make_docs(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    out = queries.op3_best_fit_packing(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id or -1, r.n_tokens) for r in out) == sorted((r[0] or -1, len(words(r[1]))) for r in rows)
+    classes = near_classes({r[0]: r[1] for r in rows if r[0] is not None})
+    assert len({classes[i][0] for i in range(60)}) == 1
+    bins = [(r.bin_group, r.bin, classes[r.doc_id][0]) for r in out if r.doc_id is not None and r.n_tokens]
+    assert len(bins) == len(set(bins))

@@ -21,6 +21,7 @@ languages the alphabetically first wins. Extra columns are not read.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,6 +35,8 @@ from tabaudit.llm.text import CHARACTER_SLICE_BYTES, mixed, odd_multipliers, sli
 
 LONGEST = 3
 FEATURE_BITS = 16
+# Languages with fewer sampled documents are learned from all of them.
+MIN_TO_CALIBRATE = 8
 SAMPLE_PER_LANG = 500
 EPOCHS = 4
 # Follow-the-regularised-leader: step size, its offset, and the two penalties.
@@ -253,9 +256,13 @@ def fit(
     if not languages:
         return LanguageModel([], np.zeros((1 << bits, 0)), np.zeros(0), 1.0)
     code = {lang: k for k, lang in enumerate(languages)}
+    sampled = Counter(v[0] for v in vectors)
+    learned = Counter(v[0] for v in vectors if not v[1])
+    # Every language keeps documents to learn from; small ones give none to calibration.
+    calibrates = {x for x in languages if sampled[x] >= MIN_TO_CALIBRATE and learned[x]}
     # The last feature, present in every text, is the bias.
     examples = [
-        (code[lang], held, np.append(f, 1 << bits), np.append(SCALE * s * idf[f], 1.0))
+        (code[lang], held and lang in calibrates, np.append(f, 1 << bits), np.append(SCALE * s * idf[f], 1.0))
         for lang, held, f, s in vectors
     ]
     weights = ftrl([(c, f, x) for c, held, f, x in examples if not held], (1 << bits) + 1, len(languages))

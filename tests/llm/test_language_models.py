@@ -193,3 +193,16 @@ def test_threshold_is_the_quantile_of_held_out_text(spark):
         assert sum(not kept for *_, kept in found) <= (1 - kneser_ney.QUANTILE) * len(found)
     poor = [r.kept for r in rows if r.quality == 0]
     assert sum(not kept for kept in poor) / len(poor) > 0.93
+
+
+def test_languages_of_few_documents_are_learned(spark):
+    rare = "ξένη γλώσσα με δικά της γράμματα"
+    place = F.pmod(F.xxhash64(F.lit(rare), F.col("id")), F.lit(4))
+    # An id with which the only document would be kept back.
+    alone = spark.range(1000, 1100).filter(place == 0).first()[0]
+    rows = [(i, f"plain words number {'abcdefgh'[i % 8] * 3} of the common language", "aa") for i in range(60)]
+    docs = spark.createDataFrame([*rows, (alone, rare, "zz")], "doc_id long, text string, lang string")
+    model = language_id.fit(docs)
+    assert model.languages == ["aa", "zz"]
+    found = {r.doc_id: r.lang_pred for r in model.predict(docs).collect()}
+    assert found[alone] == "zz" and found[0] == "aa"

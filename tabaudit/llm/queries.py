@@ -26,9 +26,10 @@ from tabaudit.llm import (
     packing,
     quality_rules,
     settings,
+    token_files,
     url_rules,
 )
-from tabaudit.session import materialize
+from tabaudit.session import materialize, scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -127,6 +128,22 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers  # vocabulary files, found where the library is installed
+
+    files = token_files.write(
+        table(spark, sf_dir, "documents"),
+        scratch_path(spark, "token-files"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+    )
+    return files.documents().select(
+        "doc_id",
+        "start",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]):
     """``query``, after sending this library to workers that would not find it."""
 
@@ -159,6 +176,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_fingerprints": op8_fingerprints,
         "op9_line_spread": op9_line_spread,
         "op10_mixing": op10_mixing,
+        "op11_token_files": op11_token_files,
         "pipeline": corpus_pipeline.run,
     }
     return {name: _shipped(query) for name, query in queries.items()}

@@ -222,3 +222,55 @@ SELECT doc_id, m_source AS source, m_lang AS lang, m_topic AS topic, m_tokens AS
 FROM m_done
 """
 )
+
+# The checksum of a decimal id is computed byte by byte and bit by bit; prefixes are lists of hashed turns.
+CONVERSATION_TRIE = r"""
+WITH c_turns AS (
+  SELECT conv_id AS c, role || chr(1) || text AS content, text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations)
+  WHERE conv_id IS NOT NULL
+),
+c_lists AS (
+  SELECT c, list({'h': md5(content), 'w': len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))} ORDER BY pos) AS s
+  FROM c_turns GROUP BY c
+),
+c_forks AS (
+  SELECT c, s, c - c % 20 AS base, xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda crc, byte: list_reduce(
+      list_prepend(xor(crc, byte), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+      lambda v, step: xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END)))) % 4 AS h
+  FROM c_lists
+),
+c_rebuilt AS (
+  SELECT f.c, list_concat(coalesce(b.s[1:f.h], []), f.s[f.h + 1:]) AS s
+  FROM c_forks f LEFT JOIN c_lists b ON b.c = f.base
+),
+c_prefixes AS (
+  SELECT c, unnest(range(0, len(s) + 1)) AS depth, s, len(s) AS n FROM c_rebuilt
+),
+c_nodes AS (
+  SELECT depth, list_transform(s[1:depth], lambda t: t.h) AS path, min(c) AS conv_id, count(*) AS n_convs,
+    coalesce(any_value(s[depth].w), 0) AS words,
+    coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE n = depth), '') AS ends
+  FROM c_prefixes GROUP BY ALL
+),
+c_children AS (
+  SELECT depth - 1 AS depth, path[1:depth - 1] AS path, count(*) AS n_children
+  FROM c_nodes WHERE depth > 0 GROUP BY ALL
+),
+c_valued AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children,
+    (n_children IS NULL)::BIGINT AS leaf, (n_convs - 1) * words AS saved
+  FROM c_nodes n LEFT JOIN c_children c USING (depth, path)
+),
+c_totals AS (
+  SELECT k AS depth, path[1:k] AS path, sum(leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM (SELECT path, leaf, saved, unnest(range(0, depth + 1)) AS k FROM c_valued) GROUP BY ALL
+)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, n_leaves, saved_tokens,
+  sha256(v.ends) AS ends_sha256
+FROM c_valued v JOIN c_totals t USING (depth, path)
+LEFT JOIN c_nodes p ON v.depth > 0 AND p.depth = v.depth - 1 AND p.path = v.path[1:v.depth - 1]
+"""

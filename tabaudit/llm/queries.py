@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import corpus_pipeline
 import tabaudit
 from tabaudit.llm import (
+    conversation_trie,
     fingerprints,
     frames,
     html_template,
@@ -144,6 +145,12 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(
+        table(spark, sf_dir, "conversations"), conversation_trie.fork_by_blocks()
+    )
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]):
     """``query``, after sending this library to workers that would not find it."""
 
@@ -177,6 +184,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_line_spread": op9_line_spread,
         "op10_mixing": op10_mixing,
         "op11_token_files": op11_token_files,
+        "op12_conversation_trie": op12_conversation_trie,
         "pipeline": corpus_pipeline.run,
     }
     return {name: _shipped(query) for name, query in queries.items()}
@@ -188,6 +196,7 @@ def all_sql() -> dict[str, str]:
         "op4_url_filters": oracle.URL_FILTERS,
         "op9_line_spread": oracle.LINE_SPREAD,
         "op10_mixing": oracle.MIXING,
+        "op12_conversation_trie": oracle.CONVERSATION_TRIE,
         "pipeline": corpus_pipeline.ORACLE_SQL,
     }
     return {name: text for name, text in sql.items() if text}

@@ -274,3 +274,49 @@ SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children,
 FROM c_valued v JOIN c_totals t USING (depth, path)
 LEFT JOIN c_nodes p ON v.depth > 0 AND p.depth = v.depth - 1 AND p.path = v.path[1:v.depth - 1]
 """
+
+PHRASES = r"""
+WITH p_pieces AS (
+  SELECT lang, row_number() OVER () AS piece, w
+  FROM (
+    SELECT lang, regexp_extract_all(unnest(string_split_regex(
+      translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w
+    FROM (SELECT coalesce(lang, 'und') AS lang, coalesce(text, '') AS t FROM documents)
+  ) WHERE len(w) > 0
+),
+p_grams AS (
+  SELECT lang, unnest(flatten(list_transform([1, 2, 3, 4], lambda k:
+    list_transform(range(1, greatest(len(w) - k + 2, 1)), lambda i: {'k': k, 'g': array_to_string(w[i:i + k - 1], ' ')})
+  )), recursive := true)
+  FROM p_pieces
+),
+p_total AS (SELECT lang, count(*) AS n FROM p_grams WHERE k = 1 GROUP BY lang),
+p_count AS (SELECT lang, k, g, count(*)::HUGEINT AS f FROM p_grams GROUP BY ALL HAVING count(*) >= 30),
+p_candidate AS (SELECT lang, k AS m, g AS phrase, f AS a, string_split(g, ' ') AS w FROM p_count WHERE k > 1),
+p_cut AS (
+  SELECT lang, phrase, m, a, w, unnest(range(1, m)) AS cut FROM p_candidate
+),
+p_score AS (
+  SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, 2000000::HUGEINT * c.a // (x.f + y.f) AS score
+  FROM p_cut c
+  JOIN p_count x ON x.lang = c.lang AND x.g = array_to_string(c.w[1:c.cut], ' ')
+  JOIN p_count y ON y.lang = c.lang AND y.g = array_to_string(c.w[c.cut + 1:], ' ')
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, c.cut) = 1
+),
+p_part AS (
+  SELECT lang, a, unnest(flatten(list_transform(range(2, m), lambda size:
+    list_transform(range(1, m - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))))) AS phrase
+  FROM p_candidate WHERE m > 2
+),
+p_longer AS (SELECT lang, phrase, max(a) AS longer FROM p_part GROUP BY ALL),
+p_left AS (
+  SELECT s.* FROM p_score s LEFT JOIN p_longer USING (lang, phrase)
+  WHERE longer IS NULL OR 100 * longer < 80 * a
+)
+SELECT lang, row_number() OVER (
+    PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+  phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM p_left JOIN p_total USING (lang)
+QUALIFY rank <= 2000
+"""

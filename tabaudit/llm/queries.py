@@ -25,6 +25,7 @@ from tabaudit.llm import (
     mixing,
     oracle,
     packing,
+    phrases,
     quality_rules,
     settings,
     token_files,
@@ -151,6 +152,10 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]):
     """``query``, after sending this library to workers that would not find it."""
 
@@ -185,6 +190,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_mixing": op10_mixing,
         "op11_token_files": op11_token_files,
         "op12_conversation_trie": op12_conversation_trie,
+        "op13_phrases": op13_phrases,
         "pipeline": corpus_pipeline.run,
     }
     return {name: _shipped(query) for name, query in queries.items()}
@@ -197,6 +203,7 @@ def all_sql() -> dict[str, str]:
         "op9_line_spread": oracle.LINE_SPREAD,
         "op10_mixing": oracle.MIXING,
         "op12_conversation_trie": oracle.CONVERSATION_TRIE,
+        "op13_phrases": oracle.PHRASES,
         "pipeline": corpus_pipeline.ORACLE_SQL,
     }
     return {name: text for name, text in sql.items() if text}

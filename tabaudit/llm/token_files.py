@@ -14,9 +14,9 @@ under a passing name and moved into place, so a repeated task replaces its own f
 equal one. The folder has to be on storage that all tasks reach through Arrow's file
 systems (a mounted folder, HDFS, S3 and the like).
 
-A byte-level tokenizer never joins characters across the start of a word that follows a
-space. For those, texts are cut there and each distinct piece of a slice is encoded
-once, which gives the same ids; texts are encoded whole for all others.
+A byte-level tokenizer never joins characters across the border of a word and a space, mark
+or line break. For those, texts are cut there and each distinct piece is encoded once,
+which gives the same ids; texts are encoded whole for all others.
 
 Defined results: a null or empty text has the end id alone. Null ids come first; rows
 with one id are ordered by a hash of their text; repeated rows are all written. An
@@ -26,7 +26,8 @@ needs. Extra columns are not read. ``docs`` should be a stored table: rows equal
 
 from __future__ import annotations
 
-import json
+import functools
+import os
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -43,8 +44,10 @@ from tabaudit.session import materialize
 
 SEQ_LEN = 2048
 SEQUENCES_PER_BATCH = 512
-# Pieces whose ids a worker remembers; beyond these it starts to remember anew.
-REMEMBERED = 400_000
+# Pieces whose ids a worker remembers; beyond these it starts anew and forgets those before, one generation late.
+REMEMBERED = 150_000
+# Bytes of text that are encoded at a time.
+SLICE_BYTES = 1 << 20
 # About so many ids leave a reading task at a time.
 READ_IDS = 1 << 20
 
@@ -53,15 +56,24 @@ _INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_ids", pa.
 
 
 class Encoder:
-    """Ids of whole texts by a tokenizer of the ``tokenizers`` library."""
+    """Ids of whole texts by a tokenizer of the ``tokenizers`` library.
+
+    Where texts may be cut at spaces, each distinct piece is encoded once: new pieces are
+    joined again, many at a time, and as every id stands for a known number of bytes, the
+    ids of each are told apart by those.
+    """
 
     def __init__(self, tokenizer_file: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel ones
         from tokenizers import Tokenizer  # where the tasks run
 
         self._tokenizer = Tokenizer.from_file(tokenizer_file)
         self.dtype = np.uint16 if self._tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        self._cuts = _splits_at_spaces(json.loads(self._tokenizer.to_str()))
+        self._cuts = _splits_at_spaces(self._tokenizer)
+        self._added = [t.content.encode() for t in self._tokenizer.get_added_tokens_decoder().values()]
+        self._n_bytes = _bytes_of_ids(self._tokenizer) if self._cuts else None
         self._known: dict[bytes, bytes] = {}
+        self._older: dict[bytes, bytes] = {}
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's ids start."""
@@ -69,55 +81,127 @@ class Encoder:
         offsets = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + len(raw) + 1]
         data = np.frombuffer(raw.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
         offsets = offsets - offsets[0]
-        cuts = np.unique(np.concatenate([offsets, _word_starts(data)])) if self._cuts else np.unique(offsets)
+        is_cut = np.zeros(len(data) + 1, bool)
+        is_cut[offsets] = True
+        if self._cuts:
+            raw_text = data.tobytes()
+            _mark_cuts(data, is_cut, marks=not any(name in raw_text for name in self._added))
+        cuts = np.flatnonzero(is_cut)
         pieces = pa.Array.from_buffers(
             pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(data)]
         ).dictionary_encode()
         ids = self._ids_of(pieces.dictionary.to_pylist())
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype().itemsize
-        flat, ends = np.frombuffer(b"".join(ids), self.dtype), np.concatenate([[0], np.cumsum(sizes)])
+        flat, ends = np.frombuffer(b"".join(ids), self.dtype), np.cumsum(sizes)
         codes = pieces.indices.to_numpy()
         lengths = sizes[codes]
         before = np.concatenate([[0], np.cumsum(lengths)])
-        at = np.repeat(ends[codes] - before[:-1], lengths) + np.arange(before[-1])
+        at = np.arange(before[-1])
+        at += np.repeat((ends - sizes)[codes] - before[:-1], lengths)
         return flat[at], before[np.searchsorted(cuts, offsets)]
 
     def _ids_of(self, pieces: list[bytes]) -> list[bytes]:
+        if not self._cuts:
+            return self._each(pieces)
         if len(self._known) > REMEMBERED:
-            self._known = {}
-        new = [p for p in pieces if p not in self._known]
+            self._older, self._known = self._known, {}
+        known, older = self._known, self._older
+        ids = list(map(known.get, pieces))
+        missing = [i for i, found in enumerate(ids) if found is None]
+        known.update((pieces[i], older[pieces[i]]) for i in missing if pieces[i] in older)
+        new = [pieces[i] for i in missing if pieces[i] not in known]
+        joined = [p for p in new if p[:1] == b" "]
+        for at in range(0, len(joined), _JOINED):
+            part = joined[at : at + _JOINED]
+            known.update(zip(part, self._together(part)))
+        first = [p for p in new if p[:1] != b" "]
+        known.update(zip(first, self._each(first)))
+        for i in missing:
+            ids[i] = known[pieces[i]]
+        return ids
+
+    def _each(self, pieces: list[bytes]) -> list[bytes]:
         encoded = self._tokenizer.encode_batch_fast(
-            [p.decode("utf-8", "replace") for p in new], add_special_tokens=False
+            [p.decode("utf-8", "replace") for p in pieces], add_special_tokens=False
         )
-        found = {p: np.array(e.ids, self.dtype).tobytes() for p, e in zip(new, encoded)}
-        known = self._known
-        out = [found[p] if p in found else known[p] for p in pieces]
-        if self._cuts:
-            known.update(found)
-        return out
+        return [np.array(e.ids, self.dtype).tobytes() for e in encoded]
+
+    def _together(self, pieces: list[bytes]) -> list[bytes]:
+        text = b"".join(pieces)
+        [encoded] = self._tokenizer.encode_batch_fast([text.decode("utf-8", "replace")], add_special_tokens=False)
+        ids = np.array(encoded.ids, self.dtype)
+        upto = np.cumsum(self._n_bytes[ids])
+        ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+        last = np.searchsorted(upto, ends)
+        if len(upto) != last[-1] + 1 or (upto[last] != ends).any():
+            return self._each(pieces)  # bytes that are no text: replaced, they have another length
+        width, raw = self.dtype().itemsize, ids.tobytes()
+        stops = ((last + 1) * width).tolist()
+        return [raw[a:b] for a, b in zip([0, *stops], stops)]
+
+
+# New pieces that are encoded together.
+_JOINED = 20_000
+
 
+@functools.lru_cache(maxsize=2)
+def encoder_of(tokenizer_file: str) -> Encoder:
+    """One encoder per worker process, so that its pieces are known to the next task too."""
+    return Encoder(tokenizer_file)
 
-def _splits_at_spaces(settings: dict) -> bool:
+
+def _splits_at_spaces(tokenizer) -> bool:
     """Whether no token can reach across a space that a word's first character follows."""
-    before, added = settings.get("pre_tokenizer") or {}, settings.get("added_tokens") or []
+    before, added = tokenizer.pre_tokenizer, tokenizer.get_added_tokens_decoder().values()
     return (
-        before.get("type") == "ByteLevel"
-        and before.get("use_regex", True)
-        and not before.get("add_prefix_space")
-        and settings.get("normalizer") is None
-        and not any(" " in t["content"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in added)
+        type(before).__name__ == "ByteLevel"
+        and before.use_regex
+        and not before.add_prefix_space
+        and tokenizer.normalizer is None
+        and not any(t.content.split() != [t.content] or t.lstrip or t.rstrip or t.single_word for t in added)
     )
 
 
-# What may follow a cut: no white space of ASCII and no first byte of any other white space.
-_CAN_FOLLOW = np.ones(256, bool)
-_CAN_FOLLOW[:0x21] = False
-_CAN_FOLLOW[[0xC2, 0xE1, 0xE2, 0xE3]] = False
+def _bytes_of_ids(tokenizer) -> np.ndarray:
+    """Bytes that each id of a byte-level vocabulary stands for: one per character of its name."""
+    out = np.zeros(tokenizer.get_vocab_size(), np.int64)
+    for name, i in tokenizer.get_vocab(with_added_tokens=False).items():
+        out[i] = len(name)
+    for i, token in tokenizer.get_added_tokens_decoder().items():
+        out[i] = len(token.content.encode())
+    return out
+
+
+def _bytes(*ranges: str) -> np.ndarray:
+    """Which bytes lie in one of the ranges, each given by its two ends."""
+    out = np.zeros(256, bool)
+    for first, last in ranges:
+        out[ord(first) : ord(last) + 1] = True
+    return out
+
+
+_WORD = _bytes("09", "AZ", "az")
+_VISIBLE = _bytes("!~")
+# Marks that end a run of letters or digits; an apostrophe may belong to the word.
+_MARK = _VISIBLE & ~_WORD & ~_bytes("''")
+# Surely no white space: neither that of ASCII nor the first byte of any other.
+_NO_SPACE = ~_bytes("\0 ", "\xc2\xc2", "\xe1\xe3")
+
 
+def _mark_cuts(data: np.ndarray, is_cut: np.ndarray, marks: bool) -> None:
+    """Mark positions that no piece of a byte-level tokenizer's pattern reaches across.
 
-def _word_starts(data: np.ndarray) -> np.ndarray:
-    """Positions of spaces whose next byte surely begins a character other than white space."""
-    return np.flatnonzero((data[:-1] == 0x20) & _CAN_FOLLOW[data[1:]]).astype(np.int64)
+    These are some of its borders, found byte by byte: the space before a word and, unless
+    a special token is near, which may hold marks, a mark after a word, a line break after
+    something visible, and what follows such a break.
+    """
+    before, here = data[:-1], data[1:]
+    is_cut[:-2] |= (before == 0x20) & _NO_SPACE[here]
+    if not marks:
+        return
+    ends_line = (here == 0x0A) & _VISIBLE[before]
+    is_cut[1:-1] |= (_MARK[here] & _WORD[before]) | ends_line
+    is_cut[2:-1] |= ends_line[:-1] & _NO_SPACE[data[2:]]
 
 
 @dataclass(frozen=True)
@@ -324,8 +408,8 @@ def write(
         encoder, writer = None, None
         try:
             for batch in batches:
-                for part in words_of.slices(batch):
-                    encoder = encoder or Encoder(tokenizer_file)
+                for part in words_of.slices(batch, size=SLICE_BYTES):
+                    encoder = encoder or encoder_of(tokenizer_file)
                     shard = TaskContext.get().partitionId()
                     writer = writer or ShardWriter(folder, shard, encoder.dtype)
                     writer.add(part.column("doc_id"), *_ended(*encoder(part.column("text")), end_id))

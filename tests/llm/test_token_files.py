@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 
 import numpy as np
@@ -18,7 +19,7 @@ BYTES = public_tokenizers.path("byte_bpe_50k.json")
 
 ODD = [
     "", " ", "a  b", "a  b", "a    b c  d", "tab\t x\r\n  y ", "it's  'quoted' 12 34x",
-    "<|endoftext|> and more", "x" * 5000 + " " * 300 + "y", "éè ü　　z ĳ \u0085 q", " lead", "trail ",
+    "<|endoftext|> and more", "one\ntwo\n three\n\nfour \nfive,\nsix", "don't, o'clock's 3's 12.5%, (a)!?", "é,à.\nü\n\n", "x" * 5000 + " " * 300 + "y", "éè ü　　z ĳ \u0085 q", " lead", "trail ",
 ]
 
 
@@ -41,6 +42,15 @@ def test_encoder_is_the_tokenizer(name):
     assert [ids[a:b].tolist() for a, b in zip(starts[:-1], starts[1:])] == expected
 
 
+def test_encoder_on_random_bytes_of_text():
+    draw, path = random.Random(3), BYTES
+    signs = [" ", " ", "\n", "\n", "a", "b", "Z", "7", ".", ",", "'", "s", "é", "\u00a0", "\u3000", "„", "中", "\t", "\r", "\x1c", "\u0085"]
+    texts = ["".join(draw.choices(signs, k=draw.randrange(40))) for _ in range(3000)]
+    ids, starts = token_files.Encoder(path)(pa.array(texts))
+    encoded = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
+    assert [ids[a:b].tolist() for a, b in zip(starts[:-1], starts[1:])] == [e.ids for e in encoded]
+
+
 def test_files_and_views(spark, make_docs, tmp_path):
     rows = [(n, t) for n, t in enumerate(ODD, 5)] + [(None, "null id"), (3, None), (4, "same"), (4, "same")]
     docs = make_docs(rows).repartition(3)

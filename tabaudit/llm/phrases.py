@@ -5,7 +5,8 @@ phrase found ``min_count`` times in a language reaches, in one cell at least, th
 that count that goes with the cell's share of the words, rounded down, plus one: lower
 counts in all cells cannot add up. So every shard is mined completely at this lowered
 support, level by level: words, then pairs of frequent words, then runs of three and four
-whose pairs are all frequent. Both the counting and the joining of a shard are Spark's, so
+whose pairs are all frequent. What cannot reach ``min_count`` even if it fell short of the
+support by just one in all other cells goes at once. Both the counting and the joining of a shard are Spark's, so
 a shard may be as large as it likes; the number of shards is fixed, since with more of them
 than ``min_count`` the lowered support would be one.
 
@@ -48,6 +49,9 @@ SCALE = 2_000_000
 # A bitmap has 16 bits per member, within these bounds (32 MiB at most).
 MIN_BITS, MAX_BITS = 16, 28
 
+# Bytes of text whose runs are counted at a time: by hash, and by their words.
+GRAM_BYTES, PHRASE_BYTES = 1 << 20, 1 << 20
+
 _U64 = np.uint64
 _STEP = words_of.odd_multipliers(1, seed=13)[0]
 
@@ -144,7 +148,7 @@ def _mine(docs: DataFrame, widths: tuple[int, ...], known=None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in words_of.slices(batch):
+            for part in words_of.slices(batch, size=GRAM_BYTES):
                 words = Words(part)
                 cell_of = part.column("cell").to_numpy()
                 cells = cell_of[words.doc].view(_U64)
@@ -173,7 +177,7 @@ def _count_phrases(docs: DataFrame, candidates) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in words_of.slices(batch):
+            for part in words_of.slices(batch, size=PHRASE_BYTES):
                 yield from _phrases(Words(part), part.column("lang"), candidates.value)
 
     return docs.mapInArrow(run, _PHRASES).groupBy("lang", "phrase").agg(
@@ -210,11 +214,19 @@ def _phrases(words: Words, langs: pa.Array, candidates: Members) -> Iterator[pa.
 
 
 def _frequent(counts: DataFrame, supports: DataFrame) -> DataFrame:
-    return counts.join(supports, "cell").filter("n >= support").select("cell", "gram")
+    """What reaches its cell's support, where all cells together can still make up the count.
+
+    In a cell where a phrase falls short it has one occurrence less than the support at
+    most, so what it has beyond that in the others must fill the rest.
+    """
+    found = counts.join(supports, "cell").filter("n >= support")
+    beyond = F.sum(F.col("n") - F.col("support") + 1).over(Window.partitionBy("gram"))
+    return found.withColumn("beyond", beyond).filter("beyond >= missing").select("cell", "gram")
 
 
 def frequent_phrases(
     docs: DataFrame,
+    id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
     min_count: int = MIN_COUNT,
@@ -223,14 +235,12 @@ def frequent_phrases(
     """All words and phrases found ``min_count`` times (``lang``, ``phrase``, ``n_words``, ``n``), and
     the words of every language (``lang``, ``n``)."""
     spark = docs.sparkSession
-    # All documents of one hash are one shard's; which one they are in is of no matter.
-    key = [F.col(c) for c in docs.columns if c in ("doc_id", text_col)]
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("und"))
     rows = docs.select(
         F.col(text_col).alias("text"),
         lang.alias("lang"),
         F.xxhash64(lang).alias("lang_hash"),
-        F.xxhash64(lang, F.pmod(F.xxhash64(*key), F.lit(shards))).alias("cell"),
+        F.xxhash64(lang, F.pmod(F.xxhash64(id_col), F.lit(shards))).alias("cell"),
     )
     words = materialize(_mine(rows, (1,)), "shard-words")
     names = rows.groupBy("cell").agg(F.max("lang").alias("lang"))
@@ -238,7 +248,9 @@ def frequent_phrases(
     sizes = materialize(sizes, "cells")
     totals = sizes.groupBy("lang").agg(F.sum("words").alias("n"))
     share = F.expr(f"(cast({min_count - 1} as decimal(10, 0)) * words) div n")
-    supports = sizes.join(totals, "lang").select("cell", (share + 1).alias("support"))
+    shares = sizes.join(totals, "lang").select("cell", "lang", share.alias("share"))
+    most = shares.groupBy("lang").agg((min_count - F.sum("share")).alias("missing"))
+    supports = shares.join(most, "lang").select("cell", (F.col("share") + 1).alias("support"), "missing")
     supports = frames.broadcast_if_few(materialize(supports, "supports"))
 
     in_cell = F.col("gram").bitwiseXOR(F.col("cell"))

@@ -74,8 +74,11 @@ def test_random_texts(spark, min_count, shards, top):
 
 
 def test_hot_copies_and_long_text(spark):
+    # One id for all puts them into one shard, which then has the whole support.
     rows = [("one two three four five six. " * 3, "en")] * 40 + [("far away " * 20_000, "en")]
     assert built(spark, rows) == plain(rows, 30, 2000)
+    docs = spark.createDataFrame([(None, *r) for r in rows], "doc_id long, text string, lang string")
+    assert {tuple(r) for r in phrases.collocations(docs).collect()} == plain(rows, 30, 2000)
 
 
 def test_full_bitmaps_change_nothing(spark, monkeypatch):

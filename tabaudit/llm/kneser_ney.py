@@ -166,7 +166,9 @@ def _losses(parcels: pa.Table, answers: pa.Table) -> pa.Table:
         for part in _pieces(pa.ipc.open_stream(parcel).read_all()):
             found, grams, starts = _grams(_texts(part))
             # A missing answer is an error: the block's rows have changed between two passes.
-            values = np.array([loss_of[g] for g in grams])
+            values = np.array([loss_of[g] for g in grams], float)
+            if np.isnan(values).any():
+                raise ValueError("an n-gram has no probability: the model's counts are not complete")
             sums = np.concatenate([[0.0], np.cumsum(values[found])]) if len(found) else np.zeros(1)
             columns = [part.column("doc_id"), part.column("lang"), np.diff(starts)]
             loss = sums[starts[1:]] - sums[starts[:-1]]
@@ -178,17 +180,28 @@ def _tail(gram: Column, length: int) -> Column:
     return F.substring(gram, ORDER - length + 1, length)
 
 
+# Discounts where the counts of counts allow no estimate between none and the whole count.
+DEFAULT_DISCOUNTS = (0.5, 1.0, 1.5)
+
+
 def _discounts(grams: DataFrame) -> list[float]:
-    """The modified Kneser-Ney discounts of n-grams that occur once, twice, and more often."""
+    """The modified Kneser-Ney discounts of n-grams that occur once, twice, and more often.
+
+    Every discount is positive, so each context leaves something to what it was not seen
+    with, and smaller than the count, so nothing seen becomes less likely than unseen.
+    """
     row = grams.agg(*[F.count_if(F.col("n") == k).alias(f"n{k}") for k in range(1, 5)]).first()
     n1, n2, n3, n4 = (row[f"n{k}"] for k in range(1, 5))
     y = n1 / (n1 + 2 * n2) if n1 else 0.0
     raw = [
-        1 - 2 * y * n2 / n1 if n1 else 0.5,
-        2 - 3 * y * n3 / n2 if n2 else 1.0,
-        3 - 4 * y * n4 / n3 if n3 else 1.5,
+        1 - 2 * y * n2 / n1 if n1 else 0.0,
+        2 - 3 * y * n3 / n2 if n2 else 0.0,
+        3 - 4 * y * n4 / n3 if n3 else 0.0,
+    ]
+    return [
+        d if 0 < d < k else default
+        for k, (d, default) in enumerate(zip(raw, DEFAULT_DISCOUNTS), 1)
     ]
-    return [min(max(d, 0.0), float(k)) for k, d in enumerate(raw, 1)]
 
 
 class KneserNey:

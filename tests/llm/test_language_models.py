@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter, defaultdict
 
@@ -101,12 +102,11 @@ class PlainKneserNey:
                 counts = Counter(g[1:] for g in counts)
             of = Counter(counts.values())
             y = of[1] / (of[1] + 2 * of[2]) if of[1] else 0.0
-            d = [
-                1 - 2 * y * of[2] / of[1] if of[1] else 0.5,
-                2 - 3 * y * of[3] / of[2] if of[2] else 1.0,
-                3 - 4 * y * of[4] / of[3] if of[3] else 1.5,
-            ]
-            d = [min(max(x, 0.0), k) for k, x in enumerate(d, 1)]
+            d = [0.5, 1.0, 1.5]
+            for k in (1, 2, 3):
+                estimate = k - (k + 1) * y * of[k + 1] / of[k] if of[k] else 0
+                if 0 < estimate < k:
+                    d[k - 1] = estimate
             total, left = Counter(), defaultdict(float)
             for g, c in counts.items():
                 total[g[:-1]] += c
@@ -152,6 +152,31 @@ def test_perplexity_matches_plain_model(spark, judged_docs, monkeypatch):
         assert abs(sum(model.chance(context + x) for x in letters) - 1) < 1e-9
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "aaabaaabaaabxaaabqqqqqqq",  # raw discounts that are not positive
+        "abcdefgh",  # all occur once: no counts of two
+        "ababababab cdcdcdcdcd " * 4,  # raw discounts below zero at two and three
+        "z",
+    ],
+)
+def test_every_probability_is_positive(spark, make_docs, monkeypatch, text):
+    ids = iter(i for i in range(100) if hashlib.md5(str(i).encode()).hexdigest()[0] >= kneser_ney.HELD_OUT_BELOW)
+    docs = make_docs([(next(ids), text), (next(ids), "unseen: " + text[::-1] + "\u4e2d")]).select("doc_id", "text", "lang")
+    trusted = docs.filter(F.col("text") == text).select("doc_id")
+    model = PlainKneserNey([text])
+    rows = kneser_ney.perplexities(docs, trusted).collect()
+    assert len(rows) == 2 and all(math.isfinite(r.loss) for r in rows)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert np.allclose([r.loss for r in rows], [model.loss(texts[r.doc_id]) for r in rows])
+    letters = [*model.tables[1][0], "\u4e2d"]
+    contexts = {g[:-1] for n in range(1, 5) for g in model.tables[n][0]}
+    for context in contexts:
+        chances = [model.chance((context + x).rjust(4, "\u4e2e")) for x in letters]
+        assert min(chances) > 0 and sum(chances) == pytest.approx(1)
+
+
 def test_grams_of_any_alphabet():
     everything = "".join(chr(c) for c in range(0x20, 0x20000) if not 0xD800 <= c < 0xE000)
     for texts in (["abab", "", "😀é", "a"], [everything, "abc" + everything[-50:]]):

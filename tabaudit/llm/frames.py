@@ -37,9 +37,12 @@ def unused(name: str, columns: list[str]) -> str:
 
 
 def broadcast_if_few(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df``, to be broadcast if a count finds at most ``rows`` rows; else to be hashed by shuffle."""
+    """``df``, to be broadcast if a count finds at most ``rows`` rows; else joined as the planner sees fit.
+
+    Beyond the bound that is a sort-merge join, which spills and whose hot keys are split.
+    """
     few = df.limit(rows + 1).count() <= rows
-    return F.broadcast(df) if few else df.hint("shuffle_hash")
+    return F.broadcast(df) if few else df
 
 
 def marked(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", flag: str = "trusted") -> DataFrame:

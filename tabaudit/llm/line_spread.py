@@ -91,8 +91,12 @@ def remove_lines(
         .groupBy("_id", "_text")
         .agg(F.collect_set("_pos").alias("_hits"))
         .withColumnsRenamed({"_id": "_hit_id", "_text": "_hit_text"})
-        .hint("shuffle_hash")
     )
+    # Few documents have such lines, as a rule: their positions go to the texts, not the texts to them.
+    hits = materialize(hits, "hits")
+    size = hits.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("_hits")).alias("lines")).first()
+    if size["rows"] <= frames.BROADCAST_ROWS and (size["lines"] or 0) <= 4 * frames.BROADCAST_ROWS:
+        hits = F.broadcast(hits)
     same = (F.col("_id").eqNullSafe(F.col("_hit_id"))) & (F.col("_text") == F.col("_hit_text"))
     joined = rows.select("_row", *key).join(hits, same, "left")
     kept = F.array_join(

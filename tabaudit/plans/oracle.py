@@ -23,6 +23,35 @@ SELECT o_orderkey AS row_id, o_custkey AS custkey, o_orderstatus AS sex, o_order
        o_totalprice / 500000 AS y_proba
 FROM orders"""
 
+BINNED_NAMES = ("price_bin", "priority", "status", "key_mod")
+
+BINNED = f"""
+SELECT o_orderkey AS row_id, floor(o_totalprice / 10000) AS price_bin,
+       CAST(o_orderpriority[1:1] AS DOUBLE) AS priority,
+       CASE o_orderstatus WHEN 'F' THEN 0.0::DOUBLE WHEN 'O' THEN 1.0 ELSE 2.0 END AS status,
+       CAST(o_orderkey % 7 AS DOUBLE) AS key_mod, {COSTLY} AS label
+FROM orders"""
+
+# One row per order and feature, with the order's place in the split.
+BINNED_ROWS = f"""
+long_rows AS (
+  SELECT row_id, placed.label AS label, part, fold, unnest(range({len(BINNED_NAMES)}))::INTEGER AS feature,
+         unnest([{', '.join(BINNED_NAMES)}]) AS value
+  FROM ({BINNED}) AS b JOIN placed USING (row_id))"""
+
+# Scores of called(model, part, fold, label, yes), and their mean and deviation over folds.
+FOLD_SCORES = """
+hits AS (SELECT model, part, fold, count(*) FILTER (yes AND label = 1)::DOUBLE AS tp,
+                count(*) FILTER (yes AND label = 0)::DOUBLE AS fp,
+                count(*) FILTER (NOT yes AND label = 1)::DOUBLE AS fn,
+                count(*) FILTER (NOT yes AND label = 0)::DOUBLE AS tn FROM called GROUP BY ALL),
+f1s AS (SELECT model, part, (tp + tn) / (tp + tn + fp + fn) AS accuracy,
+               (2 * tp / (2 * tp + fp + fn) + 2 * tn / (2 * tn + fp + fn)) / 2 AS f1 FROM hits),
+ranked AS (SELECT model, avg(f1) FILTER (part = 'train') AS f1_cv,
+                  stddev_pop(f1) FILTER (part = 'train') AS f1_cv_std,
+                  max(f1) FILTER (part = 'test') AS f1_test,
+                  max(accuracy) FILTER (part = 'test') AS accuracy FROM f1s GROUP BY model)"""
+
 AGE_GROUP = """CASE WHEN age > 0 AND age <= 25 THEN '<25' WHEN age > 25 AND age <= 35 THEN '25-35'
      WHEN age > 35 AND age <= 45 THEN '35-45' WHEN age > 45 AND age <= 55 THEN '45-55'
      WHEN age > 55 AND age <= 100 THEN '>55' END"""
@@ -152,6 +181,23 @@ placed AS (SELECT row_id, hashed.label AS label,
            FROM hashed JOIN quotas ON hashed.label = quotas.label)"""
 
 
+def best_cuts(name: str, rows: str) -> str:
+    """CTEs to ``name``: the cut of ``rows(grp, feature, value, label)`` that explains most, per group."""
+    return f"""
+{name}_counts AS (SELECT grp, feature, value, count(*) AS n, sum(2 * label - 1) AS s FROM {rows} GROUP BY ALL),
+{name}_cuts AS (
+  SELECT grp, feature, (value + lead(value) OVER o) / 2 AS threshold,
+         sum(n) OVER o AS nl, sum(s) OVER o AS sl, sum(n) OVER p AS n, sum(s) OVER p AS s
+  FROM {name}_counts
+  WINDOW o AS (PARTITION BY grp, feature ORDER BY value), p AS (PARTITION BY grp, feature)),
+{name} AS (
+  SELECT grp, feature, threshold, {big('nl')} AS n_left, {big('n - nl')} AS n_right,
+         sl / nl::DOUBLE AS left_value, (s - sl) / (n - nl)::DOUBLE AS right_value,
+         (sl * sl / nl::DOUBLE + (s - sl) * (s - sl) / (n - nl)::DOUBLE - s * s / n::DOUBLE) / n AS gain
+  FROM {name}_cuts WHERE threshold IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY grp ORDER BY gain DESC, feature, threshold) = 1)"""
+
+
 def summary_of(table: str, cols: list[str], section: bool = False) -> str:
     parts = []
     for c in cols:
@@ -652,7 +698,6 @@ SELECT y_true, y_pred, n, n AS n_rows FROM ({sql['confusion_matrix']}) AS c"""
     test = f"WITH {split_of(finished)}, t AS (SELECT row_id, label FROM placed WHERE part = 'test')"
     sql["gbt_scored"] = f"""{test}
 SELECT row_id, label, label AS y_pred, label = 1 AS likely FROM t"""
-    sql["model_state_roundtrip"] = f"{test}\nSELECT row_id, label, label AS y_pred FROM t"
     sql["gbt_scored_noisy"] = f"""
 WITH {split_of(f'SELECT row_id, label FROM ({FEATURES}) AS f')}
 SELECT row_id, label, true AS agrees FROM placed WHERE part = 'test'"""
@@ -661,8 +706,91 @@ SELECT row_id, label, true AS agrees FROM placed WHERE part = 'test'"""
 SELECT count(*) FILTER (label = 0) AS tn, 0::BIGINT AS fp, 0::BIGINT AS fn,
        count(*) FILTER (label = 1) AS tp, {one} AS accuracy, {one} AS f1_macro, {one} AS f1_binary,
        {one} AS auc FROM t"""
-    sql["gbt_cv_macro_f1"] = f"SELECT {one} AS f1_cv, 0.0::DOUBLE AS f1_cv_std, {one} AS f1_test"
+    # Digests of the canonical text of a row: every field with its length, null as a dash.
+    fields = " || ".join(
+        f"coalesce(length({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')"
+        for c in ("seg_raw", "label_raw", "c_nationkey")
+    )
+    keyless = f"""
+SELECT d || '-' || (row_number() OVER (PARTITION BY d) - 1) AS row_id, label_raw AS label, seg_raw, c_nationkey
+FROM (SELECT *, sha256({fields}) AS d FROM ({DIRTY}) AS x) AS y"""
+    sql["ingest_content_key"] = f"""
+WITH keyless AS MATERIALIZED ({keyless}), {split_of('SELECT row_id, label FROM keyless')}
+SELECT row_id, seg_raw, c_nationkey, placed.label AS label_raw, part
+FROM placed JOIN keyless USING (row_id)"""
+    binned = f"{split_of(f'SELECT row_id, label FROM ({BINNED}) AS b')},\n{BINNED_ROWS}"
+    sql["gbt_root_split"] = f"""
+WITH {binned},
+train AS (SELECT 0 AS grp, feature, value, label FROM long_rows WHERE part = 'train'),
+{best_cuts('root', 'train')}
+SELECT feature, {rnd('threshold')} AS threshold, {rnd('gain')} AS gain,
+       {rnd('left_value')} AS left_value, n_left, {rnd('right_value')} AS right_value, n_right,
+       feature AS best_feature, {rnd('threshold')} AS best_threshold, {rnd('gain')} AS best_gain,
+       {rnd('left_value')} AS best_left_value, n_left AS best_n_left,
+       {rnd('right_value')} AS best_right_value, n_right AS best_n_right
+FROM root"""
+    # Group -1 is fitted on all training rows and scores the test part.
+    stumps = f"""{binned},
+train AS (SELECT grp, feature, value, label FROM long_rows, (SELECT unnest(range(-1, 5)) AS grp) AS g
+          WHERE part = 'train' AND fold <> grp),
+{best_cuts('root', 'train')},
+predicted AS (
+  SELECT row_id, part, label, coalesce(fold, -1) AS fold,
+         CASE WHEN value <= threshold THEN left_value ELSE right_value END AS margin
+  FROM long_rows JOIN root ON root.grp = coalesce(fold, -1) AND root.feature = long_rows.feature)"""
+    sql["gbt_predictions"] = f"""
+WITH {stumps}
+SELECT row_id, part, label, CAST(fold AS INTEGER) AS fold, CAST(margin > 0 AS INTEGER) AS y_pred,
+       {rnd('1 / (1 + exp(-2 * margin))')} AS y_proba FROM predicted"""
+    sql["gbt_cv_macro_f1"] = f"""
+WITH {stumps},
+called AS (SELECT 'stump' AS model, part, fold, label, margin > 0 AS yes FROM predicted),
+{FOLD_SCORES}
+SELECT {rnd('f1_cv')} AS f1_cv, {rnd('f1_cv_std')} AS f1_cv_std, {rnd('f1_test')} AS f1_test FROM ranked"""
+    observed = "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS feature, count(*) AS n, {rnd(f'avg(label * {x})')} AS observed,"
+        f" {rnd(f'avg(label * {x})')} AS fitted FROM t"
+        for name, x in [("intercept", "1.0::DOUBLE"), *[(c, c) for c in BINNED_NAMES]]
+    )
+    sql["model_state_roundtrip"] = f"""
+WITH {split_of(f'SELECT row_id, label FROM ({BINNED}) AS b')},
+t AS (SELECT b.* FROM ({BINNED}) AS b JOIN placed USING (row_id) WHERE part = 'train')
+{observed}"""
     sql["model_ranking"] = f"""
-SELECT unnest(['GradientBoosting', 'LogisticRegression', 'RandomForest']) AS model,
-       {one} AS f1_cv, 0.0::DOUBLE AS f1_cv_std, {one} AS f1_test, {one} AS accuracy"""
+WITH RECURSIVE {binned},
+train AS (SELECT grp, feature, value, label FROM long_rows, (SELECT unnest(range(-1, 5)) AS grp) AS g
+          WHERE part = 'train' AND fold <> grp AND feature = 0),
+scored_rows AS (SELECT coalesce(fold, -1) AS grp, part, label, value FROM long_rows WHERE feature = 0),
+{best_cuts('root', 'train')},
+sides AS (SELECT t.grp * 2 + CAST(value > threshold AS INTEGER) AS grp, t.feature, value, label
+          FROM train AS t JOIN root ON root.grp = t.grp),
+{best_cuts('branch', 'sides')},
+-- Newton steps on the counts of rows and labels per value.
+counts AS (SELECT grp, value AS x, count(*)::DOUBLE AS n, sum(label)::DOUBLE AS k FROM train GROUP BY ALL),
+newton AS (
+  SELECT -1 + i AS grp, 0 AS step, 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1 FROM (SELECT unnest(range(6)) AS i) AS f
+  UNION ALL
+  SELECT grp, step + 1, b0 + (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01),
+         b1 + (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01)
+  FROM (SELECT grp, step, b0, b1, sum(k - n * p) AS g0, sum((k - n * p) * x) AS g1,
+               sum(n * p * (1 - p)) AS h00, sum(n * p * (1 - p) * x) AS h01,
+               sum(n * p * (1 - p) * x * x) AS h11
+        FROM (SELECT newton.*, x, n, k, 1 / (1 + exp(-(b0 + b1 * x))) AS p
+              FROM newton JOIN counts USING (grp) WHERE step < 25) AS q
+        GROUP BY grp, step, b0, b1) AS sums),
+called AS (
+  SELECT 'RandomForest' AS model, part, s.grp AS fold, label,
+         CASE WHEN value <= threshold THEN left_value ELSE right_value END > 0 AS yes
+  FROM scored_rows AS s JOIN root USING (grp)
+  UNION ALL
+  SELECT 'GradientBoosting', part, s.grp, label,
+         1 / (1 + exp(-2 * CASE WHEN value <= b.threshold THEN b.left_value ELSE b.right_value END)) > 0.8
+  FROM scored_rows AS s JOIN root AS r USING (grp)
+  JOIN branch AS b ON b.grp = s.grp * 2 + CAST(value > r.threshold AS INTEGER)
+  UNION ALL
+  SELECT 'LogisticRegression', part, s.grp, label, b0 + b1 * value > 0
+  FROM scored_rows AS s JOIN newton USING (grp) WHERE step = 25),
+{FOLD_SCORES}
+SELECT model, {rnd('f1_cv')} AS f1_cv, {rnd('f1_cv_std')} AS f1_cv_std, {rnd('f1_test')} AS f1_test,
+       {rnd('accuracy')} AS accuracy FROM ranked"""
     return sql

@@ -23,7 +23,7 @@ from tabaudit.operators.cleaning import (
     quoted,
     string_columns,
 )
-from tabaudit.operators.diagnostics import CONSISTENCY_GAP, cv_test_consistency, overfit_gap
+from tabaudit.operators.diagnostics import CONSISTENCY_GAP, overfit_gap
 from tabaudit.operators.encode import Preprocessor, fit_preprocessor
 from tabaudit.operators.split import fit_split
 from tabaudit.plans import census
@@ -61,6 +61,10 @@ class Paths:
     def model(self) -> str:
         return f"{self.root}/models/model"
 
+    @property
+    def out_of_fold(self) -> str:
+        return f"{self.artifacts}/out_of_fold"
+
     @property
     def runs(self) -> str:
         return f"{self.root}/runs"
@@ -278,19 +282,30 @@ def train(
     paths: Paths | None = None,
     folds: int = models.DEFAULT_FOLDS,
 ) -> dict:
-    """Cross-validate and fit on the training part, test, log, save."""
+    """Cross-validate and fit on the training part, test, log, save.
+
+    The cross-validated predictions, one per training row, are stored too.
+    """
     spark = design.sparkSession
     params = {**models.DEFAULT_PARAMS, **(params or {})}
     training = design.filter("part = 'train'")
-    fitted = models.cross_validate(training, features, models.boosted_trees(params), folds)
+    keep = [c for c in (ROW_ID,) if c in design.columns]
+    fitted = models.cross_validate(
+        training, features, models.boosted_trees(params), folds, keep=keep
+    )
     held_out = models.score(fitted.model, design.filter("part = 'test'"), [models.LABEL])
     scores = {
         "f1_cv": fitted.f1_cv,
         "f1_cv_std": fitted.f1_cv_std,
         "f1_test": metrics.overall_metrics(held_out, models.LABEL).first()["f1_macro"],
     }
-    out: dict = {"model": fitted.model, "metrics": {**scores, "params": params}}
+    out: dict = {
+        "model": fitted.model,
+        "metrics": {**scores, "params": params},
+        "out_of_fold": fitted.out_of_fold,
+    }
     if paths is not None:
+        fitted.out_of_fold.write.mode("overwrite").parquet(paths.out_of_fold)
         out["model_path"] = state.save_model(fitted.model, paths.model)
         out["metrics_path"] = reports.write_document(
             spark, out["metrics"], f"{paths.artifacts}/metrics.json"
@@ -387,7 +402,13 @@ def validate_stage(
 def overfitting_stage(
     spark: SparkSession, paths: Paths, layout: Layout = CENSUS, f1_cv: float | None = None
 ) -> dict:
-    """Score the raw tables with the stored model and check train against test."""
+    """Score the raw tables with the stored model and check train against test.
+
+    Unless it is given, the cross-validated score comes from the stored out-of-fold
+    predictions; without them there is nothing to compare with, and the stage fails.
+    """
+    if f1_cv is None:
+        f1_cv, _ = models.cv_scores(state.load_out_of_fold(spark, paths.out_of_fold))
     model = state.load_model(paths.model)
     preprocessor = state.load_preprocessor(spark, f"{paths.artifacts}/preprocessor")
     design = design_table(*_load(spark, paths, layout), preprocessor, layout)
@@ -425,21 +446,23 @@ def train_stage(
     return train(design, preprocessor.feature_cols, params, paths=paths)
 
 
-def check_overfitting(scored: DataFrame, f1_cv: float | None = None) -> dict:
-    """Train-test gaps with their verdict, and cross-validation against test."""
-    out = {"gap": overfit_gap(scored).first().asDict()}
-    if f1_cv is None:
-        out["cv"] = cv_test_consistency(scored).first().asDict()
-    else:
-        test = metrics.overall_metrics(scored.filter("part = 'test'")).first()
-        diff = abs(f1_cv - test["f1_macro"])
-        out["cv"] = {
+def check_overfitting(scored: DataFrame, f1_cv: float) -> dict:
+    """Train-test gaps with their verdict, and cross-validation against test.
+
+    ``f1_cv`` has to come from predictions out of fold: those of the final model on the
+    rows it was fitted on say nothing about rows it has not seen.
+    """
+    test = metrics.overall_metrics(scored.filter("part = 'test'")).first()
+    diff = abs(f1_cv - test["f1_macro"])
+    return {
+        "gap": overfit_gap(scored).first().asDict(),
+        "cv": {
             "f1_cv": f1_cv,
             "macro_diff": diff,
             "binary_diff": abs(f1_cv - test["f1_binary"]),
             "verdict": "check" if diff > CONSISTENCY_GAP else "consistent",
-        }
-    return out
+        },
+    }
 
 
 def run_all(

@@ -123,3 +123,19 @@ def order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
             _is_costly().alias("label"),
         )
     )
+
+
+BINNED_FEATURES = ["price_bin", "priority", "status", "key_mod"]
+
+
+def binned_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with the noisy label and features of few values, so that every cut can be listed."""
+    status = F.col("o_orderstatus")
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("row_id"),
+        F.floor(F.col("o_totalprice") / 10000).cast("double").alias("price_bin"),
+        F.substring("o_orderpriority", 1, 1).cast("double").alias("priority"),
+        F.when(status == "F", 0.0).when(status == "O", 1.0).otherwise(2.0).alias("status"),
+        (F.col("o_orderkey") % 7).cast("double").alias("key_mod"),
+        _is_costly().alias("label"),
+    )

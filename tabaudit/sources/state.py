@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import Model, PipelineModel
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from py4j.protocol import Py4JJavaError
 
 from tabaudit.operators.encode import SCALER_SCHEMA, Preprocessor, build_preprocessor
@@ -56,3 +56,11 @@ def load_model(path: str) -> PipelineModel:
         return PipelineModel.load(path)
     except (Py4JJavaError, AnalysisException) as error:
         raise FileNotFoundError(f"no model at {path}") from error
+
+
+def load_out_of_fold(spark: SparkSession, path: str) -> DataFrame:
+    """The cross-validated predictions that training stored."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        raise FileNotFoundError(f"no out-of-fold predictions at {path}") from error

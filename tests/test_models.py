@@ -82,7 +82,25 @@ def test_overfitting_check(run, scored):
     assert check["cv"]["verdict"] == ("check" if gap > 0.05 else "consistent")
     rows = [(1, 1, "train", 0), (0, 0, "train", 1), (1, 1, "test", None), (0, 0, "test", None)]
     perfect = scored(rows, "y_true int, y_pred int, part string, fold int")
-    assert stages.check_overfitting(perfect)["cv"]["f1_cv"] == 1.0
+    # The final model's own training score is no cross-validation, so a score has to be given.
+    assert stages.check_overfitting(perfect, 0.5)["cv"]["macro_diff"] == 0.5
+    with pytest.raises(TypeError):
+        stages.check_overfitting(perfect)
+
+
+def test_overfitting_check_alone_gives_the_same(run, spark, tmp_path):
+    root, out = run
+    assert stages.overfitting_stage(spark, stages.Paths(root)) == out["overfitting"]
+    with pytest.raises(FileNotFoundError, match="out-of-fold"):
+        stages.overfitting_stage(spark, stages.Paths(str(tmp_path)))
+
+
+def test_stored_out_of_fold_predictions(run, spark):
+    root, out = run
+    stored = spark.read.parquet(stages.Paths(root).out_of_fold)
+    assert sorted(stored.collect()) == sorted(out["train"]["out_of_fold"].collect())
+    assert stored.count() == 80 and stored.select("row_id").distinct().count() == 80
+    assert models.cv_scores(stored) == (out["train"]["metrics"]["f1_cv"], out["train"]["metrics"]["f1_cv_std"])
 
 
 def test_fit_scopes(run, spark):

@@ -6,9 +6,9 @@ import logging
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from tabaudit.functions.values import present
+from tabaudit.functions.values import present, row_digest
 from tabaudit.operators.cleaning import quoted, replace_columns
 from tabaudit.operators.profile import class_distribution
 from tabaudit.session import materialize
@@ -115,10 +115,57 @@ def write_table(df: DataFrame, base: str) -> list[str]:
 
 
 def with_row_id(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Add ``row_id``: the business key, else an id fixed by writing the table once."""
+    """Add ``row_id``: the business key, else one that follows from the row's content alone."""
     if key is not None:
         return df.withColumn(ROW_ID, quoted(key))
-    return materialize(df.withColumn(ROW_ID, F.monotonically_increasing_id()), "row_ids")
+    return with_content_id(df, ROW_ID)
+
+
+def with_content_id(df: DataFrame, out: str) -> DataFrame:
+    """Add a text id: the 256-bit digest of the row, and its number among equal rows.
+
+    The same rows get the same ids however they are stored and dealt out; which of
+    several equal rows has which number is of no matter. Only rows that occur more than
+    once are numbered, each input partition for itself and from where the partitions before
+    it end, so that a row that fills a third of the table is numbered by many tasks.
+    """
+    columns = df.columns
+    digest, part, number = (_unused(n, columns) for n in ("_digest", "_part", "_number"))
+    placed = materialize(
+        df.withColumns(
+            {digest: F.lower(F.hex(row_digest(df.schema, columns))), part: F.spark_partition_id()}
+        ),
+        "digests",
+    )
+    parts = placed.groupBy(digest, part).agg(F.count(F.lit(1)).alias("n"))
+    whole = Window.partitionBy(digest)
+    earlier = whole.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(
+        F.col(digest).alias("_d"),
+        F.col(part).alias("_p"),
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("n").over(whole).alias("_all"),
+    )
+    repeated = materialize(parts.filter("_all > 1"), "repeated-rows").drop("_all")
+    joined = placed.join(repeated, (F.col(digest) == F.col("_d")) & (F.col(part) == F.col("_p")), "left")
+    joined = joined.withColumn(number, F.col("_before")).drop("_d", "_p", "_before")
+    lone = joined.filter(F.col(number).isNull()).withColumn(number, F.lit(0).cast("long"))
+    # Any order does: the rows of a window are equal.
+    within = Window.partitionBy(digest, part).orderBy(digest)
+    copies = joined.filter(F.col(number).isNotNull()).withColumn(
+        number, F.col(number) + F.row_number().over(within) - 1
+    )
+    named = lone.unionByName(copies).select(
+        *map(quoted, columns), F.concat(digest, F.lit("-"), F.col(number).cast("string")).alias(out)
+    )
+    # Feature and target tables are read from one and the same numbering.
+    return materialize(named, "content-ids")
+
+
+def _unused(name: str, columns: Sequence[str]) -> str:
+    while name.lower() in {c.lower() for c in columns}:
+        name = "_" + name
+    return name
 
 
 def split_source(

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from tabaudit.plans import census
 from tabaudit.session import materialize, scratch_path
+from tabaudit.operators.split import stratified_split
 from tabaudit.sources import reports, tables
 
 SCHEMA = "id long, t string, v double"
@@ -133,3 +134,33 @@ def test_scratch_follows_the_session(spark):
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a.startswith(base) and a != b
     assert materialize(spark.range(3)).count() == 3
+
+
+def test_content_ids_do_not_depend_on_partitions(spark):
+    hot = spark.range(100_000).select(F.lit("hot").alias("f"), F.lit(None).cast("double").alias("x"), F.lit("p").alias("y"))
+    other = spark.range(500).select(
+        (F.col("id") % 150).cast("string").alias("f"), (F.col("id") % 3 / 4).alias("x"), (F.col("id") % 2).cast("string").alias("y")
+    )
+    rows = tables.materialize(hot.unionByName(other), "rows")
+    seen = set()
+    for n in (1, 8, 200):
+        dealt = rows.repartition(n) if n > 1 else rows.coalesce(1)
+        features, target = tables.split_source(dealt, ["f", "x"], "y")
+        ids = features.select(tables.ROW_ID)
+        assert ids.count() == ids.distinct().count() == 100_500
+        placed = stratified_split(target, "y", tables.ROW_ID)
+        joined = features.join(placed, tables.ROW_ID)
+        sums = joined.agg(
+            F.count(F.lit(1)), F.sum(F.xxhash64("row_id", "f", "x", "y", "part").cast("decimal(38,0)"))
+        ).first()
+        seen.add(tuple(sums))
+    assert len(seen) == 1 and next(iter(seen))[0] == 100_500
+
+
+def test_content_ids_of_odd_tables(spark):
+    rows = [(1, "a", None), (1, "a", None), (2, None, 0.0), (2, None, -0.0)]
+    df = spark.createDataFrame(rows, "_part int, `a.b` string, _digest double")
+    got = tables.with_content_id(df, "id")
+    assert got.columns == ["_part", "a.b", "_digest", "id"]
+    assert sorted(r.id.split("-")[1] for r in got.collect()) == ["0", "0", "1", "1"]
+    assert tables.with_content_id(df.limit(0), "id").count() == 0

@@ -6,9 +6,11 @@ from collections.abc import Sequence
 from functools import reduce
 from itertools import combinations_with_replacement
 
+import numpy as np
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
-from pyspark.sql import Column, DataFrame, Row, Window, functions as F
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabaudit.functions.values import present, row_digest
 from tabaudit.operators.cleaning import numeric_columns, quoted, string_columns
@@ -268,31 +270,34 @@ def _count_texts(df: DataFrame, name: str, least: int) -> DataFrame:
     )
 
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+# Up to so many columns, one aggregate per pair; beyond, matrix products.
+PAIR_COLUMNS = 12
+# Columns of a block: products of two blocks at a time stay small in every task.
+BLOCK_COLUMNS = 256
+# A variance of standardised values below this share of their mean square is rounding.
+_CONSTANT = 1e-12
+
+
+def correlation_matrix(
+    df: DataFrame, columns: Sequence[str] | None = None, pair_columns: int = PAIR_COLUMNS
+) -> DataFrame:
     """(col_a, col_b, r): Pearson r of every ordered pair.
 
-    Only rows where both values are present count. A constant column has no r.
-    Columns without missing values are standardised and multiplied as vectors, so
-    the plan does not grow with their number; other pairs take an aggregate each.
+    Only rows where both values are present count. A constant column has no r. A few
+    columns take one aggregate per pair. Beyond ``pair_columns``, what is needed of every pair
+    comes from products of three matrices: presence, standardised values (0 where missing)
+    and their squares. They are added up per task and merged in a tree, block by block of
+    columns, so plan and task do not grow with the number of pairs.
     """
     names = list(columns or numeric_columns(df))
     if not names:
         return df.sparkSession.createDataFrame([], "col_a string, col_b string, r double")
     values = [value_column(df, c) for c in names]
-    # Without nulls a column has one deviation, not one per partner.
-    row = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.count(v).alias(f"n{i}") for i, v in enumerate(values)],
-        *[F.avg(v).alias(f"m{i}") for i, v in enumerate(values)],
-        *[F.stddev_pop(v).alias(f"s{i}") for i, v in enumerate(values)],
-    ).first()
-    full = [row[f"n{i}"] == row["n"] for i in range(len(names))]
-    if all(full) and row["n"] > 1:
-        return _vector_correlation(df, names, values, row)
+    if len(names) > pair_columns:
+        return _gram_correlation(df, names, values)
 
     def deviation(own: int, partner: int) -> Column:
-        v = values[own]
-        return F.stddev_pop(v if full[partner] else F.when(values[partner].isNotNull(), v))
+        return F.stddev_pop(F.when(values[partner].isNotNull(), values[own]))
 
     aggs = []
     for i, j in combinations_with_replacement(range(len(names)), 2):
@@ -313,28 +318,48 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     )
 
 
-def _vector_correlation(
-    df: DataFrame, names: list[str], values: list[Column], row: Row
+def _gram_correlation(
+    df: DataFrame, names: list[str], values: list[Column]
 ) -> DataFrame:
-    """Correlation of complete columns; ``row`` has their means and deviations."""
-    varied = [i for i in range(len(names)) if row[f"s{i}"] > 0]
-    found: dict[tuple[int, int], float] = {}
-    if varied:
-        standard = [((values[i] - row[f"m{i}"]) / row[f"s{i}"]).alias(f"v{i}") for i in varied]
-        vectors = VectorAssembler(inputCols=[f"v{i}" for i in varied], outputCol="v").transform(
-            df.select(*standard)
-        )
-        # One number per pair of columns.
-        matrix = Correlation.corr(vectors, "v").first()[0].toArray()
-        found = {
-            (i, j): float(matrix[a, b]) for a, i in enumerate(varied) for b, j in enumerate(varied)
-        }
+    """Pairwise-complete correlations from Gram matrices of pairs of column blocks."""
+    row = df.agg(
+        *[F.avg(v).alias(f"m{i}") for i, v in enumerate(values)],
+        *[F.stddev_pop(v).alias(f"s{i}") for i, v in enumerate(values)],
+    ).first()
+    varied = [i for i in range(len(names)) if row[f"s{i}"]]
+    blocks = [varied[k : k + BLOCK_COLUMNS] for k in range(0, len(varied), BLOCK_COLUMNS)]
+    # One number per pair of columns.
+    r = np.full((len(names), len(names)), np.nan)
+    for a, b in combinations_with_replacement(range(len(blocks)), 2):
+        chosen = sorted({*blocks[a], *blocks[b]})
+        r[np.ix_(chosen, chosen)] = _pairwise(df, [values[i] for i in chosen], [(row[f"m{i}"], row[f"s{i}"]) for i in chosen])
     rows = [
-        (a, b, found.get((i, j))) for i, a in enumerate(names) for j, b in enumerate(names)
+        (a, b, None if np.isnan(r[i, j]) else float(r[i, j]))
+        for i, a in enumerate(names)
+        for j, b in enumerate(names)
     ]
     return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double")
 
 
+def _pairwise(df: DataFrame, values: list[Column], scales: list[tuple[float, float]]) -> np.ndarray:
+    """r of every pair of ``values``; NaN where one of both is constant among the rows that have both."""
+    k, zero = len(values), F.lit(0.0)
+    standard = [(v - F.lit(m)) / F.lit(s) for v, (m, s) in zip(values, scales)]
+    z = [F.coalesce(x, zero).alias(f"z{i}") for i, x in enumerate(standard)]
+    here = [v.isNotNull().cast("double").alias(f"h{i}") for i, v in enumerate(values)]
+    rows = df.select(*here, *z).select("*", *[(F.col(f"z{i}") * F.col(f"z{i}")).alias(f"q{i}") for i in range(k)])
+    parts = [f"{kind}{i}" for kind in "hzq" for i in range(k)]
+    vectors = VectorAssembler(inputCols=parts, outputCol="v").transform(rows).select("v")
+    gram = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "v")).computeGramianMatrix().toArray()
+    # Sums over the rows that have both: their number, z and z squared of the first, and the product.
+    n, s, q, p = gram[:k, :k], gram[k : 2 * k, :k], gram[2 * k :, :k], gram[k : 2 * k, k : 2 * k]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        mean, square = s / n, q / n
+        variance = square - mean * mean
+        variance = np.where(variance > _CONSTANT * square, variance, np.nan)
+        return (p / n - mean * mean.T) / np.sqrt(variance * variance.T)
+
+
 def class_distribution(df: DataFrame, column: str) -> DataFrame:
     """(label, n, pct): rows per class and share of all rows in percent."""
     counted = df.groupBy(quoted(column).alias("label")).agg(F.count(F.lit(1)).alias("n"))

@@ -270,6 +270,12 @@ def correlation_matrix(spark, sf_dir):
     )
 
 
+@query
+def correlation_matrix_wide(spark, sf_dir):
+    """Thirty columns with missing values, from products of matrices."""
+    return rounded(profile.correlation_matrix(views.gappy_lines(spark, sf_dir)))
+
+
 @query
 def validation_report_long(spark, sf_dir):
     customers = views.dirty_customers(spark, sf_dir)

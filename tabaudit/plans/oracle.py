@@ -458,6 +458,19 @@ FROM d GROUP BY label"""
             for b in CORR_COLS
         ]
     )
+    kinds = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
+    key = "(l_orderkey + l_linenumber)"
+    gappy = ", ".join(
+        f"CASE WHEN {key} % {k + 2} <> 0 THEN {kinds[k % 5]} * (1 + {key} % {k // 5 + 1}) END AS x{k}"
+        for k in range(30)
+    )
+    pairs = [(a, b) for a in range(30) for b in range(30)]
+    sql["correlation_matrix_wide"] = f"""
+WITH g AS (SELECT {gappy} FROM lineitem),
+r AS (SELECT unnest([{', '.join(f"'x{a}'" for a, _ in pairs)}]) AS col_a,
+             unnest([{', '.join(f"'x{b}'" for _, b in pairs)}]) AS col_b,
+             unnest([{', '.join(f"corr(x{a}, x{b})" for a, b in pairs)}]) AS r FROM g)
+SELECT col_a, col_b, {rnd('r')} AS r FROM r"""
     sql["validation_report_long"] = report_rows()
 
     declared = [

@@ -139,3 +139,15 @@ def binned_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("o_orderkey") % 7).cast("double").alias("key_mod"),
         _is_costly().alias("label"),
     )
+
+
+def gappy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items in 30 numeric columns, each missing in other rows."""
+    key = F.col("l_orderkey") + F.col("l_linenumber")
+    kinds = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
+    return table(spark, sf_dir, "lineitem").select(
+        *[
+            F.when(key % (k + 2) != 0, F.col(kinds[k % 5]) * (1 + key % (k // 5 + 1))).alias(f"x{k}")
+            for k in range(30)
+        ]
+    )

@@ -3,6 +3,7 @@ import random
 import statistics
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,10 +106,12 @@ def test_long_texts_rank_like_short_ones(spark, k, ties):
     assert profile.top_values(df.limit(0), k).count() == 0
 
 
-def test_correlation_handles_constants_and_nulls(spark):
+@pytest.mark.parametrize("pair_columns", [0, 12])
+def test_correlation_handles_constants_and_nulls(spark, pair_columns):
     rows = [(1.0, 2.0, 7.0, 1.0), (2.0, 4.0, 7.0, None), (3.0, 7.0, 7.0, 2.0), (4.0, 8.0, 7.0, 9.0)]
     df = spark.createDataFrame(rows, "a double, b double, k double, n double")
-    r = {(x["col_a"], x["col_b"]): x["r"] for x in profile.correlation_matrix(df).collect()}
+    matrix = profile.correlation_matrix(df, pair_columns=pair_columns)
+    r = {(x["col_a"], x["col_b"]): x["r"] for x in matrix.collect()}
     assert len(r) == 16
     assert r["a", "b"] == pytest.approx(statistics.correlation([1, 2, 3, 4], [2, 4, 7, 8]))
     assert r["a", "b"] == r["b", "a"]
@@ -135,13 +138,35 @@ def test_hot_value_is_combined_before_the_shuffle(spark):
     assert profile.top_values(df).first()["n"] == 1000
 
 
-def test_correlation_of_complete_columns(spark):
+@pytest.mark.parametrize("pair_columns", [0, 12])
+def test_correlation_of_complete_columns(spark, pair_columns):
     rows = [(float(i), 1e-9 * (i * 7 % 11), 5.0, float(-i)) for i in range(50)]
     df = spark.createDataFrame(rows, "a double, small double, same double, down double")
-    r = {(x["col_a"], x["col_b"]): x["r"] for x in profile.correlation_matrix(df).collect()}
+    matrix = profile.correlation_matrix(df, pair_columns=pair_columns)
+    r = {(x["col_a"], x["col_b"]): x["r"] for x in matrix.collect()}
     a, small = [x[0] for x in rows], [x[1] for x in rows]
     assert r["a", "small"] == pytest.approx(statistics.correlation(a, small))
     assert r["a", "down"] == pytest.approx(-1) and r["small", "small"] == pytest.approx(1)
     assert r["same", "a"] is None and r["same", "same"] is None
-    one = profile.correlation_matrix(df.limit(1)).collect()
+    one = profile.correlation_matrix(df.limit(1), pair_columns=pair_columns).collect()
     assert len(one) == 16 and all(x["r"] is None for x in one)
+
+
+@pytest.mark.parametrize("block", [256, 64])
+def test_wide_correlation_with_missing_values(spark, monkeypatch, block):
+    """200 columns, a third of all values missing: every pair over the rows that have both."""
+    monkeypatch.setattr(profile, "BLOCK_COLUMNS", block)
+    draw = np.random.default_rng(5)
+    table = draw.normal(size=(120, 200)) * 10.0 ** draw.integers(-3, 4, 200) + draw.normal(size=(120, 1))
+    table[draw.random(table.shape) < 0.33] = np.nan
+    table[:, 7] = 3.0
+    table[:, 8] = np.nan
+    names = [f"c{i}" for i in range(200)]
+    df = spark.createDataFrame(pd.DataFrame(table, columns=names))
+    got = profile.correlation_matrix(df).toPandas().pivot(index="col_a", columns="col_b", values="r")
+    want = pd.DataFrame(table, columns=names).corr(min_periods=2)
+    assert np.allclose(got.loc[names, names].to_numpy(), want.to_numpy(), atol=1e-9, equal_nan=True)
+    aggregates = []
+    monkeypatch.setattr(type(df), "agg", lambda self, *a, real=type(df).agg: aggregates.append(len(a)) or real(self, *a))
+    profile.correlation_matrix(df)
+    assert aggregates == [400]

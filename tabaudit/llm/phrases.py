@@ -25,12 +25,12 @@ empty table gives no rows. Extra columns are not read.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabaudit.llm import frames
@@ -67,8 +67,28 @@ _COUNTS = "cell long, gram long, n long"
 _PHRASES = "lang string, phrase string, n_words int, n long"
 
 
+@functools.lru_cache(maxsize=4)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``size`` powers of an odd number, and of its inverse, among 64-bit integers."""
+    step = int(_STEP)
+    both = [np.full(size, x, _U64) for x in (step, pow(step, -1, 1 << 64))]
+    for powers in both:
+        powers[0] = 1
+        np.multiply.accumulate(powers, out=powers)
+    return both[0], both[1]
+
+
+def _hashes(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words between ``bounds``: polynomials of their bytes, from running sums."""
+    powers, inverse = _powers(1 << max(len(data), 1).bit_length())
+    sums = np.zeros(len(data) + 1, _U64)
+    np.cumsum((data + _U64(1)) * powers[: len(data)], out=sums[1:])
+    own = (sums[bounds[1:]] - sums[bounds[:-1]]) * inverse[bounds[:-1]]
+    return words_of.mixed(own + np.diff(bounds).astype(_U64))
+
+
 class Words:
-    """The words of a slice of documents: codes into ``vocabulary``, piece, document."""
+    """The words of a slice of documents: bytes, bounds, hashes, piece and document of each."""
 
     def __init__(self, part: pa.RecordBatch):
         raw = pc.fill_null(part.column("text"), "").cast(pa.large_binary())
@@ -81,28 +101,27 @@ class Words:
         goes_on[1:] = inside[:-1]
         goes_on[offsets[:-1][offsets[:-1] < len(data)]] = False
         starts = np.flatnonzero(inside & ~goes_on)
-        kept = _LOWER[data[inside]]
-        bounds = np.append(np.cumsum(inside)[starts] - 1, len(kept)).astype(np.int64)
-        coded = pa.Array.from_buffers(
-            pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(kept)]
-        ).dictionary_encode()
-        self.vocabulary = coded.dictionary
-        self.codes = coded.indices.to_numpy().astype(np.int64)
+        # Bytes of words alone, and where each word begins among them.
+        self.data = _LOWER[data[inside]]
+        self.bounds = np.append(np.cumsum(inside, dtype=np.int64)[starts] - 1, len(self.data))
         self.doc = np.searchsorted(offsets, starts, "right") - 1
         # Both terms only grow, so a piece differs from all others.
-        self.piece = np.cumsum(ends)[starts] + self.doc
-        hashes = np.fromiter(
-            map(xxhash.xxh3_64_intdigest, self.vocabulary.to_pylist()), _U64, len(self.vocabulary)
-        )
+        self.piece = np.cumsum(ends, dtype=np.int64)[starts] + self.doc
         lang = part.column("lang_hash").to_numpy().view(_U64)
-        self.hashes = words_of.mixed(hashes[self.codes] + lang[self.doc])
+        self.hashes = words_of.mixed(_hashes(self.data, self.bounds) + lang[self.doc])
+
+    def coded(self) -> tuple[np.ndarray, pa.Array]:
+        """A code per word, and the distinct words that the codes stand for."""
+        buffers = [None, pa.py_buffer(self.bounds), pa.py_buffer(self.data)]
+        coded = pa.Array.from_buffers(pa.large_binary(), len(self.bounds) - 1, buffers).dictionary_encode()
+        return coded.indices.to_numpy().astype(np.int64), coded.dictionary
 
     def grams(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Length, hashes of the runs that begin at each word, and whether they lie in one piece."""
         out = self.hashes
         yield 1, out, np.ones(len(out), bool)
         for width in range(2, MAX_WORDS + 1):
-            reach = max(len(self.codes) - width + 1, 0)
+            reach = max(len(self.hashes) - width + 1, 0)
             out = words_of.mixed(out[:reach] * _STEP + self.hashes[width - 1 :][:reach])
             yield width, out, self.piece[:reach] == self.piece[width - 1 :][:reach]
 
@@ -187,7 +206,8 @@ def _count_phrases(docs: DataFrame, candidates) -> DataFrame:
 
 def _phrases(words: Words, langs: pa.Array, candidates: Members) -> Iterator[pa.RecordBatch]:
     coded = langs.dictionary_encode()
-    lang, size = coded.indices.to_numpy().astype(np.int64)[words.doc], len(words.vocabulary)
+    lang = coded.indices.to_numpy().astype(np.int64)[words.doc]
+    codes, vocabulary = words.coded()
     # Runs of one word less, by number: equal numbers are equal words of equal languages.
     number, found = lang, None
     for width, grams, whole in words.grams():
@@ -195,12 +215,12 @@ def _phrases(words: Words, langs: pa.Array, candidates: Members) -> Iterator[pa.
         if found is not None:
             whole &= _sub_runs(found, len(grams), 2)
         at, found = np.flatnonzero(whole), whole
-        keys = number[at] * size + words.codes[at + width - 1]
+        keys = number[at] * len(vocabulary) + codes[at + width - 1]
         _, first, inverse, n = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
         number = np.zeros(len(grams), np.int64)
         number[at] = inverse
         first = at[first]
-        texts = [words.vocabulary.take(pa.array(words.codes[first + k])) for k in range(width)]
+        texts = [vocabulary.take(pa.array(codes[first + k])) for k in range(width)]
         phrase = texts[0] if width == 1 else pc.binary_join_element_wise(*texts, pa.scalar(b" ", pa.large_binary()))
         yield pa.RecordBatch.from_arrays(
             [

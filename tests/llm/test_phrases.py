@@ -99,6 +99,14 @@ def test_lowered_support_is_complete(spark):
     assert not built(spark, rows[1:])
 
 
+def test_hashes_follow_the_words_alone():
+    draw = random.Random(8)
+    words = ["".join(draw.choices("abé\x01", k=draw.randrange(1, 9))).encode() for _ in range(20_000)]
+    bounds = np.concatenate([[0], np.cumsum([len(w) for w in words])])
+    hashes = phrases._hashes(np.frombuffer(b"".join(words), np.uint8), bounds).tolist()
+    assert len(set(zip(words, hashes))) == len(set(words)) == len(set(hashes))
+
+
 def test_members(spark):
     draw = random.Random(5)
     keys = [draw.getrandbits(64) - (1 << 63) for _ in range(500)]

@@ -31,9 +31,10 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
@@ -51,8 +52,7 @@ BROADCAST_SUBTREES = 500_000
 # Their content is not text of the page.
 _RAW = "script|style|noscript|template|textarea|title|iframe|svg|object|select"
 _DROPPED_TAGS = set(
-    "nav header footer aside form menu dialog button input label fieldset audio video canvas "
-    "head".split()
+    "nav header footer aside menu dialog button input label fieldset audio video canvas head".split()
 )
 _DROPPED_ROLES = {
     "navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog",
@@ -66,7 +66,13 @@ _DROPPED_WORDS = set(
     "related replies reply respond share sharing sidebar signup skip social sponsor sponsored "
     "subscribe toolbar widget widgets".split()
 )
+# Elements whose class may tell by its first or last word what they are: parts of a page, not of a text.
+_PARTS = {"div", "section", "ul", "ol", "dl", "table"}
+# Within main content, tables and lists of steps or terms belong to the text.
+_PARTS_OF_MAIN = {"div", "section", "ul"}
 _MAIN_TAGS = {"article", "main"}
+# Marked content stands for the page if it is at least this share of what is kept.
+MAIN_SHARE = 0.4
 _WHOLE_PAGE = {"html", "body"}
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCKS = set(
@@ -89,7 +95,7 @@ _FLOW = set(
 # What follows the name of an element, up to its end; quoted values may hold any character.
 _INSIDE = r"(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+"
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
+    r"<!--.*?(?:--!?>|\Z)"
     r"|<svg(?=[\s/])(?:[^>\"'/]++|\"[^\"]*\"|'[^']*'|/(?!>))*+/>"
     rf"|<({_RAW})(?=[\s/>])(?:{_INSIDE}>|[^>]*>).*?(?:</\1\s*>|\Z)"
     rf"|<(/?)([a-zA-Z][^\s/>]*)({_INSIDE})>|</?[a-zA-Z!?][^>]*(?:>|\Z)",
@@ -112,21 +118,30 @@ def _is_hidden(tag: str, attributes: list[tuple[str, str]]) -> bool:
     )
 
 
-def _is_named(tag: str, attributes: list[tuple[str, str]]) -> bool:
-    """Whether class or id tells that the element is no main text."""
-    if tag in _WHOLE_PAGE or tag == "main":
+def _is_named(tag: str, attributes: list[tuple[str, str]], in_main: bool) -> bool:
+    """Whether class or id tells that the element is no main text.
+
+    Headings, paragraphs, items and rows may be called anything. Of the rest, only parts of a
+    page are told by a word in a longer class; other elements need a class that is such a
+    word as a whole, and so do all ids, as sections carry their titles there.
+    """
+    if tag in _WHOLE_PAGE or tag == "main" or (tag in _BLOCKS and tag not in _PARTS and tag != "article"):
         return False
+    slugs = tag in (_PARTS_OF_MAIN if in_main else _PARTS)
     for name, value in attributes:
-        if name not in ("class", "id"):
+        if name == "id" and value in _DROPPED_WORDS:
+            return True
+        if name != "class":
             continue
         for token in value.split():
+            if token in _DROPPED_WORDS:
+                return True
             # What follows two hyphens is a variant; two underscores lead to a part of a block.
-            for piece in token.split("--")[0].split("__"):
+            for piece in token.split("--")[0].split("__") if slugs else ():
                 words = _WORDS.findall(piece)
                 if not words or words[0] in _STATES:
                     continue
-                # Articles carry their subjects as classes, such as topic-social.
-                if words[0] in _DROPPED_WORDS or (tag != "article" and words[-1] in _DROPPED_WORDS):
+                if words[0] in _DROPPED_WORDS or words[-1] in _DROPPED_WORDS:
                     return True
     return False
 
@@ -143,57 +158,120 @@ def _digest(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def parse(page: str) -> tuple[list[int], list[tuple[str, list[int]]]]:
-    """Hashes of the page's block elements, and its blocks with the subtrees that can take them along.
+@dataclass
+class Parsed:
+    """A page's block elements, each after its parent, and its blocks of text.
 
-    Blocks of left out elements, and those outside main content if any is marked, are missing.
+    ``hashes`` has null for elements that enclose main content, which are no template;
+    ``parents`` and ``within`` (the innermost element of each block) have -1 for none.
     """
-    parsed, around = _parse(page, frozenset())
-    return _parse(page, around)[0] if around else parsed
 
+    hashes: list[int | None]
+    parents: list[int]
+    texts: list[str]
+    within: list[int]
+
+    def gone(self, template: set[int]) -> list[bool]:
+        """Whether each block lies in an element whose hash is in ``template``."""
+        deleted: list[bool] = []
+        for own, parent in zip(self.hashes, self.parents):
+            deleted.append(own in template or (parent >= 0 and deleted[parent]))
+        return [e >= 0 and deleted[e] for e in self.within]
+
+
+def parse(page: str) -> Parsed:
+    """The page's elements and blocks; what is left out, and what is outside main content, is missing."""
+    parsed, around, forms, _ = _parse(page, frozenset())
+    if forms:
+        parsed, around, _, _ = _parse(page, forms)
+    if around:
+        again, _, _, holds = _parse(page, forms | around)
+        # A teaser in a block of related links does not stand for the page.
+        return again if holds else parsed
+    return parsed
+
+
+class _Open:
+    """An element that is not closed yet."""
+
+    __slots__ = ("tag", "element", "dropped", "main", "cause", "kind")
 
-def _parse(page: str, spared: frozenset[int]) -> tuple[tuple[list[int], list[tuple[str, list[int]]]], frozenset[int]]:
-    """The page parsed with the names of the elements starting at ``spared`` not heeded.
+    def __init__(self, tag: str, element: int, dropped: bool, main: bool, cause: int, kind: bool):
+        self.tag, self.element, self.dropped, self.main = tag, element, dropped, main
+        # Start of the outermost element left out for its name or as a form, else -1; whether any is for its kind.
+        self.cause, self.kind = cause, kind
+
+
+def _parse(page: str, spared: frozenset[int]) -> tuple[Parsed, frozenset[int], frozenset[int], bool]:
+    """The page parsed with the elements starting at ``spared`` kept whatever their names.
 
     Also returns the starts of elements left out for their names that enclose main
-    content, if there is main content nowhere else.
+    content, if there is main content nowhere else; those of forms around most of the text,
+    as pages are that some generators make; and whether marked content stands for the page.
+
+    Every name and text is added to its innermost block element alone; an element's hash
+    goes to its parent, so the work does not grow with depth.
     """
-    pieces: list[str] = []  # names and texts in order, for the hashes
-    elements: list[list] = []  # first and last piece
-    around_main: set[int] = set()  # elements that are no template, whatever recurs
-    stack: list[tuple[str, int, bool, bool]] = []  # name, element or -1, dropped, in main content
-    causes: list[int] = []  # by depth: start of the element if dropped for its name, -1 if for its kind, else -2
+    parts: list[list[str]] = []  # by element: names, texts, and hashes of closed children
+    out = Parsed([], [], [], [])
+    in_main: list[bool] = []  # by block
+    main_elements: set[int] = set()  # elements that are no template, whatever recurs
+    stack: list[_Open] = []
+    n_open: Counter[str] = Counter()
     around: set[int] = set()
-    blocks: list[tuple[str, bool, list[int]]] = []
+    in_form: Counter[int] = Counter()  # characters left out, by the form's start
     buffer: list[str] = []
-    any_main = False
 
     def flush():
         if buffer:
             text = " ".join("".join(buffer).split())
             buffer.clear()
             if text:
-                path = [s[1] for s in stack if s[1] >= 0]
-                blocks.append((text, bool(stack and stack[-1][3]), path))
+                out.texts.append(text)
+                out.within.append(stack[-1].element if stack else -1)
+                in_main.append(bool(stack and stack[-1].main))
+
+    def note(piece: str):
+        if stack and stack[-1].element >= 0:
+            parts[stack[-1].element].append(piece)
 
     def close(depth: int):
         while len(stack) > depth:
-            name, element, _, _ = stack[-1]
-            if name in _BLOCKS:
+            last = stack[-1]
+            if last.tag in _BLOCKS:
                 flush()
             stack.pop()
-            causes.pop()
-            pieces.append("/")
-            if element >= 0:
-                elements[element][1] = len(pieces)
+            n_open[last.tag] -= 1
+            inner = stack[-1].element if stack else -1
+            if last.element != inner:  # its own element ends
+                own = _digest(" ".join(" ".join(parts[last.element]).split()))
+                parts[last.element] = []
+                out.hashes[last.element] = own
+                if inner >= 0:
+                    parts[inner].append(f"<{own}>")
+            else:
+                note("/")
 
     def add(text: str):
         if text:
             text = html.unescape(text) if "&" in text else text
-            pieces.append(text)
-            if not (stack and stack[-1][2]):
+            note(text)
+            if not (stack and stack[-1].dropped):
                 buffer.append(text)
+            elif stack[-1].cause in forms and not stack[-1].kind:
+                in_form[stack[-1].cause] += len(text.strip())
+
+    def close_like(tags, stop):
+        """Close the innermost open element of ``tags``, unless one of ``stop`` is further in."""
+        if any(n_open[t] for t in tags):
+            for depth in range(len(stack) - 1, -1, -1):
+                if stack[depth].tag in tags:
+                    close(depth)
+                    return
+                if stack[depth].tag in stop:
+                    return
 
+    forms: set[int] = set()
     at = 0
     for token in _TOKEN.finditer(page):
         add(page[at : token.start()])
@@ -203,90 +281,82 @@ def _parse(page: str, spared: frozenset[int]) -> tuple[tuple[list[int], list[tup
             continue
         tag = tag.lower()
         if slash:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == tag:
-                    close(depth)
-                    break
-            else:
-                if tag in _BLOCKS:
-                    flush()
+            if n_open[tag]:
+                close_like({tag}, ())
+            elif tag in _BLOCKS:
+                flush()
             continue
         if tag in _BLOCKS:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == "p":
-                    close(depth)
-                    break
-                if stack[depth][0] in _BLOCKS:
-                    break
-            likes = _CLOSES.get(tag, ())
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] in likes:
-                    close(depth)
-                    break
-                if stack[depth][0] in _CLOSE_SCOPE:
-                    break
+            close_like({"p"}, _BLOCKS)
+            close_like(_CLOSES.get(tag, ()), _CLOSE_SCOPE)
             flush()
         if tag in _VOID or attributes.endswith("/"):
             if tag == "br":
                 buffer.append(" ")
             continue
-        cause = -2
-        if attributes.strip() or tag in _DROPPED_TAGS:
-            named = _attributes(attributes)
-            if _is_hidden(tag, named):
-                cause = -1
-            elif token.start() not in spared and _is_named(tag, named):
-                cause = token.start()
-        dropped = bool(stack and stack[-1][2]) or cause > -2
-        if dropped and tag in _MAIN_TAGS and cause == -2 and -1 not in causes:
-            around.update(c for c in causes if c >= 0)
-        main = bool(stack and stack[-1][3]) or (tag in _MAIN_TAGS and not dropped)
-        if main and tag in _MAIN_TAGS:
-            any_main = True
-            around_main.update(s[1] for s in stack)
-        element = -1
+        above = stack[-1] if stack else _Open("", -1, False, False, -1, False)
+        kind, named = above.kind, False
+        if attributes.strip() or tag in _DROPPED_TAGS or tag == "form":
+            pairs = _attributes(attributes)
+            if _is_hidden(tag, pairs):
+                kind = True
+            elif token.start() not in spared:
+                named = tag == "form" or _is_named(tag, pairs, above.main)
+        cause = token.start() if named and above.cause < 0 else above.cause
+        if tag == "form" and cause == token.start():
+            forms.add(cause)
+        dropped = kind or cause >= 0
+        if dropped and tag in _MAIN_TAGS and not kind and not named:
+            around.add(cause)
+        main = above.main or (tag in _MAIN_TAGS and not dropped)
+        if main and not above.main:
+            element = above.element
+            while element >= 0 and element not in main_elements:
+                main_elements.add(element)
+                element = out.parents[element]
+        element = above.element
         if tag in _BLOCKS and tag not in _WHOLE_PAGE and not (main and tag in _FLOW):
-            element = len(elements)
-            elements.append([len(pieces), -1])
-        pieces.append(tag)
-        stack.append((tag, element, dropped, main))
-        causes.append(cause)
+            element = len(parts)
+            parts.append([])
+            out.hashes.append(None)
+            out.parents.append(above.element)
+        stack.append(_Open(tag, element, dropped, main, cause, kind))
+        n_open[tag] += 1
+        note(tag)
     add(page[at:])
     flush()
     close(0)
-    hashes = {
-        e: _digest(" ".join(" ".join(pieces[a:b]).split()))
-        for e, (a, b) in enumerate(elements)
-        if e not in around_main
-    }
-    kept = [
-        (t, sorted({hashes[e] for e in path if e in hashes}))
-        for t, main, path in blocks
-        if main or not any_main
-    ]
-    return (sorted(set(hashes.values())), kept), frozenset() if any_main else frozenset(around)
+    for element in main_elements:
+        out.hashes[element] = None
+    kept, marked = sum(map(len, out.texts)), sum(len(t) for t, m in zip(out.texts, in_main) if m)
+    holds = marked > 0 and marked >= MAIN_SHARE * kept
+    if holds:
+        out.within = [e for e, m in zip(out.within, in_main) if m]
+        out.texts = [t for t, m in zip(out.texts, in_main) if m]
+    large = frozenset(form for form, size in in_form.items() if size > kept)
+    return out, frozenset() if marked else frozenset(around), large, holds
 
 
 _PARSED = (
-    "page_id long, url string, host string, content long, subtrees array<long>, "
-    "blocks array<struct<text: string, path: array<long>>>"
+    "page_id long, url string, host string, content long, subtrees array<long>, hashes array<long>, "
+    "parents array<int>, texts array<string>, within array<int>"
 )
 
 
 def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    longs = pa.list_(pa.int64())
-    block = pa.list_(pa.struct([("text", pa.string()), ("path", longs)]))
     for batch in batches:
         for part in slices(batch, "html"):
-            parsed = [parse(page or "") for page in part.column("html").to_pylist()]
-            content = pa.array([_digest("\n".join(t for t, _ in p[1])) for p in parsed], pa.int64())
-            subtrees = pa.array([p[0] for p in parsed], longs)
-            blocks = pa.array([[{"text": t, "path": h} for t, h in p[1]] for p in parsed], block)
-            columns = [part.column(c) for c in ("page_id", "url", "host")]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, content, subtrees, blocks],
-                names=["page_id", "url", "host", "content", "subtrees", "blocks"],
+            pages = [parse(page or "") for page in part.column("html").to_pylist()]
+            columns = {c: part.column(c) for c in ("page_id", "url", "host")}
+            columns["content"] = pa.array([_digest("\n".join(p.texts)) for p in pages], pa.int64())
+            columns["subtrees"] = pa.array(
+                [sorted({h for h in p.hashes if h is not None}) for p in pages], pa.list_(pa.int64())
             )
+            columns["hashes"] = pa.array([p.hashes for p in pages], pa.list_(pa.int64()))
+            columns["parents"] = pa.array([p.parents for p in pages], pa.list_(pa.int32()))
+            columns["texts"] = pa.array([p.texts for p in pages], pa.list_(pa.string()))
+            columns["within"] = pa.array([p.within for p in pages], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_pydict(columns)
 
 
 def template_subtrees(
@@ -311,51 +381,37 @@ def template_subtrees(
 _TEXT = "page_id long, url string, text string, n_blocks_deleted long"
 
 
-def _without(template: dict[str, np.ndarray]):
-    """Deletes the blocks that lie in a subtree of their host's sorted ``template``."""
+def _without(template_of: Callable[[dict], set[int]]):
+    """Deletes the blocks that lie in a subtree of the template of their page."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            blocks = batch.column("blocks")
-            texts, paths = blocks.flatten().flatten()
-            texts, subtrees = texts.to_pylist(), paths.flatten().to_numpy()
-            of_block = np.concatenate([[0], np.cumsum(paths.value_lengths().to_numpy())]).astype(np.int64)
-            of_page = np.concatenate([[0], np.cumsum(blocks.value_lengths().to_numpy())]).astype(np.int64)
-            found = np.zeros(len(subtrees), bool)
-            for page, host in enumerate(batch.column("host").to_pylist()):
-                listed = template.get(host)
-                if listed is not None:
-                    a, b = of_block[of_page[page]], of_block[of_page[page + 1]]
-                    near = np.minimum(np.searchsorted(listed, subtrees[a:b]), len(listed) - 1)
-                    found[a:b] = listed[near] == subtrees[a:b]
-            upto = np.concatenate([[0], np.cumsum(found)])
-            deleted = upto[of_block[1:]] > upto[of_block[:-1]]
-            kept = [
-                "\n\n".join(t for t, gone in zip(texts[a:b], deleted[a:b]) if not gone)
-                for a, b in zip(of_page, of_page[1:])
-            ]
-            upto = np.concatenate([[0], np.cumsum(deleted)])
-            counts = (upto[of_page[1:]] - upto[of_page[:-1]]).astype(np.int64)
-            columns = [batch.column("page_id"), batch.column("url"), pa.array(kept, pa.string()), pa.array(counts)]
-            yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "n_blocks_deleted"])
+            rows = []
+            for page in batch.to_pylist():
+                parsed = Parsed(*(page[c] for c in ("hashes", "parents", "texts", "within")))
+                gone = parsed.gone(template_of(page))
+                kept = [t for t, deleted in zip(parsed.texts, gone) if not deleted]
+                rows.append((page["page_id"], page["url"], "\n\n".join(kept), sum(gone)))
+            kinds = (pa.int64(), pa.string(), pa.string(), pa.int64())
+            columns = zip(*rows) if rows else [[]] * 4
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds)],
+                names=["page_id", "url", "text", "n_blocks_deleted"],
+            )
 
     return run
 
 
+_PAGE = ["page_id", "url", "host", "hashes", "parents", "texts", "within"]
+
+
 def _joined(parsed: DataFrame, subtrees: DataFrame) -> DataFrame:
-    """The same by shuffle: pages with equal paths ask once for each of their subtrees."""
-    pages = parsed.withColumn("paths", F.xxhash64("blocks.path"))
-    asked = pages.select("host", "paths", F.explode(F.array_distinct(F.flatten("blocks.path"))).alias("subtree"))
-    found = asked.distinct().join(subtrees, ["host", "subtree"]).groupBy("host", "paths")
-    joined = pages.join(found.agg(F.collect_list("subtree").alias("template")), ["host", "paths"], "left")
-    template = F.coalesce("template", F.array().cast("array<long>"))
-    kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b["path"], template))
-    return joined.select("page_id", "url", F.size("blocks").alias("n"), kept.alias("kept")).select(
-        "page_id",
-        "url",
-        F.array_join(F.col("kept.text"), "\n\n").alias("text"),
-        (F.col("n") - F.size("kept")).cast("long").alias("n_blocks_deleted"),
-    )
+    """Pages with ``template``, by shuffle: pages with equal subtrees ask once for each of these."""
+    pages = parsed.withColumn("asked", F.xxhash64("subtrees"))
+    asked = pages.select("host", "asked", F.explode("subtrees").alias("subtree")).distinct()
+    found = asked.join(subtrees, ["host", "subtree"]).groupBy("host", "asked")
+    joined = pages.join(found.agg(F.collect_list("subtree").alias("template")), ["host", "asked"], "left")
+    return joined.select(*_PAGE, "template")
 
 
 def main_text(
@@ -376,7 +432,9 @@ def main_text(
     parsed = materialize(rows.mapInArrow(_parse_batches, _PARSED), "parsed-pages")
     subtrees = materialize(template_subtrees(parsed, min_pages, growth), "template")
     if subtrees.limit(BROADCAST_SUBTREES + 1).count() > BROADCAST_SUBTREES:
-        return _joined(parsed, subtrees)
-    lists = subtrees.groupBy("host").agg(F.sort_array(F.collect_list("subtree")).alias("listed"))
-    template = {r.host: np.array(r.listed, np.int64) for r in lists.toLocalIterator()}
-    return parsed.select("page_id", "url", "host", "blocks").mapInArrow(_without(template), _TEXT)
+        of_row = _without(lambda page: set(page["template"] or ()))
+        return _joined(parsed, subtrees).mapInArrow(of_row, _TEXT)
+    lists = subtrees.groupBy("host").agg(F.collect_list("subtree").alias("listed"))
+    template = {r.host: set(r.listed) for r in lists.toLocalIterator()}
+    of_host = _without(lambda page: template.get(page["host"], set()))
+    return parsed.select(*_PAGE).mapInArrow(of_host, _TEXT)

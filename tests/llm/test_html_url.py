@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import random
+import time
+from collections import Counter
 
 import pytest
 
+from brute import SF_DIR
 from tabaudit.llm import html_template, url_rules
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head>
@@ -16,8 +19,7 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>v
 
 
 def test_parse_main_text():
-    _, blocks = html_template.parse(PAGE)
-    assert [b[0] for b in blocks] == ["Title <1>", "First line goes on", "Second é part", "one", "two"]
+    assert html_template.parse(PAGE).texts == ["Title <1>", "First line goes on", "Second é part", "one", "two"]
 
 
 @pytest.mark.parametrize(
@@ -35,7 +37,7 @@ def test_parse_main_text():
     ],
 )
 def test_parse_pieces(html, want):
-    assert [b[0] for b in html_template.parse(html)[1]] == want
+    assert html_template.parse(html).texts == want
 
 
 def test_templates_are_found_per_host(spark):
@@ -82,7 +84,7 @@ def test_marked_content_survives_recurrence(spark):
     ],
 )
 def test_names_drop_nothing_else(html, want):
-    assert [b[0] for b in html_template.parse(html)[1]] == want
+    assert html_template.parse(html).texts == want
 
 
 @pytest.mark.parametrize("page", [
@@ -102,8 +104,66 @@ def test_copies_of_a_page_keep_their_text(spark, page):
 
 def test_elements_around_marked_content_are_no_template():
     inner = "<div><section><article><p>x</p></article></section></div>"
-    subtrees, blocks = html_template.parse(f"<html><body>{inner}</body></html>")
-    assert subtrees == [] and blocks == [("x", [])]
+    parsed = html_template.parse(f"<html><body>{inner}</body></html>")
+    assert set(parsed.hashes) == {None} and parsed.texts == ["x"]
+
+
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        ('<article><h2 id="related-work">Related</h2><p>a</p><h2 id="social-structure">b</h2></article>', ["Related", "a", "b"]),
+        ('<article><section id="advertising-history"><p>a</p></section></article>', ["a"]),
+        ('<article><p>an <span class="ad-hoc">ad hoc</span> <a class="nav-link">chapter two</a></p></article>', ["an ad hoc chapter two"]),
+        ('<article><table><tr class="skip"><td>a</td></tr></table><p class="notice">b</p><ol class="related-steps"><li>c</ol></article>', ["a", "b", "c"]),
+        ('<form id="aspnetForm"><div><article><p>Whole story.</p><input value=x><label>l</label></article></div></form>', ["Whole story."]),
+        ('<body><form><input type=hidden><p>A page without marks, in a form.</p></form></body>', ["A page without marks, in a form."]),
+        ('<p>A story that is longer.</p><form><p>Sign up</p><button>go</button></form>', ["A story that is longer."]),
+        ('<article><p>Teaser</p></article><div><p>The long body of the page, outside of any mark.</p></div>',
+         ["Teaser", "The long body of the page, outside of any mark."]),
+        ('<div class="related"><article>Teaser</article></div><div><p>The long body of the page, without a mark.</p></div>',
+         ["The long body of the page, without a mark."]),
+        ("<p>a<!-- c --!>b</p>", ["ab"]),
+    ],
+)
+def test_article_text_is_kept(html, want):
+    assert html_template.parse(html).texts == want
+
+
+def test_deep_nesting_takes_linear_time():
+    for page in ("<div>x" * 100_000, "<ul><li>x" * 50_000, "<b>x" * 100_000, "</p>" * 100_000 + "<p>x" * 50_000):
+        started = time.process_time()
+        parsed = html_template.parse(page)
+        assert time.process_time() - started < 30
+        assert "".join(parsed.texts).replace(" ", "") == "x" * page.count("x")
+        assert len(parsed.gone(set())) == len(parsed.texts)
+
+
+def plain_text(pages):
+    """Text per page as one reads the rule: every block, its chain of elements, and their counts per host."""
+    parsed = {i: (html_template.parse(h or ""), host) for i, host, h in pages}
+    distinct = {}
+    for p, host in parsed.values():
+        distinct.setdefault(host, {}).setdefault(tuple(p.texts), {h for h in p.hashes if h is not None})
+    out = {}
+    for i, (p, host) in parsed.items():
+        counts = Counter(h for own in distinct[host].values() for h in own)
+        bar = max(html_template.MIN_PAGES, html_template.GROWTH * len(distinct[host]) ** 0.5)
+        kept = []
+        for text, e in zip(p.texts, p.within):
+            chain = []
+            while e >= 0:
+                chain.append(p.hashes[e])
+                e = p.parents[e]
+            if not any(h is not None and counts[h] >= bar for h in chain):
+                kept.append(text)
+        out[i] = "\n\n".join(kept)
+    return out
+
+
+def test_whole_table_matches_plain_version(spark):
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet")
+    rows = [(r.page_id, (r.url or "").split("://")[-1].split("/")[0].lower(), r.html) for r in pages.collect()]
+    assert {r.page_id: r.text for r in html_template.main_text(pages).collect()} == plain_text(rows)
 
 
 @pytest.mark.parametrize("limit", [html_template.BROADCAST_SUBTREES, 0])

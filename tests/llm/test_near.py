@@ -118,7 +118,8 @@ def test_edited_fingerprints(near_docs, documents, range_rows):
                 assert abs(near - (jaccard(a, b) if a or b else 1.0)) < 0.2
     same = {}
     for r in documents.select("doc_id", "text").collect():
-        same.setdefault(r.text, set()).add(prints.get(r.doc_id))
+        same.setdefault(r.text or "", set()).add(prints.get(r.doc_id))
+    assert all(len(found) == 1 for found in same.values())
 
 
 def test_edited_handles_repeats_single_rows_and_nothing(near_docs):

@@ -106,11 +106,13 @@ def root_splits(model: Model, df: DataFrame, features: Sequence[str], label: str
             F.col("node").alias(side), F.col("prediction").alias(f"{side}_value"), F.col("n_rows").alias(f"n_{side}")
         )
         root = root.join(child, side)
-    # Ties go to the feature and threshold that come first.
+    # Ties go to the feature and threshold that come first. One row, as is the root.
     best = split_candidates(df, features, label).orderBy(F.desc("gain"), "feature", "threshold").limit(1)
-    named = best.withColumnsRenamed({c: f"best_{c}" for c in best.columns})
-    # One row on both sides.
-    return root.drop("left", "right").withColumn("_one", F.lit(1)).join(named.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    row = best.first()
+    if row is None:
+        raise ValueError("no feature has two values, so there is nothing to split")
+    known = {f"best_{f.name}": F.lit(row[f.name]).cast(f.dataType) for f in best.schema}
+    return root.drop("left", "right").withColumns(known)
 
 
 def moments(scored: DataFrame, features: Sequence[str], label: str = LABEL) -> DataFrame:

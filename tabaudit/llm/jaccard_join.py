@@ -12,7 +12,8 @@ what follows works on one document of each text.
 3. The pairs that are left are verified exactly on their shingles.
 
 Groups beyond ``BLOCK`` texts are cut into blocks, and pairs of blocks are compared by
-tasks of their own. Tasks do not give out pairs but, for each text, its number of links
+tasks of their own. Tasks on bands first see signatures only, and the shingles of texts
+that have a likely partner there. Tasks do not give out pairs but, for each text, its number of links
 and a link towards the smallest text it is connected with, from which classes follow.
 
 Defined results: a text with fewer than five words has one shingle, made of all its
@@ -131,10 +132,12 @@ def _shingled(batches: Iterator[pa.RecordBatch], settings: Settings) -> Iterator
             )
 
 
-def _pairs(groups: np.ndarray, blocks: np.ndarray, cross: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Positions of the pairs inside groups, or between the two blocks of a group, in portions."""
-    if cross:
-        left, right = np.flatnonzero(blocks == blocks.min()), np.flatnonzero(blocks == blocks.max())
+def _pairs(
+    groups: np.ndarray, blocks: np.ndarray, low: int, high: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of the pairs inside groups, or between two blocks of a group, in portions."""
+    if low < high:  # one of the two may be empty
+        left, right = np.flatnonzero(blocks == low), np.flatnonzero(blocks == high)
         for portion in np.array_split(left, max(1, len(left) * len(right) // PAIRS)):
             yield np.repeat(portion, len(right)), np.tile(right, len(portion))
         return
@@ -183,22 +186,47 @@ def _verified(
     return left[near], right[near]
 
 
-def _links(table: pa.Table, settings: Settings) -> pa.Table:
-    """For each text of the task with a link: its number of linked documents, and a root."""
-    sets, groups, blocks, copies = (
-        table.column(c).to_numpy() for c in ("set", "component", "block", "copies")
-    )
+def _first_here(
+    left: np.ndarray, right: np.ndarray, signatures: np.ndarray, places: np.ndarray, rows: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs that agree in no band before their task's own; outside of bands, place is 0."""
+    for band in range(places.max(initial=0)):
+        values = signatures[:, band * rows : (band + 1) * rows]
+        met = (places[left] > band) & (values[left] == values[right]).all(axis=1)
+        left, right = left[~met], right[~met]
+    return left, right
+
+
+def _likely_pairs(table: pa.Table, settings: Settings) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of the pairs of a task that have to be verified."""
+    groups, blocks, places = (table.column(c).to_numpy() for c in ("group", "block", "place"))
     signatures = np.frombuffer(
         b"".join(table.column("signature").to_pylist()), np.uint32
-    ).reshape(len(sets), settings.n_hashes)
+    ).reshape(len(table), settings.n_hashes)
+    low, high = (table.column(c)[0].as_py() for c in ("low", "high"))
+    for left, right in _pairs(groups, blocks, low, high):
+        left, right = _pruned(left, right, signatures, settings)
+        yield _first_here(left, right, signatures, places, settings.band_rows)
+
+
+def _likely(table: pa.Table, settings: Settings) -> pa.Table:
+    """The rows of a task that have a likely partner in it, without their signatures."""
+    found = np.zeros(len(table), bool)
+    for pair in _likely_pairs(table, settings):
+        for side in pair:
+            found[side] = True
+    return table.filter(pa.array(found)).drop_columns(["signature"])
+
+
+def _links(table: pa.Table, settings: Settings) -> pa.Table:
+    """For each text of the task with a link: its number of linked documents, and a root."""
+    sets, copies = (table.column(c).to_numpy() for c in ("set", "copies"))
     shingles = [np.frombuffer(b, np.uint64) for b in table.column("shingles").to_pylist()]
     distinct, flat = np.unique(np.concatenate(shingles), return_inverse=True)
     codes = np.split(flat, np.cumsum([len(s) for s in shingles])[:-1])
-    cross = table.column("cross")[0].as_py()
     links, texts = np.zeros(len(sets), np.int64), np.zeros(len(sets), np.int64)
     root = np.arange(len(sets))
-    for left, right in _pairs(groups, blocks, cross):
-        left, right = _pruned(left, right, signatures, settings)
+    for left, right in _likely_pairs(table, settings):
         left, right = _verified(left, right, codes, len(distinct), settings.threshold)
         for a, b in ((left, right), (right, left)):
             np.add.at(links, a, copies[b])
@@ -225,19 +253,44 @@ def _candidates(sets: DataFrame) -> DataFrame:
     return components(edges).withColumnRenamed("node", "set")
 
 
-def _tasks(members: DataFrame) -> DataFrame:
-    """Deal members out to tasks: packs of small groups, pairs of blocks of large ones."""
-    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    n = sizes.agg(F.sum("size")).first()[0] or 0
-    sized = members.join(sizes, "component")
-    n_blocks = F.ceil(F.col("size") / BLOCK)
-    blocks = sized.withColumn("n_blocks", n_blocks).withColumn(
-        "block", F.pmod(F.xxhash64("set"), F.col("n_blocks"))
+def _rows_of_blocks(size: str) -> Column:
+    """The rows that a group of so many texts puts before its tasks."""
+    return F.col(size) * F.ceil(F.col(size) / BLOCK)
+
+
+def _sized(candidates: DataFrame) -> DataFrame:
+    sizes = candidates.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    return candidates.join(sizes, "component")
+
+
+def _shared_bands(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """One row per member of these components and band it shares, where bands take fewer rows than blocks."""
+    bands = members.join(sets.select("set", "bands"), "set").select(
+        "component", F.col("size").alias("whole"), "set", "key", "copies",
+        F.posexplode("bands").alias("place", "group"),
+    )
+    # Texts that agree in a band are in one component.
+    shared = bands.groupBy("group").agg(
+        F.count(F.lit(1)).alias("size"), F.min("component").alias("component"), F.min("whole").alias("whole")
+    )
+    shared = materialize(shared.filter("size > 1"), "shared-bands")
+    costs = shared.groupBy("component").agg(
+        F.sum(_rows_of_blocks("size")).alias("rows"), F.min("whole").alias("whole")
     )
+    by_band = costs.filter(F.col("rows") < _rows_of_blocks("whole")).select("component")
+    chosen = shared.join(by_band, "component", "left_semi").select("group", "size")
+    return bands.join(chosen, "group")
+
+
+def _tasks(members: DataFrame) -> DataFrame:
+    """Deal members of groups out to tasks: packs of small groups, pairs of blocks of large ones."""
+    n = members.count()
+    blocks = members.select("set", "copies", "group", "place", F.ceil(F.col("size") / BLOCK).alias("n_blocks"))
+    blocks = blocks.withColumn("block", F.pmod(F.xxhash64("set"), F.col("n_blocks")))
     small = blocks.filter("n_blocks = 1").select(
         "*",
         F.lit("pack").alias("kind"),
-        F.pmod(F.xxhash64("component"), F.lit(n // PACK + 1)).alias("unit"),
+        F.pmod(F.xxhash64("group"), F.lit(n // PACK + 1)).alias("unit"),
         F.lit(0).cast("long").alias("low"),
         F.lit(0).cast("long").alias("high"),
     )
@@ -245,11 +298,53 @@ def _tasks(members: DataFrame) -> DataFrame:
     large = blocks.filter("n_blocks > 1").select("*", other).select(
         *blocks.columns,
         F.lit("blocks").alias("kind"),
-        F.col("component").alias("unit"),
+        F.col("group").alias("unit"),
         F.least("block", "other").alias("low"),
         F.greatest("block", "other").alias("high"),
     )
-    return small.unionByName(large).withColumn("cross", F.col("low") < F.col("high"))
+    return small.unionByName(large)
+
+
+def _shingles_of(docs: DataFrame, members: DataFrame, settings: Settings) -> DataFrame:
+    """Signature and shingles of the members' sets.
+
+    A key can stand for several texts; those that are no members drop out by their set.
+    """
+    keys = frames.broadcast_if_few(members.select("key").distinct())
+    return (
+        docs.join(keys, "key", "left_semi")
+        .select("text")
+        .mapInArrow(
+            lambda batches: _shingled(batches, settings), "set long, signature binary, shingles binary"
+        )
+        .dropDuplicates(["set"])
+    )
+
+
+def _linked(tasks: DataFrame, settings: Settings) -> DataFrame:
+    return tasks.groupBy("kind", "unit", "low", "high").applyInArrow(
+        lambda table: _links(table, settings), "set long, root long, links long, texts long"
+    )
+
+
+def _all_links(docs: DataFrame, candidates: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """Links of the candidates' texts, each pair of texts looked at in one task."""
+    n_bands = settings.n_hashes // settings.band_rows
+    whole = _sized(candidates).withColumn("group", F.col("component")).withColumn("place", F.lit(0))
+    chained = whole.filter(F.col("size") > n_bands * BLOCK)
+    if chained.isEmpty():
+        return _linked(_tasks(whole).join(_shingles_of(docs, whole, settings), "set"), settings)
+    bands = materialize(_shared_bands(chained.drop("group", "place"), sets), "bands")
+    # A component goes by bands with all of its members.
+    by_band = bands.select("component").distinct()
+    whole = whole.join(by_band, "component", "left_anti")
+    shingled = materialize(_shingles_of(docs, bands, settings), "shingles")
+    tasks = _tasks(bands)
+    likely = tasks.join(shingled.select("set", "signature"), "set").groupBy(
+        "kind", "unit", "low", "high"
+    ).applyInArrow(lambda table: _likely(table, settings), tasks.select("set", *tasks.drop("set").columns).schema)
+    links = _linked(_tasks(whole).join(_shingles_of(docs, whole, settings), "set"), settings)
+    return links.unionByName(_linked(likely.join(shingled, "set"), settings))
 
 
 def _texts(docs: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
@@ -265,20 +360,7 @@ def _texts(docs: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
     candidates = materialize(
         _candidates(sets).join(sets.select("set", "key", "copies"), "set"), "candidates"
     )
-    # A key can stand for several texts; those that are no candidates drop out by their set.
-    keys = frames.broadcast_if_few(candidates.select("key").distinct())
-    shingled = (
-        docs.join(keys, "key", "left_semi")
-        .select("text")
-        .mapInArrow(
-            lambda batches: _shingled(batches, settings), "set long, signature binary, shingles binary"
-        )
-        .dropDuplicates(["set"])
-    )
-    tasks = _tasks(candidates.join(shingled, "set"))
-    links = tasks.groupBy("kind", "unit", "low", "high").applyInArrow(
-        lambda table: _links(table, settings), "set long, root long, links long, texts long"
-    )
+    links = _all_links(docs, candidates, sets, settings)
     links = materialize(links, "links")
     found = components(links.select("set", "root")).withColumnRenamed("node", "set")
     counts = links.groupBy("set").agg(F.sum("links").alias("links"), F.sum("texts").alias("texts"))

@@ -51,10 +51,33 @@ def test_join_matches_all_pairs(near_docs, documents, monkeypatch):
     assert joined(documents) == plain(documents)
     monkeypatch.setattr(jaccard_join, "BLOCK", 8)  # the group of 40 is cut into blocks
     assert joined(near_docs) == plain(near_docs)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 2)  # some blocks are empty
     monkeypatch.setattr(jaccard_join, "PAIRS", 16)
     assert joined(near_docs) == plain(near_docs)
 
 
+def test_chained_components_are_compared_band_by_band(near_docs, make_docs, monkeypatch):
+    """Texts that share a template but are not alike make one component, whatever its size."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 4)
+    monkeypatch.setattr(jaccard_join, "PACK", 32)
+    template = [f"t{i}" for i in range(60)]
+    rows = [
+        (1000 + i, " ".join(template + [f"own{i}-{k}" for k in range(40)] + ["end"] * (i % 3 == 0)))
+        for i in range(600)
+    ]
+    rows += [(id_ + 3000, text.replace("own7-39", "other")) for id_, text in rows[:20]]
+    docs = make_docs(rows).unionByName(near_docs)
+    dealt = []
+    tasks = jaccard_join._tasks
+    monkeypatch.setattr(jaccard_join, "_tasks", lambda members: dealt.append(tasks(members)) or dealt[-1])
+    expected = plain(docs)
+    assert joined(docs) == expected
+    assert sum(n for _, _, n in expected) > 40
+    # Bands first, then what goes by components: fewer rows than blocks of 620 texts would meet.
+    assert len(dealt) == 2 and 0 < dealt[0].count() < 620 * 155 / 2
+    assert dealt[0].select("place").distinct().count() > 1
+
+
 def test_keep_one_keeps_the_first_of_each_class(near_docs, documents):
     kept = jaccard_join.keep_one(near_docs)
     assert kept.columns == near_docs.columns

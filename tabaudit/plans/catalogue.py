@@ -16,6 +16,7 @@ from tabaudit.operators import (
     metrics,
     models,
     profile,
+    profile_state,
     quantiles,
     ranking,
     split,
@@ -83,6 +84,32 @@ def csv_roundtrip(spark, sf_dir):
     return tables.read_table(spark, base, customers.schema, prefer=("csv", "parquet"))
 
 
+def _broken_csv(spark, sf_dir) -> str:
+    """Customers as lines of CSV, some of them with too many or too few fields or a broken number."""
+    path = scratch_path(spark, "broken") + "/customers.csv"
+    views.broken_lines(spark, sf_dir).write.text(path)
+    return path
+
+
+_CUSTOMER = "c_custkey long, c_name string, c_nationkey int"
+
+
+@query
+def csv_quarantine(spark, sf_dir):
+    """The broken records of a CSV table and why they are broken."""
+    path = _broken_csv(spark, sf_dir)
+    _, bad = tables.read_csv_quarantined(spark, path, _CUSTOMER, header=False)
+    return bad.select("raw", "reason")
+
+
+@query
+def csv_quarantine_counts(spark, sf_dir):
+    """Good and broken records add up to the lines of the table."""
+    path = _broken_csv(spark, sf_dir)
+    good, bad = tables.read_csv_quarantined(spark, path, _CUSTOMER, header=False)
+    return tables.quarantine_counts(spark, path, good, bad, header=False)
+
+
 @query
 def ingest_split(spark, sf_dir):
     """Feature and target tables, matched again on their shared row id."""
@@ -235,6 +262,39 @@ def exact_quantiles(spark, sf_dir):
     )
 
 
+@query
+def profile_state_merged(spark, sf_dir):
+    """Profiles of parts of a table with missing values, stored and merged."""
+    customers = views.dirty_customers(spark, sf_dir)
+    parts = profile_state.profile_states(customers, ["bal_null", "c_custkey"], by=["c_nationkey"])
+    stored = materialize(parts, "profiles")
+    return rounded(profile_state.summary(profile_state.merged(stored)))
+
+
+SKETCH_PROBS = (0.1, 0.25, 0.5, 0.9)
+
+
+@query
+def sketched_quantile_bounds(spark, sf_dir):
+    """Quantiles from merged sketches of parts, between exact ones at twice the sketch's rank error."""
+    lines, names = views.table(spark, sf_dir, "lineitem"), ["l_extendedprice", "l_quantity"]
+    parts = materialize(profile_state.profile_states(lines, names, by=["l_linenumber"]), "profiles")
+    found = profile_state.sketched_quantiles(profile_state.merged(parts), SKETCH_PROBS)
+    slack = 2 * profile_state.rank_error()
+    ends = [F.round(F.col("prob") + sign * slack, 6).alias(side) for side, sign in (("below", -1), ("above", 1))]
+    exact = quantiles.quantiles(
+        lines, names, [round(p + sign * slack, 6) for p in SKETCH_PROBS for sign in (-1, 1)]
+    ).select("column", F.round("prob", 6).alias("at"), F.col("value").alias("end"))
+    # A few rows per column of the table.
+    joined = found.select("*", *ends).join(F.broadcast(exact), "column")
+    bounds = joined.groupBy("column", "prob", "n", "value").agg(
+        F.max(F.when(F.col("at") == F.col("below"), F.col("end"))).alias("low"),
+        F.max(F.when(F.col("at") == F.col("above"), F.col("end"))).alias("high"),
+    )
+    inside = F.col("value").between(F.col("low"), F.col("high"))
+    return rounded(bounds.select("column", "prob", "n", "low", "high", inside.alias("inside")))
+
+
 @query
 def top_values_tied_texts(spark, sf_dir):
     """Texts of which nearly all occur once: only the first of them are looked at whole."""

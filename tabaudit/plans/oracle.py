@@ -299,6 +299,29 @@ def decile_rows() -> str:
     )
 
 
+def sketch_bound_rows() -> str:
+    slack = 2 * 2.296 / 1000**0.9723
+    return rows(
+        *[
+            f"SELECT '{c}' AS \"column\", CAST({p} AS DOUBLE) AS prob, count({c}) AS n, "
+            f"{rnd(f'quantile_cont({c}, {round(p - slack, 6)})')} AS low, "
+            f"{rnd(f'quantile_cont({c}, {round(p + slack, 6)})')} AS high, true AS inside FROM lineitem"
+            for c in ("l_extendedprice", "l_quantity")
+            for p in (0.1, 0.25, 0.5, 0.9)
+        ]
+    )
+
+
+BROKEN = """
+SELECT CASE WHEN c_custkey % 19 = 0 THEN line || ',more'
+            WHEN c_custkey % 23 = 0 THEN c_custkey || ',' || c_name ELSE line END AS raw,
+       CASE WHEN c_custkey % 19 = 0 OR c_custkey % 23 = 0 THEN 'fields'
+            WHEN c_custkey % 17 = 0 THEN 'value of c_nationkey' END AS reason
+FROM (SELECT *, c_custkey || ',' || c_name || ',' ||
+             CASE WHEN c_custkey % 17 = 0 THEN 'n/a' ELSE CAST(c_nationkey AS VARCHAR) END AS line
+      FROM customer) AS l"""
+
+
 def report_rows() -> str:
     def line(
         section: str, column: str, statistic: str, value: str, table: str = "d", is_null: str = "false"
@@ -365,6 +388,10 @@ def all_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
 
     sql["csv_roundtrip"] = DIRTY
+    sql["csv_quarantine"] = f"SELECT raw, reason FROM ({BROKEN}) AS b WHERE reason IS NOT NULL"
+    sql["csv_quarantine_counts"] = f"""
+SELECT count(*) AS n_read, count(*) FILTER (reason IS NULL) AS n_good,
+       count(reason) AS n_bad, true AS reconciles FROM ({BROKEN}) AS b"""
     sql["ingest_split"] = (
         f"SELECT c_custkey AS row_id, seg_raw, bal_null, c_nationkey, label_raw FROM ({DIRTY}) AS d"
     )
@@ -445,6 +472,16 @@ FROM (SELECT count(*) AS n FROM {table} GROUP BY {cols}) AS g"""
     sql["numeric_summary"] = summary_of("lineitem", LINE_NUMS)
     sql["numeric_summary_narrowed"] = sql["numeric_summary"]
     sql["exact_quantiles"] = decile_rows()
+    sql["sketched_quantile_bounds"] = sketch_bound_rows()
+    sql["profile_state_merged"] = rows(
+        *[
+            f"SELECT '{c}' AS \"column\", count(*) AS n_rows, count({c}) AS count, "
+            f"count(*) - count({c}) AS null_count, {rnd(f'avg({c})')} AS mean, "
+            f"{rnd(f'stddev_samp({c})')} AS std, {rnd(f'min({c})')} AS min, {rnd(f'max({c})')} AS max "
+            f"FROM ({DIRTY}) AS d"
+            for c in ("bal_null", "c_custkey")
+        ]
+    )
     sql["categorical_top10"] = f"WITH d AS ({DIRTY})\n" + top_of("d", ["seg_raw", "label_raw"])
     sql["categorical_top10_texts"] = top_of("documents", ["text", "lang", "source"])
     sql["target_distribution"] = f"""

@@ -33,6 +33,16 @@ def dirty_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as lines of CSV without a header; every few of them are broken in one of three ways."""
+    key = F.col("c_custkey")
+    nation = F.when(key % 17 == 0, "n/a").otherwise(F.col("c_nationkey").cast("string"))
+    whole = F.concat_ws(",", key.cast("string"), "c_name", nation)
+    short = F.concat_ws(",", key.cast("string"), "c_name")
+    line = F.when(key % 19 == 0, F.concat(whole, F.lit(",more"))).when(key % 23 == 0, short).otherwise(whole)
+    return table(spark, sf_dir, "customer").select(line.alias("value"))
+
+
 def _is_costly() -> Column:
     noise = (F.col("o_orderkey") * 31) % 21 - 10
     return (F.col("o_totalprice") / 10000 + noise > 25).cast("int")

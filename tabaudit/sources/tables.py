@@ -43,6 +43,56 @@ def read_csv(
     return reader.csv(path)
 
 
+def read_csv_quarantined(
+    spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """Good rows, and the broken records as (raw, file, reason), from one parse.
+
+    The reason is ``fields`` where a record has another number of fields than the
+    schema, else ``value of`` and the first column whose text is not of its type. Records
+    are lines: a line break inside a quoted field breaks the record in two.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    raw, file = _unused("_raw", schema.names), _unused("_file", schema.names)
+    options = {**_CSV, "header": header, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": raw}
+    reader = spark.read.schema(T.StructType([*schema.fields, T.StructField(raw, T.StringType())]))
+    # Both tables are read from what one parse has written.
+    parsed = materialize(
+        reader.options(**options).csv(path).withColumn(file, F.col("_metadata.file_path")), "csv"
+    )
+    good = parsed.filter(F.col(raw).isNull()).select(*map(quoted, schema.names))
+    names = (c.replace("`", "``") for c in [*schema.names, raw])
+    texts = ", ".join(f"`{c}` string" for c in names)
+    text_options = {k: str(v) for k, v in options.items() if k != "header"}
+    bad = parsed.filter(F.col(raw).isNotNull()).withColumn(
+        "texts", F.from_csv(F.col(raw), texts, text_options)
+    )
+    reason = F.when(F.col("texts").getField(raw).isNotNull(), "fields")
+    for name in schema.names:
+        unread = quoted(name).isNull() & F.col("texts").getField(name).isNotNull()
+        reason = reason.when(unread, F.lit(f"value of {name}"))
+    return good, bad.select(
+        F.col(raw).alias("raw"), F.col(file).alias("file"), reason.otherwise("record").alias("reason")
+    )
+
+
+def quarantine_counts(
+    spark: SparkSession, path: str, good: DataFrame, bad: DataFrame, header: bool = True
+) -> DataFrame:
+    """(n_read, n_good, n_bad, reconciles); the lines are counted without the parser."""
+    lines = spark.read.text(path).filter(F.length("value") > 0)
+    heads = F.count_distinct(F.col("_metadata.file_path")) if header else F.lit(0)
+    read = lines.agg((F.count(F.lit(1)) - heads).alias("n"))
+    parts = (read.select(F.lit("read").alias("part"), "n")).unionByName(
+        good.agg(F.count(F.lit(1)).alias("n")).withColumn("part", F.lit("good"))
+    ).unionByName(bad.agg(F.count(F.lit(1)).alias("n")).withColumn("part", F.lit("bad")))
+    counts = parts.agg(
+        *[F.sum(F.when(F.col("part") == p, F.col("n"))).alias(f"n_{p}") for p in ("read", "good", "bad")]
+    )
+    return counts.withColumn("reconciles", F.col("n_read") == F.col("n_good") + F.col("n_bad"))
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN in floating-point columns becomes null."""
     floats = [f for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]

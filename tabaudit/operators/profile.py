@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tabaudit.functions.values import present, row_digest
 from tabaudit.operators.cleaning import numeric_columns, quoted, string_columns
 from tabaudit.operators.quantiles import quantiles, value_column
+from tabaudit.session import materialize
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -24,6 +25,9 @@ LONG_TEXT = 64
 TIE_LIMIT = 10_000
 # Characters that bound the search among more of them.
 _HEAD_CHARS = 16
+# Distinct values, as estimated, above which a column's values are counted in hash slots
+# first, and the number of slots.
+SLOTS = 4096
 
 
 def inline_rows(df: DataFrame, entries: Sequence[Column]) -> DataFrame:
@@ -184,34 +188,84 @@ def top_values(
     columns: Sequence[str] | None = None,
     long_text: float = LONG_TEXT,
     tie_limit: int = TIE_LIMIT,
+    slots: int = SLOTS,
 ) -> DataFrame:
     """The ``k`` most frequent values per string column; null is a value like any other.
 
     Ties go to the smaller value, null last. Counts are combined map-side and each
     task keeps only ``k`` rows per column before the final ranking. A column of long
     texts is counted by digest, and only the texts that may win are shuffled: those
-    that are frequent enough, and of very many equally frequent ones the first.
+    that are frequent enough, and of very many equally frequent ones the first. Of a
+    column with more than ``slots`` values, those whose slot rules them out are not
+    shuffled (``slot_survivors``). The rows are the same on every path.
     """
     names = list(columns or string_columns(df))
     if not names:
         schema = "column string, value string, n long, rank int"
         return df.sparkSession.createDataFrame([], schema)
-    sizes = df.agg(*[F.avg(F.length(quoted(c))).alias(f"l{i}") for i, c in enumerate(names)]).first()
+    sizes = df.agg(
+        *[F.avg(F.length(quoted(c))).alias(f"l{i}") for i, c in enumerate(names)],
+        *[F.approx_count_distinct(quoted(c)).alias(f"d{i}") for i, c in enumerate(names)],
+    ).first()
     long = [c for i, c in enumerate(names) if (sizes[f"l{i}"] or 0) > long_text]
-    by_value = [c for c in names if c not in long]
+    many = [c for i, c in enumerate(names) if c not in long and sizes[f"d{i}"] > slots]
+    few = [c for c in names if c not in long and c not in many]
     counted = [t for c in long for t in _frequent_texts(df, c, k, tie_limit)]
-    if by_value:
-        pairs = F.array(
-            *[F.struct(F.lit(c).alias("column"), quoted(c).alias("value")) for c in by_value]
-        )
-        counted.append(
-            df.select(F.inline(pairs)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-        )
+    if few:
+        counted.append(_value_counts(_column_values(df, few)))
+    if many:
+        counted.append(_value_counts(slot_survivors(df, many, k, slots)))
     order = Window.partitionBy("column").orderBy(F.desc("n"), F.asc_nulls_last("value"))
     ranked = reduce(DataFrame.unionByName, counted).withColumn("rank", F.row_number().over(order))
     return ranked.filter(F.col("rank") <= k)
 
 
+def _column_values(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(column, value), one row per row and column."""
+    pairs = [F.struct(F.lit(c).alias("column"), quoted(c).alias("value")) for c in names]
+    return df.select(F.inline(F.array(*pairs)))
+
+
+def _value_counts(values: DataFrame) -> DataFrame:
+    return values.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def slot_survivors(df: DataFrame, names: Sequence[str], k: int, slots: int = SLOTS) -> DataFrame:
+    """(column, value) rows of the values that may be among the ``k`` most frequent of their column.
+
+    Values are hashed into slots, and a slot's rows bound the count of each value in
+    it. Exact counts of the values in the fullest slots give a count that ``k`` values
+    reach; slots with fewer rows than that hold no winner, and their values are left
+    out. Frequent values thus cost a few slots instead of a shuffle of all values.
+    Where no value stands out, most slots stay, up to all of them: of a column
+    of unique values, none can be ruled out by counting.
+    """
+    slot = F.pmod(F.xxhash64("value"), F.lit(slots)).cast("int").alias("slot")
+    placed = _column_values(df, names).select("column", "value", slot)
+    # At most ``slots`` rows per column, here and in what is joined below.
+    load = materialize(
+        placed.groupBy("column", "slot").agg(F.count(F.lit(1)).alias("n_slot")), "slots"
+    )
+    by_load = Window.partitionBy("column").orderBy(F.desc("n_slot"), "slot")
+    fullest = load.withColumn("place", F.row_number().over(by_load)).filter(F.col("place") <= 4 * k)
+    known = _value_counts(_semi_join(placed, fullest))
+    by_count = Window.partitionBy("column").orderBy(F.desc("n"))
+    reached = (
+        known.withColumn("place", F.row_number().over(by_count))
+        .filter(F.col("place") == k)
+        .select("column", F.col("n").alias("least"))
+    )
+    # Without k values in the fullest slots, any count may do.
+    least = F.coalesce("least", F.lit(1))
+    open_slots = load.join(F.broadcast(reached), "column", "left").filter(F.col("n_slot") >= least)
+    return _semi_join(placed, materialize(open_slots, "open-slots")).select("column", "value")
+
+
+def _semi_join(placed: DataFrame, slots: DataFrame) -> DataFrame:
+    """Rows of ``placed`` in the given slots, found without a shuffle."""
+    return placed.join(F.broadcast(slots.select("column", "slot")), ["column", "slot"], "left_semi")
+
+
 def _digest_counts(df: DataFrame, name: str) -> DataFrame:
     digest = row_digest(df.schema, [name]).alias("d")
     return df.select(digest).groupBy("d").agg(F.count(F.lit(1)).alias("n"))

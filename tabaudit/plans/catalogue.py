@@ -314,6 +314,13 @@ def categorical_top10_texts(spark, sf_dir):
     return profile.top_values(views.table(spark, sf_dir, "documents"), 10)
 
 
+@query
+def top_words(spark, sf_dir):
+    """Words of all documents: rare ones are ruled out by their hash slots."""
+    text = views.table(spark, sf_dir, "documents").select(F.explode(F.split("text", "[ \n]")).alias("word"))
+    return profile.top_values(text, 20, ["word"], slots=512)
+
+
 @query
 def target_distribution(spark, sf_dir):
     customers = cleaning.clean_target(views.dirty_customers(spark, sf_dir), "label_raw")

@@ -484,6 +484,9 @@ FROM (SELECT count(*) AS n FROM {table} GROUP BY {cols}) AS g"""
     )
     sql["categorical_top10"] = f"WITH d AS ({DIRTY})\n" + top_of("d", ["seg_raw", "label_raw"])
     sql["categorical_top10_texts"] = top_of("documents", ["text", "lang", "source"])
+    sql["top_words"] = f"""
+WITH w AS (SELECT unnest(string_split_regex(text, '[ \\n]')) AS word FROM documents)
+{top_of('w', ['word'], 20)}"""
     sql["target_distribution"] = f"""
 WITH d AS (SELECT {clean('label_raw')} AS label FROM ({DIRTY}) AS raw)
 SELECT label, count(*) AS n, round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM d), 2) AS pct

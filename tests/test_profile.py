@@ -106,6 +106,31 @@ def test_long_texts_rank_like_short_ones(spark, k, ties):
     assert profile.top_values(df.limit(0), k).count() == 0
 
 
+@pytest.mark.parametrize("slots", [1, 7, 64])
+@pytest.mark.parametrize("k", [1, 3, 10, 60])
+def test_slots_keep_all_winners(spark, slots, k):
+    rng = random.Random(k)
+    words = [f"w{int(rng.paretovariate(0.7))}" for _ in range(3000)] + [None] * 40 + list("ab") * 40
+    df = spark.createDataFrame([(w, f"x{i}") for i, w in enumerate(words)], "skewed string, only string")
+    kinds = ["skewed", "only"]
+    plain = profile.top_values(df, k, kinds).collect()
+    assert sorted(map(str, profile.top_values(df, k, kinds, slots=slots).collect())) == sorted(map(str, plain))
+    assert profile.top_values(df.limit(0), k, kinds, slots=0).count() == 0
+
+
+def test_slots_spare_the_shuffle_of_rare_values(spark):
+    """A third of the rows hold ten values, the others 40,000 more."""
+    values = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, F.concat(F.lit("hot"), F.col("id") % 10))
+        .otherwise(F.col("id").cast("string"))
+        .alias("v")
+    )
+    kept = profile.slot_survivors(values, ["v"], 10).distinct().count()
+    assert 10 <= kept < 4_000
+    top = profile.top_values(values, 10).orderBy("rank").collect()
+    assert [(r["value"], r["n"]) for r in top] == [(f"hot{i}", 2000) for i in range(10)]
+
+
 @pytest.mark.parametrize("pair_columns", [0, 12])
 def test_correlation_handles_constants_and_nulls(spark, pair_columns):
     rows = [(1.0, 2.0, 7.0, 1.0), (2.0, 4.0, 7.0, None), (3.0, 7.0, 7.0, 2.0), (4.0, 8.0, 7.0, 9.0)]

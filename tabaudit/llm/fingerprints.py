@@ -15,7 +15,8 @@ task meets the successor of its last row, and the first row of all follows the l
 Defined results: null counts as the empty text; texts without words have the fingerprint
 of the empty set and likeness 1 to each other, 0 to all others. Rows with a null id come
 first, rows with equal ids are ordered by text; a single row follows itself.
-Extra columns are not read.
+An empty table gives no rows; very long texts are read whole, one range at a time in
+batches. Extra columns are not read.
 """
 
 from __future__ import annotations

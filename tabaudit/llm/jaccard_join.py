@@ -18,7 +18,8 @@ and a link towards the smallest text it is connected with, from which classes fo
 
 Defined results: a text with fewer than five words has one shingle, made of all its
 words; texts without words have no links and are classes of their own. Null counts as
-empty. Repeated rows are copies of one text. A null id sorts before all others.
+empty. Repeated rows are copies of one text. A null id sorts before all others. An empty
+table gives no rows. Very long texts are sketched and compared by all their shingles.
 Extra columns are not read by ``join`` and pass through ``keep_one``. Texts are told
 apart by 64-bit hashes of their sets: among a billion texts, the chance that any two
 share one is about 3 %.

@@ -18,7 +18,8 @@ model, to the upper edge of its bin of ``LOSS_BIN``. Languages without such docu
 
 Defined results: a null or empty text has no perplexity and is not kept; without trusted
 documents, or without any held out, every text that has a perplexity is kept. A null
-language is a language of its own. Repeated rows are judged alike, each for itself.
+language is a language of its own. Repeated rows are judged alike, each for itself. An
+empty table gives no rows; very long texts are counted and judged whole, in parcels.
 Extra columns are not read.
 """
 

@@ -15,7 +15,8 @@ bounded memory.
 Defined results: the language of a null text, or of one without letters, is ``und``
 with score 0; so is every language if nothing can be learned. Documents without a
 language are not learned from. Equal texts get equal results; of equally likely
-languages the alphabetically first wins. Extra columns are not read.
+languages the alphabetically first wins. An empty table gives no rows; very long texts
+are read whole. Extra columns are not read.
 """
 
 from __future__ import annotations

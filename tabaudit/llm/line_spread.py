@@ -10,8 +10,9 @@ Lines are what ``\\n`` separates, compared without white space at their ends; li
 without a word are never counted or removed.
 
 Defined results: a null text stays null and an empty one empty; a null site is one
-more site; repeated rows are counted as one site and cleaned alike. All columns pass
-through; only the text changes.
+more site; repeated rows are counted as one site and cleaned alike. An empty table has
+no spread lines and stays empty; texts and lines of any length are read whole. All
+columns pass through; only the text changes.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ Defined results: a document without tokens adds nothing to a cell, but is sample
 like the others of its cell; a cell without any tokens has probability ``share``.
 Targets of categories without tokens are dealt out to the others in proportion; a
 present category without a target has target 0. Repeated rows with one id are kept
-or dropped together; a null id counts as the empty text.
+or dropped together; a null id counts as the empty text. An empty table stays empty.
+Very long documents weigh all their tokens.
 """
 
 from __future__ import annotations

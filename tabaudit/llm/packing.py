@@ -14,7 +14,8 @@ source or cluster dominates it.
 
 Defined results: a document without tokens gets one row without a bin. A null source
 is a source of its own; a null cluster conflicts with nothing. Repeated rows are
-packed each for itself; a null id is packed like others. Extra columns are not read.
+packed each for itself; a null id is packed like others. An empty table gives no rows.
+A very long document is as many full bins and one piece. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tabaudit.session import materialize
+
 CAPACITY = 4096
 MAX_PER_SOURCE = 4
 BINS_PER_GROUP = 512
@@ -137,7 +140,7 @@ def pack(
     """One row per piece: its bin (``bin_group``, ``bin``), slot, document and token span.
 
     ``cluster`` is a long that duplicates share, ``row`` a number that spreads rows that repeat
-    (by default, that of the row in ``docs``).
+    (by default, that of the row in ``docs``; the measured rows are then written first).
     """
     rows = docs.select(
         id_.cast("long").alias("id"),
@@ -146,6 +149,9 @@ def pack(
         F.coalesce(n_tokens.cast("long"), F.lit(0)).alias("n"),
         (F.monotonically_increasing_id() if row is None else row).alias("row"),
     )
+    if row is None:
+        # Numbered once: a task that is run again must not deal rows out otherwise. Texts are read once too.
+        rows = materialize(rows, "measured")
     total = rows.agg(F.sum("n")).first()[0] or 0
     groups = max(1, math.ceil(total / (capacity * bins_per_group)))
     # The row's own number spreads rows that repeat.

@@ -14,7 +14,8 @@ so a host with any share of the pages is spread over tasks.
 
 Defined results: host and path are empty for a null url or one without ``://``, which
 gets the default verdict, unless a rule fits the empty host. Repeated rows are judged
-each for itself. Extra columns are not read.
+each for itself. An empty table gives no rows; urls of any length are read whole.
+Extra columns are not read.
 """
 
 from __future__ import annotations

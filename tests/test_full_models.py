@@ -60,3 +60,10 @@ def test_cross_validation_trains_trees_of_the_published_size(spark, orders_dir,
     trees = seen["trees"]
     assert (trees.getMaxIter(), trees.getMaxDepth(), trees.getStepSize()) == (100, 5, 0.1)
     assert len(seen["features"]) == N_FEATURES and seen["folds"] == 5
+
+
+def test_stored_model_scores_every_row_of_the_test_part(spark, orders_dir):
+    rows = catalogue.model_state_roundtrip(spark, orders_dir).collect()
+    assert len({r["row_id"] for r in rows}) == len(rows) == N_ORDERS // 5
+    # Keys divisible by three belong to finished orders, which one feature tells apart.
+    assert all(r["label"] == r["y_pred"] == int(r["row_id"] % 3 == 0) for r in rows)

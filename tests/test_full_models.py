@@ -67,3 +67,19 @@ def test_stored_model_scores_every_row_of_the_test_part(spark, orders_dir):
     assert len({r["row_id"] for r in rows}) == len(rows) == N_ORDERS // 5
     # Keys divisible by three belong to finished orders, which one feature tells apart.
     assert all(r["label"] == r["y_pred"] == int(r["row_id"] % 3 == 0) for r in rows)
+
+
+def test_ranking_compares_models_of_the_published_size(spark, orders_dir, monkeypatch):
+    seen = {}
+
+    def compare_models(train, test, features, estimators, folds=models.DEFAULT_FOLDS):
+        seen.update(features=features, folds=folds, **estimators)
+        return train.limit(1)
+
+    monkeypatch.setattr(models, "compare_models", compare_models)
+    catalogue.model_ranking(spark, orders_dir)
+    assert len(seen["features"]) == N_FEATURES and seen["folds"] == 5
+    assert seen["LogisticRegression"].getMaxIter() == 1000
+    assert seen["RandomForest"].getNumTrees() == 100
+    boosted = seen["GradientBoosting"]
+    assert (boosted.getMaxIter(), boosted.getMaxDepth()) == (100, 3)

@@ -210,6 +210,26 @@ def test_training_input_is_spread_over_the_cores(points, spark):
     assert models.spread(many) is many
 
 
+def test_training_input_takes_no_turn_for_a_few_partitions(spark, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+
+    def sizes(df):
+        return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+    # One partition more than cores: the second turn would leave all others idle.
+    rows = spark.range(0, 1300 * (cores + 1), 1, cores + 1)
+    assert len(sizes(models.spread(rows))) == cores
+    # Enough partitions, but most rows in one of them.
+    uneven = spark.range(0, 4000, 1, 1).union(spark.range(0, 80, 1, 2 * cores))
+    even = sizes(models.spread(uneven))
+    assert len(even) == cores and sum(even) == 4080 and max(even) < 1.1 * min(even)
+    # Partitions made by the shuffle stay small, whatever the table.
+    monkeypatch.setattr(models, "MAX_TASK_ROWS", 500)
+    assert len(sizes(models.spread(spark.range(0, 4000, 1, 1)))) >= 8
+    empty = spark.range(0)
+    assert models.spread(empty) is empty
+
+
 def test_all_of_many_groups_are_listed(spark, tmp_path):
     scored = spark.range(100_010).select(
         F.col("id").alias("row_id"),

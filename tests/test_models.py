@@ -230,6 +230,42 @@ def test_training_input_takes_no_turn_for_a_few_partitions(spark, monkeypatch):
     assert models.spread(empty) is empty
 
 
+@pytest.fixture
+def dealt(monkeypatch):
+    """The tables that are dealt out over the cores."""
+    found, spread = [], models.spread
+    monkeypatch.setattr(models, "spread", lambda df: found.append(df) or spread(df))
+    return found
+
+
+def test_compared_models_deal_out_their_rows_once(points, dealt):
+    two = {str(n): models.logistic_regression(n) for n in (5, 10)}
+    out = models.model_predictions(points, points, ["x"], two, keep=["row_id"])
+    assert len(dealt) == 1
+    counts = {(r["model"], r["part"]): r["count"] for r in out.groupBy("model", "part").count().collect()}
+    assert counts == {(m, p): 300 for m in two for p in ("train", "test")}
+
+
+def test_every_model_is_fitted_once_without_each_fold(points):
+    class Rows:
+        def __init__(self, name):
+            self.name = name
+
+        def fit(self, df):
+            return self.name, df.columns, df.count()
+
+    # A row without a fold belongs to the whole training part only.
+    some = points.withColumn("fold", F.when(F.col("row_id") >= 10, F.col("fold")))
+    vectors = models.training_vectors(some, ["x"])
+    assert vectors.columns == ["features", "label", "fold"]
+    fitted = models.fit_in_turns(vectors, [Rows("a"), Rows("b")], [None, *range(5)], 3)
+    assert fitted == {
+        (place, side): ("ab"[place], ["features", "label"], 300 if side is None else 232)
+        for place in range(2)
+        for side in (None, *range(5))
+    }
+
+
 def test_all_of_many_groups_are_listed(spark, tmp_path):
     scored = spark.range(100_010).select(
         F.col("id").alias("row_id"),

@@ -246,6 +246,13 @@ def test_compared_models_deal_out_their_rows_once(points, dealt):
     assert counts == {(m, p): 300 for m in two for p in ("train", "test")}
 
 
+def test_folds_and_final_fit_deal_out_their_rows_once(points, dealt):
+    trained = models.cross_validate(points, ["x"], models.logistic_regression(5), keep=["row_id"])
+    assert len(dealt) == 1
+    assert trained.out_of_fold.select("row_id").distinct().count() == 300
+    assert models.score(trained.model, points).count() == 300
+
+
 def test_every_model_is_fitted_once_without_each_fold(points):
     class Rows:
         def __init__(self, name):
